@@ -20,8 +20,8 @@ def _celsius_to_fahrenheit(celsius: pd.Series) -> pd.Series:
 
 
 def _determinant(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Series:
-    rows = np.stack([a, b, c, d], axis=-1).astype("float64").reshape(-1, 2, 2)
-    return pd.Series(np.linalg.det(rows).astype("float32"))
+    rows = np.stack([a, b, c, d], axis=-1).astype("float64")
+    return pd.Series((rows[:, 0] * rows[:, 3] - rows[:, 1] * rows[:, 2]).astype("float32"))
 
 
 celsius_to_fahrenheit = F.pandas_udf(_celsius_to_fahrenheit, T.DoubleType())

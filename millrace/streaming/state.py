@@ -16,17 +16,18 @@ from millrace.sinks.storage import Folder
 class CountingProcessor(StatefulProcessor):
     """Emits (key, n) for every row, n = 1, 2, 3, ...; state is kept for ever unless a time to live is given."""
 
-    def __init__(self, ttl_ms: int | None = None):
-        self.ttl_ms = ttl_ms
+    def __init__(self, names: Sequence[str], ttl_ms: int | None = None):
+        self.names, self.ttl_ms = list(names), ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.count = handle.getValueState("count", "n bigint", self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        out = Row(*self.names)
         n = self.count.get()[0] if self.count.exists() else 0
         for _ in rows:
             n += 1
-            yield Row(*key, n)
+            yield out(*key, n)
         self.count.update((n,))
 
     def close(self) -> None:
@@ -36,17 +37,18 @@ class CountingProcessor(StatefulProcessor):
 class DecayingAverage(StatefulProcessor):
     """Emits (key, average after each row) of ``avg = avg * (1 - decay) + x * decay``, starting at 0."""
 
-    def __init__(self, value: str, decay: float = 0.1):
-        self.value, self.decay = value, decay
+    def __init__(self, names: Sequence[str], value: str, decay: float = 0.1):
+        self.names, self.value, self.decay = list(names), value, decay
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.average = handle.getValueState("average", "a double")
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        out = Row(*self.names)
         a = self.average.get()[0] if self.average.exists() else 0.0
         for row in rows:
             a = a * (1 - self.decay) + row[self.value] * self.decay
-            yield Row(*key, a)
+            yield out(*key, a)
         self.average.update((a,))
 
     def close(self) -> None:
@@ -59,15 +61,15 @@ def _stateful(df: DataFrame, key: str, processor: StatefulProcessor, out: str, k
     return df.groupBy(key).transformWithState(processor, f"{key} {key_type}, {out} {kind}", "append", "none")
 
 
-def keyed_count(df: DataFrame, key: str, out: str = "total_count") -> DataFrame:
+def keyed_count(df: DataFrame, key: str, out: str = "total_count", ttl_ms: int | None = None) -> DataFrame:
     """Running count with the lowest latency. A key lives in one task; for a key that holds much of the stream use
     ``RunningCountBatches``."""
-    return _stateful(df.select(key), key, CountingProcessor(), out, "bigint")
+    return _stateful(df.select(key), key, CountingProcessor([key, out], ttl_ms), out, "bigint")
 
 
 def keyed_average(df: DataFrame, key: str, value: str, out: str = "ema", decay: float = 0.1) -> DataFrame:
     """Decaying average after every row, in order of arrival."""
-    return _stateful(df.select(key, value), key, DecayingAverage(value, decay), out, "double")
+    return _stateful(df.select(key, value), key, DecayingAverage([key, out], value, decay), out, "double")
 
 
 class RunningCountBatches:
