@@ -16,6 +16,8 @@ ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateS
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+    # A timestamp text that does not fit its format is a bad record, not an error of the job.
+    "spark.sql.legacy.timeParserPolicy": "CORRECTED",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 

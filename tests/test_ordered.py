@@ -1,0 +1,88 @@
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.operators import ordered
+from tests.conftest import rows
+
+
+def skewed(seed, n=400, ties=False):
+    """A third of the rows and more in one key, nulls among the keys, order numbers shuffled over the input."""
+    rng = random.Random(seed)
+    orders = list(range(n))
+    rng.shuffle(orders)
+    keys = ["hot"] * 4 + ["a", "b", None]
+    return [(rng.choice(keys), (o // 200 if ties else o), o, round(rng.random() * 100, 2)) for o in orders]
+
+
+@pytest.mark.parametrize("slices", [1, 2, 7, 40])
+@pytest.mark.parametrize("ties", [False, True])
+def test_running_count(spark, slices, ties):
+    data = skewed(1, ties=ties)
+    df = spark.createDataFrame(data, "key string, o bigint, tie bigint, v double").repartition(5)
+    got = {r.tie: r.total_count for r in ordered.running_count(df, ["key"], ["o", "tie"], slices=slices).collect()}
+    seen, wanted = {}, {}
+    for key, _, tie, _ in sorted(data, key=lambda r: r[2]):
+        seen[key] = wanted[tie] = seen.get(key, 0) + 1
+    assert got == wanted
+
+
+def test_frequent_value_is_cut_by_the_second_column(spark):
+    df = spark.range(1000).select((F.col("id") > 900).cast("int").alias("o"), "id")
+    sliced = ordered.with_slices(df, ["o", "id"], 8)
+    sizes = [r["count"] for r in sliced.groupBy("_slice").count().collect()]
+    assert max(sizes) < 300
+    edges = sliced.groupBy("_slice").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).orderBy("_slice").collect()
+    assert all(a.hi < b.lo for a, b in zip(edges, edges[1:]))
+
+
+@pytest.mark.parametrize("slices", [1, 6])
+def test_ema_matches_fold(spark, slices):
+    data = skewed(2)
+    df = spark.createDataFrame(data, "key string, o bigint, tie bigint, v double")
+    got = {r.key: r.ema for r in ordered.ema_last(df, ["key"], ["o"], "v", slices=slices).collect()}
+    wanted = {}
+    for key, _, _, v in sorted(data, key=lambda r: r[1]):
+        wanted[key] = wanted.get(key, 0.0) * 0.9 + v * 0.1
+    assert got.keys() == wanted.keys()
+    assert all(abs(got[k] - wanted[k]) < 1e-9 for k in got)
+
+
+@pytest.mark.parametrize("slices", [1, 3])
+def test_late_rows(spark, slices):
+    seconds = [1, 2, 40, 50, 3, 59, 61, 30]
+    start = dt.datetime(2024, 1, 1)
+    data = [(i, start + dt.timedelta(seconds=s), s) for i, s in enumerate(seconds)]
+    df = spark.createDataFrame(data, "arrival bigint, ts timestamp_ntz, s bigint").withColumn("ts", F.col("ts").cast("timestamp"))
+    marked = ordered.late_split(df, "ts", ["arrival"], "30 seconds", "10 seconds", slices=slices)
+    assert [s for (s,) in rows(marked.filter("is_late"), "s")] == [3]
+
+
+def test_late_rows_brute_force_per_source(spark):
+    rng = random.Random(5)
+    start = dt.datetime(2024, 1, 1)
+    data = [(i, rng.choice("xxy"), start + dt.timedelta(seconds=i + rng.randrange(-60, 60) + 100)) for i in range(300)]
+    df = spark.createDataFrame(data, "a bigint, src string, ts timestamp_ntz").withColumn("ts", F.col("ts").cast("timestamp"))
+    got = {r.a: r.is_late for r in ordered.late_split(df, "ts", ["a"], "30 seconds", "10 seconds", ["src"], slices=9).collect()}
+    seen, wanted = {}, {}
+    for a, src, ts in data:
+        end = start + dt.timedelta(seconds=((ts - start).total_seconds() // 30 + 1) * 30)
+        wanted[a] = src in seen and end <= seen[src] - dt.timedelta(seconds=10)
+        seen[src] = max(ts, seen.get(src, ts))
+    assert got == wanted and any(wanted.values())
+
+
+def test_samples_in_bounded_chunks(spark):
+    data = skewed(3)
+    df = spark.createDataFrame(data, "room string, o bigint, tie bigint, v double")
+    series = ordered.group_samples(df, "temperature", ["room"], "o", "v", size=50, slices=5)
+    together = {}
+    for r in series.orderBy("chunk").collect():
+        assert r.metric == "temperature" and 0 < len(r.samples) <= 50
+        together.setdefault(r.labels["room"], []).extend((s.ts, s.value) for s in r.samples)
+    wanted = {}
+    for room, o, _, v in sorted(data, key=lambda r: r[1]):
+        wanted.setdefault(room, []).append((o, v))
+    assert together == wanted
