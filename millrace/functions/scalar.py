@@ -106,11 +106,11 @@ _TWO32 = 4294967296
 
 def byte_hash(key: Column | str) -> Column:
     """31-polynomial hash over the key's UTF-8 bytes, seeded with 1, as a signed 32-bit number held in a bigint."""
-    as_hex = F.hex(_c(key).cast("binary"))
+    # Read as Latin-1, every byte is one character whose code point is the byte.
+    characters = F.split(F.decode(_c(key).cast("binary"), "ISO-8859-1"), "")
     signed = lambda b: F.when(b > 127, b - 256).otherwise(b)
-    step = lambda h, pair: F.pmod(h * 31 + signed(F.conv(pair, 16, 10).cast("long")), F.lit(_TWO32))
-    pairs = F.regexp_extract_all(as_hex, F.lit("(..)"), F.lit(1))
-    folded = F.aggregate(pairs, F.lit(1).cast("long"), step)
+    step = lambda h, c: F.pmod(h * 31 + signed(F.ascii(c)), F.lit(_TWO32))
+    folded = F.aggregate(characters, F.lit(1).cast("long"), step)
     return F.when(folded >= _TWO32 // 2, folded - _TWO32).otherwise(folded)
 
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator
-from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
+from concurrent.futures import ThreadPoolExecutor
+from itertools import count
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -54,12 +55,14 @@ def enrich(
     pause: float = 1.0,
     on_error: str = FAIL,
     on_timeout: str = DROP,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Ask the service once per row; answers come out in the order they arrive.
 
     ``capacity`` bounds the rows in flight per task (divide the service's limit by the number of tasks). Output is the
     input columns with ``status``, ``code`` and ``attempts``. A row that failed fails the job, is dropped or is kept as a
-    dead letter, as ``on_error`` says; a row that timed out is dropped or kept.
+    dead letter, as ``on_error`` says; a row that timed out is dropped or kept. ``tasks`` spreads the rows evenly first,
+    for when waiting for answers and not reading sets the pace.
     """
     if on_error not in (FAIL, DROP, DEAD_LETTER) or on_timeout not in (DROP, DEAD_LETTER):
         raise ValueError(f"unknown policy {on_error!r} / {on_timeout!r}")
@@ -79,32 +82,27 @@ def enrich(
         client = make_client()
         with ThreadPoolExecutor(capacity) as pool:
             for batch in batches:
-                yield from answered(pool, client, batch)
-
-    def answered(pool, client, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        rows = batch.to_pylist()
-        in_flight: dict[Future, int] = {}
-        positions, answers = [], []
-        for position, row in enumerate(rows):
-            if len(in_flight) >= capacity:
-                collect(in_flight, positions, answers)
-            in_flight[pool.submit(ask_with_retries, client, row, timeout, attempts, pause)] = position
-        while in_flight:
-            collect(in_flight, positions, answers)
+                yield answered(pool, client, batch)
+
+    def answered(pool, client, batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows, answers = batch.to_pylist(), []
+        taken = count()
+
+        def work() -> None:
+            while (position := next(taken)) < len(rows):
+                answer = ask_with_retries(client, rows[position], timeout, attempts, pause)
+                if keep(answer):
+                    answers.append((position, *answer))
+
+        for worker in [pool.submit(work) for _ in range(min(capacity, len(rows)))]:
+            worker.result()
+        positions, *columns = zip(*answers) if answers else ((), (), (), ())
         kept = batch.take(pa.array(positions, pa.int64()))
-        columns = [pa.array(list(c), t) for c, t in zip(zip(*answers), [pa.string(), pa.int32(), pa.int32()])]
-        if positions:
-            yield pa.RecordBatch.from_arrays([*kept.columns, *columns], schema.names)
-
-    def collect(in_flight, positions, answers) -> None:
-        done, _ = wait(in_flight, return_when=FIRST_COMPLETED)
-        for future in done:
-            position, answer = in_flight.pop(future), future.result()
-            if keep(answer):
-                positions.append(position)
-                answers.append(answer)
-
-    return df.mapInArrow(run, schema)
+        typed = [pa.array(c, t) for c, t in zip(columns, [pa.string(), pa.int32(), pa.int32()])]
+        return pa.RecordBatch.from_arrays([*kept.columns, *typed], schema.names)
+
+    spread = df.repartition(tasks) if tasks else df
+    return spread.mapInArrow(run, schema)
 
 
 def enriched_messages(answers: DataFrame, message: str = "message") -> DataFrame:

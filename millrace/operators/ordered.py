@@ -1,11 +1,12 @@
 """Per-key results that depend on the order of rows: running counts, running maxima, decaying averages, fixed-size chunks.
 
-A plain window function would sort all rows of one key in one task. Here the order column is first cut at its quantiles
-into as many slices as there are shuffle partitions, and the work is done per (key, slice), so no task holds more of a
-key than about one average partition. What a slice needs from the slices before it (a count, a maximum) is a small
-aggregate with map-side partials; it enters the slice as one extra first row, so the rows themselves are shuffled once
-and never joined. Order columns are numbers
-or timestamps and together should be close to unique, like an arrival sequence.
+A window function sorts all rows of one key in one task. That is right for keys up to the size of an average partition;
+a key above that is cut into slices. The keys are counted first: with n shuffle partitions fewer than n keys can hold
+more than 1/n of the rows each, so the list of large keys is short whatever the table's size. The rows of large keys are
+then sliced at the quantiles of their order column and every window runs per (key, slice). What a slice needs from the
+slices before it (a count, a maximum) is a small aggregate with map-side partials; it enters the slice as one extra first
+row, so the rows themselves are shuffled once and never joined with one another. Without large keys the plan is a plain
+window. Order columns are numbers or timestamps and together should be close to unique, like an arrival sequence.
 
 These are batch operators; ``streaming.state`` has the forms for streams.
 """
@@ -18,10 +19,11 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.session import shuffle_partitions
 
-_SLICE, _ORDER, _CARRIED, _CARRY = "_slice", "_order", "_carried", "_carry"
+_SLICE, _ORDER, _LARGE, _CARRIED, _CARRY = "_slice", "_order", "_large", "_carried", "_carry"
 
 
 def quantiles(df: DataFrame, number: Column, slices: int) -> list[float]:
@@ -48,47 +50,74 @@ def _bucket(df: DataFrame, number: Column, cuts: Sequence[float], out: str) -> D
     return cut.withColumn(out, F.col(out).cast("int")).drop(_ORDER)
 
 
-def with_slices(df: DataFrame, order: Sequence[str], slices: int | None = None) -> DataFrame:
-    """Add the slice number. Every row of a slice comes before every row of the next in ``order``.
+def with_slices(df: DataFrame, order: Sequence[str], slices: int) -> DataFrame:
+    """Add the slice number, from 1. Every row of a slice comes before every row of the next in ``order``.
 
     Cuts are quantiles of the first order column. A value of it so frequent that it fills several slices is cut again by
-    the second order column.
+    the second order column. With a ``_large`` column only its rows are sliced, all others are in slice 0.
     """
-    n = slices or shuffle_partitions(df.sparkSession)
+    rows = df.filter(_LARGE) if _LARGE in df.columns else df
     first = _number(df, order[0])
-    found = quantiles(df, first, n)
+    found = quantiles(rows, first, slices)
     cuts = sorted(set(found))
     sliced = _bucket(df, first, cuts, _SLICE)
     frequent = [cut for cut in cuts if found.count(cut) > 1]
-    if not frequent or len(order) < 2:
-        return sliced
-    second, is_frequent = _number(df, order[1]), first.isin(frequent)
-    finer = sorted(set(quantiles(df.filter(is_frequent), second, n)))
-    placed = _bucket(sliced, second, finer, "_finer")
-    # Within a slice the frequent value is the smallest, so its parts come before the rest of the slice.
-    part = F.when(is_frequent, F.col("_finer")).otherwise(F.lit(len(finer) + 1))
-    return placed.withColumn(_SLICE, F.col(_SLICE) * (len(finer) + 2) + part).drop("_finer")
+    if frequent and len(order) > 1:
+        second, is_frequent = _number(df, order[1]), first.isin(frequent)
+        finer = sorted(set(quantiles(rows.filter(is_frequent), second, slices)))
+        placed = _bucket(sliced, second, finer, "_finer")
+        # Within a slice the frequent value is the smallest, so its parts come before the rest of the slice.
+        part = F.when(is_frequent, F.col("_finer")).otherwise(F.lit(len(finer) + 1))
+        sliced = placed.withColumn(_SLICE, F.col(_SLICE) * (len(finer) + 2) + part).drop("_finer")
+    number = F.col(_SLICE) + 1
+    if _LARGE in df.columns:
+        return sliced.withColumn(_SLICE, F.when(F.col(_LARGE), number).otherwise(F.lit(0))).drop(_LARGE)
+    return sliced.withColumn(_SLICE, number)
+
+
+def large_keys(df: DataFrame, keys: Sequence[str], slices: int) -> list:
+    """Keys that hold more than one part in ``slices`` of the rows: fewer than ``slices`` of them."""
+    total = df.count()
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    return counted.filter(F.col("_rows") * slices > total).select(*keys).collect()
+
+
+def _sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str], slices: int | None) -> tuple[DataFrame, bool]:
+    """Rows with their slice, and whether any key is sliced."""
+    n = slices or shuffle_partitions(df.sparkSession)
+    if n < 2:
+        return df.withColumn(_SLICE, F.lit(0)), False
+    if not keys:
+        return with_slices(df, order, n), True
+    large = large_keys(df, keys, n)
+    if not large:
+        return df.withColumn(_SLICE, F.lit(0)), False
+    schema = T.StructType([T.StructField(f"_large_{k}", df.schema[k].dataType) for k in keys])
+    marks = F.broadcast(df.sparkSession.createDataFrame(large, schema).withColumn(_LARGE, F.lit(True)))
+    match = [df[k].eqNullSafe(marks[f"_large_{k}"]) for k in keys]
+    marked = df.join(marks, match, "left").select(*df.columns, F.coalesce(_LARGE, F.lit(False)).alias(_LARGE))
+    return with_slices(marked, order, n), True
 
 
 def _with_carry(sliced: DataFrame, keys: Sequence[str], per_slice: Column, over: Column) -> DataFrame:
-    """Rows plus one carry row per (key, slice); ``over`` combines ``_part`` of the earlier slices."""
-    parts = sliced.groupBy(*keys, _SLICE).agg(per_slice.alias("_part"))
+    """Rows plus one carry row per (large key, slice); ``over`` combines ``_part`` of the earlier slices."""
+    parts = sliced.filter(F.col(_SLICE) > 0).groupBy(*keys, _SLICE).agg(per_slice.alias("_part"))
     earlier = W.partitionBy(*keys).orderBy(_SLICE).rowsBetween(W.unboundedPreceding, -1)
     carries = parts.select(*keys, _SLICE, over.over(earlier).alias(_CARRY), F.lit(True).alias(_CARRIED))
     return sliced.withColumn(_CARRIED, F.lit(False)).unionByName(carries, allowMissingColumns=True)
 
 
 def _within(keys: Sequence[str], order: Sequence[str]) -> W:
-    first = F.col(_CARRIED).desc()
-    ordered = W.partitionBy(*keys, _SLICE).orderBy(first, *order)
-    return ordered
+    return W.partitionBy(*keys, _SLICE).orderBy(F.col(_CARRIED).desc(), *order)
 
 
 def running_count(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "total_count", slices: int | None = None
 ) -> DataFrame:
     """Every row with its number (1, 2, 3, ...) within its key, in the given order."""
-    sliced = with_slices(df, order, slices)
+    sliced, any_large = _sliced(df, keys, order, slices)
+    if not any_large:
+        return df.withColumn(out, F.row_number().over(W.partitionBy(*keys).orderBy(*order)).cast("long"))
     mixed = _with_carry(sliced, keys, F.count(F.lit(1)), F.sum("_part"))
     step = F.when(F.col(_CARRIED), F.coalesce(F.col(_CARRY), F.lit(0))).otherwise(F.lit(1))
     upto = _within(keys, order).rowsBetween(W.unboundedPreceding, W.currentRow)
@@ -100,7 +129,10 @@ def running_max(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str, slices: int | None = None
 ) -> DataFrame:
     """Every row with the largest ``value`` among the rows before it in its key (null for the first)."""
-    sliced = with_slices(df, order, slices)
+    sliced, any_large = _sliced(df, keys, order, slices)
+    if not any_large:
+        before = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+        return df.withColumn(out, F.max(value).over(before))
     mixed = _with_carry(sliced, keys, F.max(value), F.max("_part"))
     seen = F.when(F.col(_CARRIED), F.col(_CARRY)).otherwise(F.col(value))
     before = _within(keys, order).rowsBetween(W.unboundedPreceding, -1)
@@ -144,7 +176,7 @@ def ema_last(
     rows inside the slice; the slice sums are then weighted by the number of rows in later slices.
     """
     keep = 1 - decay
-    sliced = with_slices(df.select(*keys, *order, value), order, slices)
+    sliced, _ = _sliced(df.select(*keys, *order, value), keys, order, slices)
     backwards = W.partitionBy(*keys, _SLICE).orderBy(*[F.col(c).desc() for c in order])
     weighted = sliced.withColumn("_later", F.row_number().over(backwards) - 1)
     parts = weighted.groupBy(*keys, _SLICE).agg(

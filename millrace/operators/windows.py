@@ -42,13 +42,26 @@ def min_of(column: str, out: str) -> Mergeable:
 
 
 def avg_decimal_of(column: str, out: str, precision: int = 6, scale: int = 2) -> Mergeable:
-    """Average of a decimal column, stored back as ``decimal(precision, scale)``."""
+    """Average of a decimal column, rounded half up and stored back as ``decimal(precision, scale)``.
+
+    Up to nine digits the sums are whole numbers of the smallest unit, which add as plain longs for more rows than any
+    window holds; an overflow would fail the job. Wider columns are summed as decimals.
+    """
     total, rows = f"{out}_sum", f"{out}_n"
+    stored = f"decimal({precision},{scale})"
+    if precision <= 9:
+        unit = (F.col(column).cast(stored) * (10**scale)).cast("long")
+        half_up = F.expr(f"sign({total}) * ((2 * abs({total}) + {rows}) div (2 * {rows}))")
+        result = (half_up.cast("decimal(18,0)") / F.lit(10**scale)).cast(stored)
+        created = F.sum(unit)
+    else:
+        result = (F.col(total) / F.col(rows)).cast(stored)
+        created = F.sum(column)
     return Mergeable(
         out,
-        {total: F.sum(column), rows: F.count(column)},
+        {total: created, rows: F.count(column)},
         {total: F.sum(total), rows: F.sum(rows)},
-        (F.col(total) / F.col(rows)).cast(f"decimal({precision},{scale})"),
+        F.when(F.col(rows) > 0, result),
     )
 
 

@@ -51,11 +51,11 @@ def window_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _cents(df: DataFrame) -> DataFrame:
-    return df.withColumn("value", F.col("value").cast("decimal(12,2)"))
+    return df.withColumn("value", F.col("value").cast("decimal(8,2)"))
 
 
 # Half-up average in whole cents; the values are never negative.
-_AVG = """cast(((2 * sum(cents) + count(*)) // (2 * count(*))) / 100 AS DECIMAL(12,2))"""
+_AVG = """cast(((2 * sum(cents) + count(*)) // (2 * count(*))) / 100 AS DECIMAL(8,2))"""
 
 
 @query(f"""
@@ -65,7 +65,7 @@ _AVG = """cast(((2 * sum(cents) + count(*)) // (2 * count(*))) / 100 AS DECIMAL(
 """)
 def tumble_avg_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _cents(events(spark, sf_dir))
-    return plain_bounds(windows.window_avg_decimal(rows, "ts", "user_id", "value", "1 day", precision=12))
+    return plain_bounds(windows.window_avg_decimal(rows, "ts", "user_id", "value", "1 day", precision=8))
 
 
 @query(f"""
@@ -78,7 +78,7 @@ def tumble_avg_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
 def slide_avg_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _cents(events(spark, sf_dir))
     return plain_bounds(
-        windows.window_avg_decimal(rows, "ts", "event_type", "value", "1 hour", "12 minutes", precision=12)
+        windows.window_avg_decimal(rows, "ts", "event_type", "value", "1 hour", "12 minutes", precision=8)
     )
 
 
@@ -110,7 +110,7 @@ def tumble_proc_min(spark: SparkSession, sf_dir: str) -> DataFrame:
 def slide_proc_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _cents(_processed(spark, sf_dir))
     return plain_bounds(
-        windows.window_avg_decimal(rows, "proc_time", "user_id", "value", "1 day", "6 hours", precision=12)
+        windows.window_avg_decimal(rows, "proc_time", "user_id", "value", "1 day", "6 hours", precision=8)
     )
 
 

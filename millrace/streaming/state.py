@@ -4,17 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from millrace.operators.ordered import running_count
-from millrace.session import ship_package
+from millrace.session import ship_package, shuffle_partitions
 from millrace.sinks.storage import Folder
 
 
 class CountingProcessor(StatefulProcessor):
-    """Emits (key, n) for every row, n = 1, 2, 3, ...; state is kept for ever unless a time to live is given."""
+    """Turns (key, rows seen in a piece) into (key, rows before the piece, rows in it).
+
+    State is one number per key, kept for ever unless a time to live is given.
+    """
 
     def __init__(self, names: Sequence[str], ttl_ms: int | None = None):
         self.names, self.ttl_ms = list(names), ttl_ms
@@ -25,9 +30,9 @@ class CountingProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         out = Row(*self.names)
         n = self.count.get()[0] if self.count.exists() else 0
-        for _ in rows:
-            n += 1
-            yield out(*key, n)
+        for row in rows:
+            yield out(*key, n, row["_rows"])
+            n += row["_rows"]
         self.count.update((n,))
 
     def close(self) -> None:
@@ -35,10 +40,10 @@ class CountingProcessor(StatefulProcessor):
 
 
 class DecayingAverage(StatefulProcessor):
-    """Emits (key, average after each row) of ``avg = avg * (1 - decay) + x * decay``, starting at 0."""
+    """Turns (key, rows in a piece, their weighted sum) into (key, average after the piece), starting at 0."""
 
-    def __init__(self, names: Sequence[str], value: str, decay: float = 0.1):
-        self.names, self.value, self.decay = list(names), value, decay
+    def __init__(self, names: Sequence[str], decay: float = 0.1):
+        self.names, self.keep = list(names), 1 - decay
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.average = handle.getValueState("average", "a double")
@@ -47,7 +52,7 @@ class DecayingAverage(StatefulProcessor):
         out = Row(*self.names)
         a = self.average.get()[0] if self.average.exists() else 0.0
         for row in rows:
-            a = a * (1 - self.decay) + row[self.value] * self.decay
+            a = a * self.keep ** row["_rows"] + row["_part"]
             yield out(*key, a)
         self.average.update((a,))
 
@@ -55,21 +60,49 @@ class DecayingAverage(StatefulProcessor):
         pass
 
 
-def _stateful(df: DataFrame, key: str, processor: StatefulProcessor, out: str, kind: str) -> DataFrame:
+def _stateful(df: DataFrame, key: str, processor: StatefulProcessor, columns: str) -> DataFrame:
     ship_package(df.sparkSession)
-    key_type = df.schema[key].dataType.simpleString()
-    return df.groupBy(key).transformWithState(processor, f"{key} {key_type}, {out} {kind}", "append", "none")
+    return df.groupBy(key).transformWithState(processor, _schema_of(df, key, columns), "append", "none")
+
+
+def _rows_per_piece(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        (key,) = batch.schema.names
+        counted = pa.Table.from_batches([batch]).group_by(key).aggregate([([], "count_all")])
+        yield from counted.select([key, "count_all"]).rename_columns([key, "_rows"]).to_batches()
 
 
 def keyed_count(df: DataFrame, key: str, out: str = "total_count", ttl_ms: int | None = None) -> DataFrame:
-    """Running count with the lowest latency. A key lives in one task; for a key that holds much of the stream use
-    ``RunningCountBatches``."""
-    return _stateful(df.select(key), key, CountingProcessor([key, out], ttl_ms), out, "bigint")
+    """(key, n) for every row of a stream, n = 1, 2, 3, ...
+
+    Rows of a key are alike to a running count, so each task first counts its rows per key and Arrow batch. Only those
+    counts are shuffled to the keyed state, which gives each its place; the places are spread again and unfolded into one
+    row per input row. A key that holds much of the stream therefore costs its task a row per batch, not per record.
+    """
+    pieces = df.select(key).mapInArrow(_rows_per_piece, _schema_of(df, key, "_rows bigint"))
+    places = _stateful(pieces, key, CountingProcessor([key, "_before", "_rows"], ttl_ms), "_before bigint, _rows bigint")
+    spread = places.repartition(shuffle_partitions(df.sparkSession))
+    return spread.select(key, F.explode(F.sequence(F.col("_before") + 1, F.col("_before") + F.col("_rows"))).alias(out))
+
+
+def _schema_of(df: DataFrame, key: str, more: str) -> str:
+    return f"`{key}` {df.schema[key].dataType.simpleString()}, {more}"
 
 
 def keyed_average(df: DataFrame, key: str, value: str, out: str = "ema", decay: float = 0.1) -> DataFrame:
-    """Decaying average after every row, in order of arrival."""
-    return _stateful(df.select(key, value), key, DecayingAverage([key, out], value, decay), out, "double")
+    """The gauge of ``avg = avg * (1 - decay) + x * decay`` per key, once per piece of rows that arrive together.
+
+    Like the count, a task folds its rows into one weighted sum per key and batch before anything is shuffled.
+    """
+
+    def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            later = frame.groupby(key, dropna=False, sort=False).cumcount(ascending=False)
+            weighted = frame.assign(_part=decay * frame[value] * (1 - decay) ** later, _rows=1)
+            yield weighted.groupby(key, dropna=False, sort=False, as_index=False)[["_rows", "_part"]].sum()
+
+    pieces = df.select(key, value).mapInPandas(fold, _schema_of(df, key, "_rows bigint, _part double"))
+    return _stateful(pieces, key, DecayingAverage([key, out], decay), f"{out} double")
 
 
 class RunningCountBatches:

@@ -38,6 +38,15 @@ def test_frequent_value_is_cut_by_the_second_column(spark):
     assert all(a.hi < b.lo for a, b in zip(edges, edges[1:]))
 
 
+def test_only_large_keys_are_sliced(spark):
+    df = spark.range(1000).select("id", F.when(F.col("id") < 600, -1).otherwise(F.col("id")).alias("k"))
+    assert [r.k for r in ordered.large_keys(df, ["k"], 8)] == [-1]
+    sliced, any_large = ordered._sliced(df, ["k"], ["id"], 8)
+    sizes = {r._slice: r["count"] for r in sliced.groupBy("_slice").count().collect()}
+    assert any_large and sizes.pop(0) == 400 and len(sizes) == 8 and max(sizes.values()) < 120
+    assert not ordered._sliced(spark.range(100), ["id"], ["id"], 8)[1]
+
+
 @pytest.mark.parametrize("slices", [1, 6])
 def test_ema_matches_fold(spark, slices):
     data = skewed(2)

@@ -63,6 +63,14 @@ def test_decimal_average_rounds_half_up(spark):
     assert {r.key: str(r.avg_value) for r in out.collect()} == {"a": "1.01", "b": "-1.01"}
 
 
+@pytest.mark.parametrize("precision", [8, 12])
+def test_decimal_average_of_nulls_and_wide_columns(spark, precision):
+    df = frame(spark, [(0, "a", None), (1, "b", None), (2, "b", "3.33"), (3, "b", "3.34")], "string")
+    df = df.withColumn("value", F.col("value").cast(f"decimal({precision},2)"))
+    out = windows.window_avg_decimal(df, "ts", "key", "value", "10 seconds", "5 seconds", precision=precision)
+    assert {(r.key, str(r.avg_value)) for r in out.collect()} == {("a", "None"), ("b", "3.34")}
+
+
 def test_vehicle_average_divides_by_events(spark):
     schema = "vin string, ts timestamp_ntz, sensorData map<string,bigint>, warningLights array<string>"
     data = [
