@@ -42,7 +42,8 @@ def ask_with_retries(client: Callable, row: dict, timeout: float, attempts: int,
             if time.monotonic() + pause >= deadline:
                 time.sleep(max(0.0, deadline - time.monotonic()))
                 return TIMEOUT, code, attempt
-            time.sleep(pause)
+            if pause > 0:
+                time.sleep(pause)
     return FAILED, code, attempts
 
 

@@ -15,11 +15,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from millrace.session import shuffle_partitions
 
@@ -75,26 +75,31 @@ def with_slices(df: DataFrame, order: Sequence[str], slices: int) -> DataFrame:
     return sliced.withColumn(_SLICE, number)
 
 
-def large_keys(df: DataFrame, keys: Sequence[str], slices: int) -> list:
-    """Keys that hold more than one part in ``slices`` of the rows: fewer than ``slices`` of them."""
-    total = df.count()
+# A key with fewer rows than this is never worth cutting.
+WORTH_SLICING = 1_000_000
+
+
+def large_keys(df: DataFrame, keys: Sequence[str], slices: int, total: int, at_least: int = 0) -> pa.Table:
+    """Keys that hold more than one part in ``slices`` of all rows: fewer than ``slices`` of them."""
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return counted.filter(F.col("_rows") * slices > total).select(*keys).collect()
+    large = counted.filter((F.col("_rows") * slices > total) & (F.col("_rows") > at_least))
+    return large.select(*keys).toArrow()
 
 
 def _sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str], slices: int | None) -> tuple[DataFrame, bool]:
-    """Rows with their slice, and whether any key is sliced."""
-    n = slices or shuffle_partitions(df.sparkSession)
-    if n < 2:
+    """Rows with their slice, and whether any key is sliced. An explicit number of slices also cuts small keys."""
+    n, at_least = slices or shuffle_partitions(df.sparkSession), 0 if slices else WORTH_SLICING
+    total = df.count() if n > 1 else 0
+    if total <= at_least:
         return df.withColumn(_SLICE, F.lit(0)), False
     if not keys:
         return with_slices(df, order, n), True
-    large = large_keys(df, keys, n)
-    if not large:
+    large = large_keys(df, keys, n, total, at_least)
+    if not large.num_rows:
         return df.withColumn(_SLICE, F.lit(0)), False
-    schema = T.StructType([T.StructField(f"_large_{k}", df.schema[k].dataType) for k in keys])
-    marks = F.broadcast(df.sparkSession.createDataFrame(large, schema).withColumn(_LARGE, F.lit(True)))
-    match = [df[k].eqNullSafe(marks[f"_large_{k}"]) for k in keys]
+    named = large.rename_columns([f"{_LARGE}_{k}" for k in keys])
+    marks = F.broadcast(df.sparkSession.createDataFrame(named).withColumn(_LARGE, F.lit(True)))
+    match = [df[k].eqNullSafe(marks[f"{_LARGE}_{k}"]) for k in keys]
     marked = df.join(marks, match, "left").select(*df.columns, F.coalesce(_LARGE, F.lit(False)).alias(_LARGE))
     return with_slices(marked, order, n), True
 

@@ -13,41 +13,42 @@ from millrace.tables import events
 
 
 class Answers:
-    """Answers by the last digit of the event: 7 fails once, 8 always fails, 9 times out."""
+    """Answers by event type: a click fails once, an error always fails, a sign-up times out."""
 
     def __init__(self):
-        self.seen: dict[int, int] = {}
+        self.seen: set[int] = set()
 
     def __call__(self, row: dict, remaining: float) -> int:
-        digit = row["event_id"] % 10
-        if digit == 9:
+        kind = row["event_type"]
+        if kind == "signup":
             raise TimeoutError
-        if digit == 8:
+        if kind == "error":
             return 500
-        if digit == 7 and self.seen.pop(row["event_id"], 0) == 0:
-            self.seen[row["event_id"]] = 1
+        if kind == "click" and row["event_id"] not in self.seen:
+            self.seen.add(row["event_id"])
             return 500
+        self.seen.discard(row["event_id"])
         return 200
 
 
 @query("""
-    SELECT event_id, CASE event_id % 10 WHEN 8 THEN 'FAILED' WHEN 9 THEN 'TIMEOUT' ELSE 'OK' END AS status,
-           CASE event_id % 10 WHEN 8 THEN 500 WHEN 9 THEN -1 ELSE 200 END::INTEGER AS code,
-           CASE event_id % 10 WHEN 7 THEN 2 WHEN 8 THEN 3 ELSE 1 END::INTEGER AS attempts
+    SELECT event_id, event_type, CASE event_type WHEN 'error' THEN 'FAILED' WHEN 'signup' THEN 'TIMEOUT' ELSE 'OK' END AS status,
+           CASE event_type WHEN 'error' THEN 500 WHEN 'signup' THEN -1 ELSE 200 END::INTEGER AS code,
+           CASE event_type WHEN 'click' THEN 2 WHEN 'error' THEN 3 ELSE 1 END::INTEGER AS attempts
     FROM events
 """)
 def async_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event asked for at a service, with retries; failures and timeouts are kept as dead letters."""
-    rows = events(spark, sf_dir).select("event_id")
+    rows = events(spark, sf_dir).select("event_id", "event_type")
     return enrich.enrich(
         rows, Answers, capacity=16, pause=0.0, on_error=enrich.DEAD_LETTER, on_timeout=enrich.DEAD_LETTER
     )
 
 
-@query("SELECT event_type AS message, count(*) AS n FROM events WHERE event_id % 10 < 8 GROUP BY event_type")
+@query("SELECT event_type AS message, count(*) AS n FROM events WHERE event_type NOT IN ('error', 'signup') GROUP BY event_type")
 def enrich_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only rows that got an answer go on."""
-    rows = events(spark, sf_dir).select("event_id", F.col("event_type").alias("message"))
+    rows = events(spark, sf_dir).select("event_id", "event_type", F.col("event_type").alias("message"))
     answers = enrich.enrich(rows, Answers, capacity=16, pause=0.0, on_error=enrich.DROP)
     return enrich.enriched_messages(answers).groupBy("message").agg(F.count(F.lit(1)).alias("n"))
 

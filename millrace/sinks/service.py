@@ -77,16 +77,18 @@ def write_queue(df: DataFrame, make_client, batch: int = QUEUE_BATCH, **kwargs)
 
 
 def write_metric_samples(
-    series: DataFrame, make_client, batch: int = SAMPLES_BATCH, attempts: int = 100, wait: float = 0.0
+    series: DataFrame, make_client, batch: int = SAMPLES_BATCH, attempts: int = 100, wait: float = 0.0, in_order: bool = True
 ) -> tuple[int, int]:
     """Send grouped samples (``metric``, ``labels``, ``chunk``, ``samples``); what is refused too often is discarded.
 
-    The endpoint wants the samples of a series in time order, so the chunks of a series go to one task and leave it
-    sorted; they stream through, a chunk at a time.
+    An endpoint that wants the samples of a series in time order takes them from one sender: the chunks of a series go to
+    one task, sorted, and stream through it a chunk at a time. Give ``in_order=False`` for an endpoint that accepts
+    samples in any order; then a long series is sent by all tasks.
     """
-    by_series = series.withColumn("_series", F.concat_ws("\u0001", "metric", F.to_json("labels")))
-    ordered = by_series.repartition("_series").sortWithinPartitions("_series", "chunk").drop("_series")
-    return put_rows(ordered, make_client, batch, attempts, wait, DISCARD)
+    if in_order:
+        by_series = series.withColumn("_series", F.concat_ws("\u0001", "metric", F.to_json("labels")))
+        series = by_series.repartition("_series").sortWithinPartitions("_series", "chunk").drop("_series")
+    return put_rows(series, make_client, batch, attempts, wait, DISCARD)
 
 
 def fan_out(df: DataFrame, sinks: dict[str, Callable[[DataFrame], object]]) -> dict[str, object]:

@@ -59,7 +59,10 @@ class FileLog:
     """
 
     def __init__(self, options: dict[str, str]):
-        self.fs, self.root = pafs.FileSystem.from_uri(options["stream"])
+        where = options["stream"]
+        if where.startswith("file:/"):
+            where = "/" + where.removeprefix("file:").lstrip("/")
+        self.fs, self.root = pafs.FileSystem.from_uri(where)
         self.count = int(options.get("shards", "4"))
 
     def shards(self) -> list[str]:

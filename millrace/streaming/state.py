@@ -128,8 +128,9 @@ class RunningCountBatches:
         summed = before.unionByName(seen).groupBy(*self.keys).agg(F.sum("_seen").alias("_seen"))
         summed.write.mode("overwrite").parquet(f"{self.totals}/batch={batch_id}")
         numbered = running_count(batch, self.keys, self.order, "_n")
-        match = [numbered[k].eqNullSafe(before[k]) for k in self.keys]
-        raised = numbered.join(before, match, "left").select(
+        known = before.join(seen, [before[k].eqNullSafe(seen[k]) for k in self.keys], "left_semi")
+        match = [numbered[k].eqNullSafe(known[k]) for k in self.keys]
+        raised = numbered.join(known, match, "left").select(
             *[numbered[c] for c in batch.columns], (F.col("_n") + F.coalesce("_seen", F.lit(0))).alias(self.out)
         )
         self.sink(raised, batch_id)

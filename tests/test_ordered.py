@@ -17,7 +17,7 @@ def skewed(seed, n=400, ties=False):
     return [(rng.choice(keys), (o // 200 if ties else o), o, round(rng.random() * 100, 2)) for o in orders]
 
 
-@pytest.mark.parametrize("slices", [1, 2, 7, 40])
+@pytest.mark.parametrize("slices", [None, 1, 2, 7, 40])
 @pytest.mark.parametrize("ties", [False, True])
 def test_running_count(spark, slices, ties):
     data = skewed(1, ties=ties)
@@ -40,14 +40,15 @@ def test_frequent_value_is_cut_by_the_second_column(spark):
 
 def test_only_large_keys_are_sliced(spark):
     df = spark.range(1000).select("id", F.when(F.col("id") < 600, -1).otherwise(F.col("id")).alias("k"))
-    assert [r.k for r in ordered.large_keys(df, ["k"], 8)] == [-1]
+    assert ordered.large_keys(df, ["k"], 8, 1000)["k"].to_pylist() == [-1]
     sliced, any_large = ordered._sliced(df, ["k"], ["id"], 8)
     sizes = {r._slice: r["count"] for r in sliced.groupBy("_slice").count().collect()}
     assert any_large and sizes.pop(0) == 400 and len(sizes) == 8 and max(sizes.values()) < 120
     assert not ordered._sliced(spark.range(100), ["id"], ["id"], 8)[1]
+    assert not ordered._sliced(df, ["k"], ["id"], None)[1]  # too few rows to be worth it
 
 
-@pytest.mark.parametrize("slices", [1, 6])
+@pytest.mark.parametrize("slices", [None, 1, 6])
 def test_ema_matches_fold(spark, slices):
     data = skewed(2)
     df = spark.createDataFrame(data, "key string, o bigint, tie bigint, v double")
@@ -59,7 +60,7 @@ def test_ema_matches_fold(spark, slices):
     assert all(abs(got[k] - wanted[k]) < 1e-9 for k in got)
 
 
-@pytest.mark.parametrize("slices", [1, 3])
+@pytest.mark.parametrize("slices", [None, 1, 3])
 def test_late_rows(spark, slices):
     seconds = [1, 2, 40, 50, 3, 59, 61, 30]
     start = dt.datetime(2024, 1, 1)
