@@ -12,15 +12,15 @@ all records is still read by many tasks.
 from __future__ import annotations
 
 import importlib
+import sys
 import uuid
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
-
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,7 +35,9 @@ from pyspark.sql.datasource import (
 )
 
 from millrace.functions import scalar
-from millrace.session import ship_package
+
+# Spark plans a streaming source in a Python process on the driver that knows no added files: send the code itself.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 FORMAT = "millrace_log"
 SCHEMA = "shard string, sequence bigint, arrival timestamp, key string, data binary"
@@ -120,8 +122,9 @@ class FileLog:
         schema = pa.schema([ARROW.field("arrival"), ARROW.field("key"), ARROW.field("data")])
         for batch in batches:
             table = pa.table({name: batch[name].cast(schema.field(name).type) for name in schema.names}, schema=schema)
-            keys = table["key"].to_pylist()
-            homes = pa.array([zlib.crc32((k or "").encode()) % self.count for k in keys], pa.int32())
+            keys = table["key"].combine_chunks().fill_null("").dictionary_encode()
+            places = pa.array([zlib.crc32(k.encode()) % self.count for k in keys.dictionary.to_pylist()], pa.int32())
+            homes = places.take(keys.indices)
             for home in pc.unique(homes).to_pylist():
                 part = table.filter(pc.equal(homes, home))
                 if home not in writers:
@@ -149,16 +152,13 @@ class FileLog:
 
 
 def load_client(options) -> FileLog:
-    name = options.get("client", "millrace.sources.log:FileLog")
-    module, _, attribute = name.partition(":")
+    """The client named by the ``client`` option, whose module must be installed on the workers, or a ``FileLog``."""
+    if "client" not in options:
+        return FileLog(dict(options))
+    module, _, attribute = options["client"].partition(":")
     return getattr(importlib.import_module(module), attribute)(dict(options))
 
 
-class Piece(InputPartition):
-    def __init__(self, value):
-        super().__init__(value)
-
-
 def _start_of(client, options) -> dict[str, int]:
     position = options.get("position", LATEST).upper()
     if position == LATEST:
@@ -173,12 +173,12 @@ def _start_of(client, options) -> dict[str, int]:
     raise ValueError(f"unknown position {position}")
 
 
-def _pieces(client, start: dict[str, int], end: dict[str, int]) -> list[Piece]:
+def _pieces(client, start: dict[str, int], end: dict[str, int]) -> list[InputPartition]:
     found = []
     for shard, upto in end.items():
         since = start.get(shard, 0)
         if upto > since:
-            found.extend(Piece(piece) for piece in client.pieces(shard, since, upto))
+            found.extend(InputPartition(piece) for piece in client.pieces(shard, since, upto))
     return found
 
 
@@ -213,9 +213,10 @@ class LogStreamReader(DataSourceStreamReader):
         return load_client(self.options).read(partition.value)
 
 
-@dataclass
-class Staged(WriterCommitMessage):
-    files: list
+def _message(staged: list) -> WriterCommitMessage:
+    message = WriterCommitMessage()
+    message.staged = staged
+    return message
 
 
 class LogWriter(DataSourceArrowWriter):
@@ -224,10 +225,10 @@ class LogWriter(DataSourceArrowWriter):
         self.token = uuid.uuid4().hex
 
     def write(self, iterator):
-        return Staged(load_client(self.options).stage(iterator))
+        return _message(load_client(self.options).stage(iterator))
 
     def commit(self, messages):
-        load_client(self.options).publish([f for m in messages if m for f in m.files], self.token)
+        load_client(self.options).publish([f for m in messages if m for f in m.staged], self.token)
 
 
 class LogStreamWriter(DataSourceStreamArrowWriter):
@@ -235,11 +236,11 @@ class LogStreamWriter(DataSourceStreamArrowWriter):
         self.options = dict(options)
 
     def write(self, iterator):
-        return Staged(load_client(self.options).stage(iterator))
+        return _message(load_client(self.options).stage(iterator))
 
     def commit(self, messages, batchId):
         run = self.options.get("query", "stream")
-        load_client(self.options).publish([f for m in messages if m for f in m.files], f"{run}-{batchId}")
+        load_client(self.options).publish([f for m in messages if m for f in m.staged], f"{run}-{batchId}")
 
     def abort(self, messages, batchId):
         return None
@@ -267,7 +268,6 @@ class LogSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
-    ship_package(spark)
     spark.dataSource.register(LogSource)
 
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -15,6 +17,10 @@ from millrace.session import ship_package, shuffle_partitions
 from millrace.sinks.storage import Folder
 
 
+# Spark starts a state processor on the driver too, in a Python process that knows no added files: send the code itself.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 class CountingProcessor(StatefulProcessor):
     """Turns (key, rows seen in a piece) into (key, rows before the piece, rows in it).
 
