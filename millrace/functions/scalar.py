@@ -110,7 +110,8 @@ def byte_hash(key: Column | str) -> Column:
     characters = F.split(F.decode(_c(key).cast("binary"), "ISO-8859-1"), "")
     signed = lambda b: F.when(b > 127, b - 256).otherwise(b)
     step = lambda h, c: F.pmod(h * 31 + signed(F.ascii(c)), F.lit(_TWO32))
-    folded = F.aggregate(characters, F.lit(1).cast("long"), step)
+    seed = F.lit(1).cast("long")
+    folded = F.when(F.octet_length(_c(key)) == 0, seed).otherwise(F.aggregate(characters, seed, step))
     return F.when(folded >= _TWO32 // 2, folded - _TWO32).otherwise(folded)
 
 

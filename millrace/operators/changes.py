@@ -60,38 +60,28 @@ def _or_null(column: Column) -> Column:
     return F.coalesce(column.cast("string"), F.lit("null"))
 
 
-def _quoted(column: Column) -> Column:
-    return F.concat(F.lit("'"), _or_null(column), F.lit("'"))
+# The text of a change and of an item, with a place for each field.
+CHANGE_TEXT = "ChangeEvent{timestamp=%s, eventType=%s, oldItem=%s, newItem=%s}"
+ITEM_TEXT = "DdbTableSchema{partitionKey='%s', sortKey='%s', fieldOne='%s', fieldTwo='%s'}"
 
 
 def item_to_string(item: Column) -> Column:
-    inner = F.concat(
-        F.lit("DdbTableSchema{partitionKey="), _quoted(item["partitionKey"]),
-        F.lit(", sortKey="), _quoted(item["sortKey"]),
-        F.lit(", fieldOne="), _quoted(item["fieldOne"]),
-        F.lit(", fieldTwo="), _quoted(item["fieldTwo"]),
-        F.lit("}"),
-    )
-    return F.when(item.isNull(), F.lit("null")).otherwise(inner)
+    text = F.format_string(ITEM_TEXT, *[_or_null(item[field]) for field in ITEM_FIELDS.values()])
+    return F.when(item.isNotNull(), text)
+
+
+def instant_text(ts: Column | str) -> Column:
+    """ISO text in UTC, with no fraction, milliseconds or microseconds as the value needs."""
+    micro = F.date_format(ts, "SSSSSS")
+    digits = F.when(micro == "000000", "").when(micro.endswith("000"), F.substring(micro, 1, 3)).otherwise(micro)
+    dot = F.when(digits == "", "").otherwise(".")
+    return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), dot, digits, F.lit("Z"))
 
 
 def change_to_string() -> Column:
     """A decoded change as text; a missing part prints as ``null``."""
-    stamp = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss")
-    micro = F.date_format("timestamp", "SSSSSS")
-    fraction = (
-        F.when(micro == "000000", "")
-        .when(micro.endswith("000"), F.concat(F.lit("."), F.substring(micro, 1, 3)))
-        .otherwise(F.concat(F.lit("."), micro))
-    )
-    instant = F.concat(stamp, fraction, F.lit("Z"))
-    return F.concat(
-        F.lit("ChangeEvent{timestamp="), _or_null(instant),
-        F.lit(", eventType="), _or_null(F.col("eventType")),
-        F.lit(", oldItem="), item_to_string(F.col("oldItem")),
-        F.lit(", newItem="), item_to_string(F.col("newItem")),
-        F.lit("}"),
-    )
+    parts = [instant_text("timestamp"), F.col("eventType"), item_to_string(F.col("oldItem")), item_to_string(F.col("newItem"))]
+    return F.format_string(CHANGE_TEXT, *[_or_null(part) for part in parts])
 
 
 def with_change_metadata(

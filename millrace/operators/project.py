@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -57,26 +57,60 @@ def ndjson(column: Column | str) -> Column:
     return F.filter(F.split(column, "\n"), lambda line: F.length(F.trim(line)) > 0)
 
 
+def compatibility(writer: T.StructType, reader: T.StructType, defaults: Mapping[str, object] | None = None) -> list[str]:
+    """Why rows of the writer's schema cannot be read as the reader's; empty when they can (backward compatible)."""
+    defaults, written, problems = defaults or {}, {f.name: f.dataType for f in writer.fields}, []
+    for field in reader.fields:
+        if field.name in written:
+            source = written[field.name]
+            if not widens(source, field.dataType):
+                problems.append(f"{field.name}: {source.simpleString()} cannot be read as {field.dataType.simpleString()}")
+        elif field.name not in defaults and not field.nullable:
+            problems.append(f"{field.name}: required, but neither written nor given a default")
+    return problems
+
+
+def _as_reader(
+    value: Callable[[str], Column], writer: T.StructType, reader: T.StructType, defaults: Mapping[str, object] | None
+) -> list[Column]:
+    if problems := compatibility(writer, reader, defaults):
+        raise ValueError("; ".join(problems))
+    written = set(writer.fieldNames())
+    given = lambda f: value(f.name) if f.name in written else F.lit((defaults or {}).get(f.name))
+    return [given(field).cast(field.dataType).alias(field.name) for field in reader.fields]
+
+
 def evolve_to(df: DataFrame, schema: T.StructType, defaults: Mapping[str, object] | None = None) -> DataFrame:
     """Read rows of an older or newer version as ``schema``.
 
     A column the rows lack takes its default, or null where the field is nullable; a column the schema lacks is left
     out; types are widened. A required column without a default, or a narrowing cast, is refused.
     """
-    defaults = defaults or {}
-    present = {field.name: field.dataType for field in df.schema.fields}
-    columns = []
-    for field in schema.fields:
-        if field.name in present:
-            if not widens(present[field.name], field.dataType):
-                raise TypeError(f"{field.name}: {present[field.name].simpleString()} -> {field.dataType.simpleString()}")
-            column = F.col(f"`{field.name}`").cast(field.dataType)
-        elif field.name in defaults or field.nullable:
-            column = F.lit(defaults.get(field.name)).cast(field.dataType)
-        else:
-            raise ValueError(f"no value and no default for required column {field.name}")
-        columns.append(column.alias(field.name))
-    return df.select(*columns)
+    return df.select(*_as_reader(lambda name: F.col(f"`{name}`"), df.schema, schema, defaults))
+
+
+def decode_versions(
+    df: DataFrame,
+    value: str,
+    version: str,
+    writers: Mapping[int, T.StructType],
+    reader: T.StructType,
+    defaults: Mapping[str, object] | None = None,
+) -> DataFrame:
+    """JSON values written under registered schemas, read as one reader schema in one pass.
+
+    ``version`` says under which schema a row was written; an unregistered version or an undecodable value fails the job.
+    """
+    chosen = None
+    for number, writer in writers.items():
+        row = scalar.json_decode(value, writer)
+        struct = F.struct(*_as_reader(lambda name, row=row: row[name], writer, reader, defaults))
+        chosen = F.when(F.col(version) == number, struct) if chosen is None else chosen.when(F.col(version) == number, struct)
+    if chosen is None:
+        raise ValueError("no writer schema is registered")
+    unknown = F.concat(F.lit("unregistered schema version "), F.coalesce(F.col(version).cast("string"), F.lit("null")))
+    failed = F.raise_error(unknown).cast(reader)
+    return df.select(chosen.otherwise(failed).alias("_row")).select("_row.*")
 
 
 # The types each simple type may be read as.

@@ -208,6 +208,22 @@ def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return project.union_versions([old, new], reader, {"c_mktsegment": "UNKNOWN"})
 
 
+@query("""
+    SELECT event_id, event_type, CASE WHEN event_type = 'signup' THEN -1.0 ELSE value END AS value FROM events
+""")
+def registry_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages written under two registered schemas (sign-ups under the older), read as one."""
+    older = T.StructType().add("event_id", "integer").add("event_type", "string")
+    newer = T.StructType().add("event_id", "long").add("event_type", "string").add("value", "double").add("props", "string")
+    is_older = F.col("event_type") == "signup"
+    text = F.when(is_older, scalar.json_encode("event_id", "event_type")).otherwise(
+        scalar.json_encode("event_id", "event_type", "value", "props")
+    )
+    messages = table(spark, sf_dir, "events").select(F.when(is_older, 1).otherwise(2).alias("version"), text.alias("message"))
+    reader = T.StructType().add("event_id", "long").add("event_type", "string").add("value", "double")
+    return project.decode_versions(messages, "message", "version", {1: older, 2: newer}, reader, {"value": -1.0})
+
+
 @query("""
     SELECT doc_id, line FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents) WHERE line <> ''
 """)

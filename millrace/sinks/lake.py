@@ -87,7 +87,8 @@ def apply_changes(
     """Apply a batch of changes: the last change of a key wins, a removal deletes its row.
 
     With ``version`` (a stored column that grows with every change of a key) a change older than the stored row is
-    ignored, so batches may come late or twice.
+    ignored, so batches may come late or twice. A removed row leaves no version behind: a change of it that comes after a
+    later removal was applied brings it back.
     """
     incoming = latest_by_key(changes, keys, order, op, drop_removed=False)
     _merge(changes.sparkSession, path, incoming, op, keys, partition_by, commit_id, version)

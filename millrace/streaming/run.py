@@ -60,3 +60,8 @@ def rates(query: StreamingQuery) -> dict[str, float]:
     if last is None:
         return {"rows": 0, "rows_per_second": 0.0}
     return {"rows": last["numInputRows"], "rows_per_second": last["processedRowsPerSecond"]}
+
+
+def dropped_late(query: StreamingQuery) -> int:
+    """Rows the watermark has dropped over the micro-batches that are still known."""
+    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])

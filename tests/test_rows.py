@@ -87,10 +87,25 @@ def test_schema_evolution_rules(spark):
     assert rows(project.evolve_to(df, reader)) == [(1, "x", None)]
     with pytest.raises(ValueError):
         project.evolve_to(df, T.StructType().add("id", "long").add("must", "string", False))
-    with pytest.raises(TypeError):
+    with pytest.raises(ValueError):
         project.evolve_to(df, T.StructType().add("name", "integer"))
 
 
+def test_versions_of_a_value(spark):
+    old, new = T.StructType().add("id", "integer"), T.StructType().add("id", "long").add("tag", "string").add("gone", "long")
+    reader = T.StructType().add("id", "long").add("tag", "string", False)
+    data = [(1, '{"id":1}'), (2, '{"id":2,"tag":"b","gone":0}')]
+    df = spark.createDataFrame(data, "v int, value string")
+    read = lambda d: project.decode_versions(d, "value", "v", {1: old, 2: new}, reader, {"tag": "none"})
+    assert rows(read(df)) == [(1, "none"), (2, "b")]
+    for bad in [(3, "{}"), (None, "{}"), (1, '{"id":"x"}')]:
+        with pytest.raises(JOB_ERRORS):
+            read(spark.createDataFrame([bad], "v int, value string")).collect()
+    assert project.compatibility(new, T.StructType().add("id", "integer").add("must", "long", False)) == [
+        "id: bigint cannot be read as int", "must: required, but neither written nor given a default"
+    ]
+
+
 def test_insert_by_position_needs_equal_width(spark):
     with pytest.raises(ValueError):
         project.insert_by_position(spark.range(1), T.StructType().add("a", "long").add("b", "long"))

@@ -36,12 +36,15 @@ def test_restart_goes_on_from_the_checkpoint(spark, tmp_path):
 
 
 def test_rows_behind_the_watermark_are_dropped(spark, tmp_path):
+    dropped = []
     for batch in ([("a", 0, 1, 5.0)], [("a", 1, 100, 7.0)], [("a", 2, 2, 1.0)], [("a", 3, 200, 9.0)]):
         feed(spark, tmp_path / "in", batch)
         timed = event_time(stream(spark, tmp_path / "in"), "ts")
         out = windows.window_min(timed, "ts", "key", "v", "30 seconds")
-        run.run_to_end(sink_files.save(out, f"{tmp_path}/out", checkpoint=f"{tmp_path}/cp"))
+        query = run.run_to_end(sink_files.save(out, f"{tmp_path}/out", checkpoint=f"{tmp_path}/cp"))
+        dropped.append(run.dropped_late(query))
     got = spark.read.parquet(f"{tmp_path}/out")
+    assert dropped == [0, 0, 1, 0]
     assert rows(got, "min_value") == [(5.0,), (7.0,)]  # 1.0 came too late, 9.0 is still open
 
 
