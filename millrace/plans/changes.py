@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators import changes
-from millrace.operators.project import project_rename
 from millrace.plans.registry import ntz, query
 from millrace.session import shared_dir
 from millrace.sinks import lake

@@ -103,11 +103,11 @@ def queue_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
     SELECT sum(CASE WHEN event_type <> 'error' THEN chunks END)::BIGINT AS sent,
            sum(CASE WHEN event_type = 'error' THEN chunks END)::BIGINT AS dropped
-    FROM (SELECT event_type, user_id, (count(*) + 4) // 5 AS chunks FROM events GROUP BY event_type, user_id)
+    FROM (SELECT event_type, user_id, (count(*) + 499) // 500 AS chunks FROM events GROUP BY event_type, user_id)
 """)
 def metric_samples_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Series of samples sent in order; what the endpoint keeps refusing is discarded and counted."""
     series = ordered.group_samples(
-        events(spark, sf_dir), "value", ["event_type", "user_id"], "ts", "value", ["event_id"], size=5
+        events(spark, sf_dir), "value", ["event_type", "user_id"], "ts", "value", ["event_id"], size=500
     )
     return _sent(spark, service.write_metric_samples(series, Refusing, attempts=2))

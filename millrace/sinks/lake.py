@@ -129,16 +129,17 @@ def _merge(
     staged, touched_path = f"{path}/{commit}/rows", f"{path}/{commit}/touched"
     schema = incoming.drop(op).schema if op else incoming.schema
     if not folder.exists(f"{commit}/rows/_SUCCESS"):
-        incoming.write.mode("overwrite").parquet(f"{path}/{commit}/incoming")
-        incoming = spark.read.schema(incoming.schema).parquet(f"{path}/{commit}/incoming")
         if _has_rows_folder(folder, parts):
             stored = spark.read.schema(schema).option("basePath", path).parquet(path)
+            if version:
+                newer = stored.select(*keys, version).filter(F.col(version).isNotNull())
+                stale = _same(incoming, newer, keys) & (newer[version] > incoming[version])
+                incoming = incoming.join(newer, stale, "left_anti")
         else:
             stored = spark.createDataFrame([], schema)
-        if version:
-            newer = stored.select(*keys, version).filter(F.col(version).isNotNull())
-            stale = _same(incoming, newer, keys) & (newer[version] > incoming[version])
-            incoming = incoming.join(newer, stale, "left_anti")
+        # Used three times below, so it is written down once.
+        incoming.write.mode("overwrite").parquet(f"{path}/{commit}/incoming")
+        incoming = spark.read.schema(incoming.schema).parquet(f"{path}/{commit}/incoming")
         touched = incoming.select(*parts)
         if not set(parts) <= set(keys):
             # The key does not fix the partition: a replaced row may lie anywhere.

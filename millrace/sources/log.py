@@ -16,6 +16,7 @@ import sys
 import uuid
 import zlib
 from collections.abc import Iterator
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.fs as pafs
@@ -53,6 +54,14 @@ ARROW = pa.schema(
 LATEST, TRIM_HORIZON, AT_TIMESTAMP = "LATEST", "TRIM_HORIZON", "AT_TIMESTAMP"
 
 
+# Staged rows are written in row groups of about this size.
+GROUP_BYTES = 8 << 20
+
+
+def _group_rows(file: pq.ParquetFile) -> list[int]:
+    return [file.metadata.row_group(i).num_rows for i in range(file.num_row_groups)]
+
+
 class FileLog:
     """A log kept as Parquet segments in a shared folder, one subfolder per shard.
 
@@ -66,6 +75,7 @@ class FileLog:
             where = "/" + where.removeprefix("file:").lstrip("/")
         self.fs, self.root = pafs.FileSystem.from_uri(where)
         self.count = int(options.get("shards", "4"))
+        self.rows_per_piece = int(options.get("rowsPerPiece", "1000000"))
 
     def shards(self) -> list[str]:
         return [f"shard-{i:06d}" for i in range(self.count)]
@@ -84,42 +94,61 @@ class FileLog:
         return (segments[0][0], segments[-1][1]) if segments else (0, 0)
 
     def at_timestamp(self, shard: str, micros: int) -> int:
-        """Sequence number of the first record that arrived at or after the time."""
+        """Sequence number of the first record that arrived at or after the time.
+
+        Row groups whose newest record is older are passed over by their statistics, unread.
+        """
         limit = pa.scalar(micros, pa.timestamp("us", tz="UTC"))
         for first, _, path in self._segments(shard):
-            arrival = pq.read_table(path, columns=["arrival"], filesystem=self.fs)["arrival"]
-            at = pc.index(pc.greater_equal(arrival, limit), True).as_py()
-            if at >= 0:
-                return first + at
+            with self.fs.open_input_file(path) as handle:
+                file = pq.ParquetFile(handle)
+                for group, rows in enumerate(_group_rows(file)):
+                    newest = file.metadata.row_group(group).column(0).statistics
+                    if newest is None or not newest.has_min_max or newest.max >= limit.as_py():
+                        arrival = file.read_row_group(group, columns=["arrival"])["arrival"]
+                        at = pc.index(pc.greater_equal(arrival, limit), True).as_py()
+                        if at >= 0:
+                            return first + at
+                    first += rows
         return self.bounds(shard)[1]
 
     def pieces(self, shard: str, start: int, end: int) -> list[tuple[str, str, int, int, int]]:
-        """(shard, path, first, from, to) for each segment that overlaps [start, end)."""
-        return [
-            (shard, path, first, max(first, start), min(after, end))
-            for first, after, path in self._segments(shard)
-            if after > start and first < end
-        ]
+        """(shard, path, first, from, to) for what overlaps [start, end), at most ``rows_per_piece`` rows in each."""
+        found = []
+        for first, after, path in self._segments(shard):
+            low, high = max(first, start), min(after, end)
+            for at in range(low, high, self.rows_per_piece):
+                found.append((shard, path, first, at, min(at + self.rows_per_piece, high)))
+        return found
 
     def read(self, piece: tuple[str, str, int, int, int]) -> Iterator[pa.RecordBatch]:
         shard, path, at, start, end = piece
         with self.fs.open_input_file(path) as handle:
-            for batch in pq.ParquetFile(handle).iter_batches(batch_size=65536):
-                skip, take = max(0, start - at), min(batch.num_rows, end - at)
-                if take > skip:
-                    rows = batch.slice(skip, take - skip)
-                    numbers = pa.array(range(at + skip, at + take), pa.int64())
-                    shards = pa.repeat(pa.scalar(shard), rows.num_rows)
-                    yield pa.record_batch(
-                        [shards, numbers, rows["arrival"], rows["key"], rows["data"]], schema=ARROW
-                    )
-                at += batch.num_rows
+            file = pq.ParquetFile(handle)
+            for group, held in enumerate(_group_rows(file)):
+                if at < end and at + held > start:
+                    skip, take = max(0, start - at), min(held, end - at)
+                    for batch in file.read_row_group(group).slice(skip, take - skip).to_batches(65536):
+                        numbers = pa.array(np.arange(at + skip, at + skip + batch.num_rows))
+                        shards = pa.repeat(pa.scalar(shard), batch.num_rows)
+                        columns = [shards, numbers, batch["arrival"], batch["key"], batch["data"]]
+                        yield pa.record_batch(columns, schema=ARROW)
+                        skip += batch.num_rows
+                at += held
 
     def stage(self, batches: Iterator[pa.RecordBatch]) -> list[tuple[str, str, int]]:
         """Write the batches to one staged file per shard; (shard, path, rows) of each."""
-        shards, writers, rows, token = self.shards(), {}, {}, uuid.uuid4().hex
+        shards, token = self.shards(), uuid.uuid4().hex
+        writers, held, rows = {}, {}, {}
         self.fs.create_dir(f"{self.root}/_staged", recursive=True)
         schema = pa.schema([ARROW.field("arrival"), ARROW.field("key"), ARROW.field("data")])
+
+        def flush(home: int) -> None:
+            if home not in writers:
+                path = f"{self.root}/_staged/{token}-{home}.parquet"
+                writers[home] = (pq.ParquetWriter(path, schema, filesystem=self.fs), path)
+            writers[home][0].write_table(pa.concat_tables(held.pop(home)))
+
         for batch in batches:
             table = pa.table({name: batch[name].cast(schema.field(name).type) for name in schema.names}, schema=schema)
             keys = table["key"].combine_chunks().fill_null("").dictionary_encode()
@@ -127,12 +156,12 @@ class FileLog:
             homes = places.take(keys.indices)
             for home in pc.unique(homes).to_pylist():
                 part = table.filter(pc.equal(homes, home))
-                if home not in writers:
-                    path = f"{self.root}/_staged/{token}-{home}.parquet"
-                    writers[home] = (pq.ParquetWriter(path, schema, filesystem=self.fs), path)
-                    rows[home] = 0
-                writers[home][0].write_table(part)
-                rows[home] += part.num_rows
+                held.setdefault(home, []).append(part)
+                rows[home] = rows.get(home, 0) + part.num_rows
+                if sum(t.nbytes for t in held[home]) >= GROUP_BYTES:
+                    flush(home)
+        for home in list(held):
+            flush(home)
         for writer, _ in writers.values():
             writer.close()
         return [(shards[home], path, rows[home]) for home, (_, path) in writers.items()]

@@ -2,6 +2,7 @@ import datetime as dt
 import os
 import time
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -169,6 +170,22 @@ def test_log_pieces_split_a_shard(spark, tmp_path):
     target = f"{tmp_path}/log"
     for low in range(0, 30, 10):
         put(spark, target, low, low + 10, shards="1")
-    client = log.FileLog({"stream": target, "shards": "1"})
+    client = log.FileLog({"stream": target, "shards": "1", "rowsPerPiece": "2"})
     pieces = client.pieces("shard-000000", 5, 25)
-    assert len(pieces) > 1 and sum(b.num_rows for p in pieces for b in client.read(p)) == 20
+    read = [b["sequence"].to_pylist() for p in pieces for b in client.read(p)]
+    assert max(map(len, read)) == 2 and [n for batch in read for n in batch] == list(range(5, 25))
+
+
+def test_log_row_groups(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(log, "GROUP_BYTES", 1)  # a row group per batch
+    client = log.FileLog({"stream": f"{tmp_path}/log", "shards": "1"})
+    fields = [log.ARROW.field(n) for n in ("arrival", "key", "data")]
+    batches = [
+        pa.record_batch([pa.array([i * 10_000_000 + j for j in range(4)], fields[0].type), ["k"] * 4, [b"x"] * 4], schema=pa.schema(fields))
+        for i in range(5)
+    ]
+    client.publish(client.stage(iter(batches)), "b")
+    assert client.bounds("shard-000000") == (0, 20)
+    assert [client.at_timestamp("shard-000000", t) for t in (0, 2, 4, 20_000_001, 99_000_000)] == [0, 2, 4, 9, 20]
+    (piece,) = client.pieces("shard-000000", 6, 13)
+    assert [n for b in client.read(piece) for n in b["sequence"].to_pylist()] == list(range(6, 13))
