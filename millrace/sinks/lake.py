@@ -129,7 +129,7 @@ def _merge(
     staged, touched_path = f"{path}/{commit}/rows", f"{path}/{commit}/touched"
     schema = incoming.drop(op).schema if op else incoming.schema
     if not folder.exists(f"{commit}/rows/_SUCCESS"):
-        if _has_rows_folder(folder, parts):
+        if any(name.startswith(f"{parts[0]}=") for name in folder.children()):
             stored = spark.read.schema(schema).option("basePath", path).parquet(path)
             if version:
                 newer = stored.select(*keys, version).filter(F.col(version).isNotNull())
@@ -162,12 +162,6 @@ def _merge(
     folder.remove(commit)
 
 
-def _has_rows_folder(folder: Folder, parts: Sequence[str]) -> bool:
-    if not folder.exists():
-        return False
-    return any(s.getPath().getName().startswith(f"{parts[0]}=") for s in folder._fs.listStatus(folder._at("")))
-
-
 def merge_table(df: DataFrame, table: str, keys: Sequence[str], op: str | None = None) -> None:
     """The same through ``MERGE INTO`` on a catalog table whose format supports it."""
     match = reduce(lambda a, b: a & b, [F.col(f"{table}.{k}").eqNullSafe(F.col(f"_source.{k}")) for k in keys])

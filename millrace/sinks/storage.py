@@ -25,6 +25,10 @@ class Folder:
     def remove(self, name: str) -> None:
         self._fs.delete(self._at(name), True)
 
+    def children(self, name: str = "") -> list[str]:
+        """Names directly inside a subfolder."""
+        return [s.getPath().getName() for s in self._fs.listStatus(self._at(name))] if self.exists(name) else []
+
     def age_seconds(self, name: str) -> float:
         return time.time() - self._fs.getFileStatus(self._at(name)).getModificationTime() / 1000
 

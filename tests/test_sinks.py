@@ -32,7 +32,9 @@ def test_default_operation_is_upsert_by_symbol(spark, tmp_path):
     assert lake.parse_fields("a, b c") == ["a", "b", "c"]
 
 
-def test_upsert_moves_between_partitions_and_empties_one(spark, tmp_path):
+@pytest.mark.parametrize("few", [1000, 0])
+def test_upsert_moves_between_partitions_and_empties_one(spark, tmp_path, monkeypatch, few):
+    monkeypatch.setattr(lake, "_FEW_PARTITIONS", few)  # a filter for few partitions, a join for many
     path = f"{tmp_path}/t"
     lake.lake_upsert(prices(spark, [("A", 1.0, 1), ("B", 2.0, 2), ("it's/odd=1", 3.0, 3), (None, 4.0, 4)]), path, ["id"], ["symbol"])
     lake.lake_upsert(prices(spark, [("B", 9.0, 1), ("B", 8.0, 3), ("B", 7.0, 4), ("B", 6.0, 4)]), path, ["id"], ["symbol"], order=["price"])
@@ -40,6 +42,18 @@ def test_upsert_moves_between_partitions_and_empties_one(spark, tmp_path):
     assert [d for d in os.listdir(path) if d.startswith("symbol=")] == ["symbol=B"]
 
 
+@pytest.mark.parametrize("few", [1000, 0])
+def test_upsert_with_two_partition_columns(spark, tmp_path, monkeypatch, few):
+    monkeypatch.setattr(lake, "_FEW_PARTITIONS", few)
+    path, schema = f"{tmp_path}/t", "id int, v string, a string, b int"
+    first = [(1, "x", "p", 1), (2, "x", "p", None), (3, "x", None, 1), (4, "x", "q", 2)]
+    second = [(1, "y", "p", 2), (2, "y", "p", None), (3, "y", "q", 2)]
+    for batch in (first, second):
+        lake.lake_upsert(spark.createDataFrame(batch, schema), path, ["id"], ["a", "b"])
+    got = spark.read.schema("id int, v string, a string, b int").parquet(path)
+    assert rows(got) == sorted([(1, "y", "p", 2), (2, "y", "p", None), (3, "y", "q", 2), (4, "x", "q", 2)], key=repr)
+
+
 def test_commit_is_applied_once(spark, tmp_path):
     path = f"{tmp_path}/t"
     lake.lake_upsert(prices(spark, [("A", 1.0, 1)]), path, ["id"], ["symbol"], commit_id="1")
