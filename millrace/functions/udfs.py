@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.session import ship_package
 
 
 def _celsius_to_fahrenheit(celsius: pd.Series) -> pd.Series:
@@ -30,7 +29,6 @@ determinant = F.pandas_udf(_determinant, T.FloatType())
 
 def register_udfs(spark: SparkSession) -> None:
     """Make the functions available to SQL."""
-    ship_package(spark)
     spark.udf.register("celsius_to_fahrenheit", celsius_to_fahrenheit)
     spark.udf.register("determinant", determinant)
 
@@ -42,7 +40,6 @@ def service_column(
 
     The client is made once per task; if that fails, every row of the task gets the error text.
     """
-    ship_package(df.sparkSession)
     schema = T.StructType(df.schema.fields + [T.StructField(out, T.StringType())])
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.session import ship_package
 
 OK, TIMEOUT, FAILED = "OK", "TIMEOUT", "FAILED"
 FAIL, DROP, DEAD_LETTER = "fail", "drop", "dead_letter"
@@ -67,7 +66,6 @@ def enrich(
     """
     if on_error not in (FAIL, DROP, DEAD_LETTER) or on_timeout not in (DROP, DEAD_LETTER):
         raise ValueError(f"unknown policy {on_error!r} / {on_timeout!r}")
-    ship_package(df.sparkSession)
     added = [("status", T.StringType()), ("code", T.IntegerType()), ("attempts", T.IntegerType())]
     schema = T.StructType(df.schema.fields + [T.StructField(name, kind) for name, kind in added])
 

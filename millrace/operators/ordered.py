@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from millrace.functions.durations import micros
 from millrace.session import shuffle_partitions
 
 _SLICE, _ORDER, _LARGE, _CARRIED, _CARRY = "_slice", "_order", "_large", "_carried", "_carry"
@@ -152,17 +153,20 @@ def late_split(
     size: str,
     delay: str,
     source: Sequence[str] = (),
+    slide: str | None = None,
     slices: int | None = None,
 ) -> DataFrame:
-    """Mark the rows whose tumbling window the watermark had closed when they arrived.
+    """Mark the rows all of whose windows the watermark had closed when they arrived.
 
     The watermark is the largest timestamp among the rows that arrived before, less ``delay``, less one millisecond; a
-    window closes when the watermark reaches its last millisecond. ``source`` names the source partition, each of which
-    has its own watermark; without it there is a single one, still computed in slices.
+    window closes when the watermark reaches its last millisecond. Windows tumble unless ``slide`` is given. ``source``
+    names the source partition, each of which has its own watermark; without it there is a single one, still computed in
+    slices.
     """
     tracked = running_max(df, source, arrival, ts, "_seen", slices)
-    end = F.window(ts, size)["end"]
-    closed = end <= F.col("_seen") - F.expr(f"interval {delay}")
+    at = F.unix_micros(ts)
+    last_end = at - F.pmod(at, F.lit(micros(slide or size))) + micros(size)
+    closed = last_end <= F.unix_micros("_seen") - micros(delay)
     return tracked.withColumn("is_late", F.coalesce(closed, F.lit(False))).drop("_seen")
 
 

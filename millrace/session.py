@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
-import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -45,26 +43,6 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-_shipped: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Make this package importable in Python workers on every executor (once per application)."""
-    app = spark.sparkContext.applicationId
-    if app in _shipped:
-        return
-    root = os.path.dirname(os.path.abspath(__file__))
-    target = os.path.join(tempfile.mkdtemp(prefix="run-"), "millrace.zip")
-    with zipfile.ZipFile(target, "w") as archive:
-        for folder, _, files in os.walk(root):
-            for name in files:
-                if name.endswith(".py"):
-                    full = os.path.join(folder, name)
-                    archive.write(full, os.path.relpath(full, os.path.dirname(root)))
-    spark.sparkContext.addPyFile(target)
-    _shipped.add(app)
-
-
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for tables and checkpoints under the shared folder the cluster names in ``spark.checkpoint.dir``.
 

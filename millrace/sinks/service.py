@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import scalar
-from millrace.session import ship_package
 
 FAIL, DISCARD = "fail", "discard"
 # The largest number of records one call may carry.
@@ -50,7 +49,6 @@ def put_rows(
     exhausted: str = FAIL,
 ) -> tuple[int, int]:
     """Send every row of a batch (as a dict) from its task; (sent, discarded) over all tasks."""
-    ship_package(df.sparkSession)
 
     def run(batches):
         rows = (row for arrow in batches for row in arrow.to_pylist())

@@ -19,9 +19,13 @@ def source_options(
     start_timestamp: int | None = None,
     group: str | None = None,
     max_offsets: int | None = None,
+    max_records_per_task: int | None = None,
     **client: str,
 ) -> dict[str, str]:
-    """Reader options. A start timestamp (epoch ms) wins over ``start``; ``client`` goes to the consumer unchanged."""
+    """Reader options. A start timestamp (epoch ms) wins over ``start``; ``client`` goes to the consumer unchanged.
+
+    ``max_offsets`` bounds a micro-batch; ``max_records_per_task`` splits a topic partition that holds much of the data.
+    """
     options = {"kafka.bootstrap.servers": servers, "subscribe": topic}
     if start_timestamp is not None:
         options["startingTimestamp"] = str(start_timestamp)
@@ -33,6 +37,8 @@ def source_options(
         options["kafka.group.id"] = group
     if max_offsets:
         options["maxOffsetsPerTrigger"] = str(max_offsets)
+    if max_records_per_task:
+        options["maxRecordsPerPartition"] = str(max_records_per_task)
     options.update({f"kafka.{name.replace('_', '.')}": value for name, value in client.items()})
     return options
 

@@ -12,7 +12,6 @@ all records is still read by many tasks.
 from __future__ import annotations
 
 import importlib
-import sys
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -21,7 +20,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,9 +35,6 @@ from pyspark.sql.datasource import (
 
 from millrace.functions import scalar
 
-# Spark plans a streaming source in a Python process on the driver that knows no added files: send the code itself.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 FORMAT = "millrace_log"
 SCHEMA = "shard string, sequence bigint, arrival timestamp, key string, data binary"
 ARROW = pa.schema(

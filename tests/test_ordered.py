@@ -70,15 +70,16 @@ def test_late_rows(spark, slices):
     assert [s for (s,) in rows(marked.filter("is_late"), "s")] == [3]
 
 
-def test_late_rows_brute_force_per_source(spark):
+@pytest.mark.parametrize("slide", [30, 10])
+def test_late_rows_brute_force_per_source(spark, slide):
     rng = random.Random(5)
     start = dt.datetime(2024, 1, 1)
     data = [(i, rng.choice("xxy"), start + dt.timedelta(seconds=i + rng.randrange(-60, 60) + 100)) for i in range(300)]
     df = spark.createDataFrame(data, "a bigint, src string, ts timestamp_ntz").withColumn("ts", F.col("ts").cast("timestamp"))
-    got = {r.a: r.is_late for r in ordered.late_split(df, "ts", ["a"], "30 seconds", "10 seconds", ["src"], slices=9).collect()}
+    got = {r.a: r.is_late for r in ordered.late_split(df, "ts", ["a"], "30 seconds", "10 seconds", ["src"], f"{slide} seconds", slices=9).collect()}
     seen, wanted = {}, {}
     for a, src, ts in data:
-        end = start + dt.timedelta(seconds=((ts - start).total_seconds() // 30 + 1) * 30)
+        end = start + dt.timedelta(seconds=(ts - start).total_seconds() // slide * slide + 30)
         wanted[a] = src in seen and end <= seen[src] - dt.timedelta(seconds=10)
         seen[src] = max(ts, seen.get(src, ts))
     assert got == wanted and any(wanted.values())
