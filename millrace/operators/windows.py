@@ -124,37 +124,32 @@ def vehicle_window_agg(
 ) -> DataFrame:
     """Per key and window: the sum of each reading divided by the number of *events*, and the count of distinct lights.
 
-    Every event becomes small (kind, name, number) items and those are summed per (window, key, kind, name), so no
-    window is ever held as a list of rows. The division is on whole numbers and drops the remainder. The timestamp is
-    the last millisecond of the window. A null map or list contributes nothing, its event still counts.
+    Every event becomes small (tag, number) items: one for itself, one per reading, one per light; the tag is a letter and
+    the name. Items are summed per (window, key, tag), so no window is ever held as a list of rows. The division is on
+    whole numbers and drops the remainder. The timestamp is the last millisecond of the window. A null map or list
+    contributes nothing, its event still counts; a null light counts as one more light.
     """
-    item = "struct<kind:string,name:string,n:bigint>"
-    event = F.array(F.struct(F.lit("E").alias("kind"), F.lit("").alias("name"), F.lit(1).cast("long").alias("n")))
-    measured = F.transform(
-        F.map_entries(readings), lambda e: F.struct(F.lit("S").alias("kind"), e["key"].alias("name"), e["value"].alias("n"))
-    )
-    lit_up = F.transform(
-        lights, lambda w: F.struct(F.lit("W").alias("kind"), w.alias("name"), F.lit(1).cast("long").alias("n"))
-    )
-    none = F.array().cast(f"array<{item}>")
+    one = F.lit(1).cast("long")
+    tagged = lambda tag, n: F.struct(tag.alias("tag"), n.alias("n"))
+    event = F.array(tagged(F.lit("E"), one))
+    measured = F.transform(F.map_entries(readings), lambda e: tagged(F.concat(F.lit("S"), e["key"]), e["value"]))
+    lit_up = F.transform(lights, lambda w: tagged(F.coalesce(F.concat(F.lit("W"), w), F.lit("N")), one))
+    none = F.array().cast("array<struct<tag:string,n:bigint>>")
     items = F.concat(event, F.coalesce(measured, none), F.coalesce(lit_up, none))
-    exploded = df.select(F.col(ts).alias("_ts"), F.col(key).alias("_key"), F.explode(items).alias("_item"))
-    summed = exploded.groupBy(
-        F.window("_ts", size).alias("_w"), "_key", F.col("_item.kind").alias("_kind"), F.col("_item.name").alias("_name")
-    ).agg(F.sum("_item.n").alias("_n"))
-
-    outer = F.window(F.window_time("_w"), size) if df.isStreaming else F.col("_w")
-    kind_is = lambda kind: F.col("_kind") == kind
-    per_window = summed.groupBy(outer.alias("_window"), "_key").agg(
-        F.max(F.when(kind_is("E"), F.col("_n"))).alias("_events"),
-        F.count(F.when(kind_is("W"), F.lit(1))).cast("int").alias("countDistinctWarnings"),
-        F.collect_list(F.when(kind_is("S"), F.struct("_name", "_n"))).alias("_sums"),
+    exploded = df.select(F.col(ts).alias("_ts"), F.col(key).alias("_key"), F.inline(items))
+    if df.isStreaming:  # append mode needs the window itself in both groupings
+        window, again, end = F.window("_ts", size), F.window(F.window_time("_w"), size), F.col("_of.end")
+    else:
+        window, again, end = F.window("_ts", size)["end"], F.col("_w"), F.col("_of")
+    summed = exploded.groupBy(window.alias("_w"), "_key", "tag").agg(F.sum("n").alias("_n"))
+    kind, name = F.substring("tag", 1, 1), F.expr("substring(tag, 2)").alias("_name")
+    per_window = summed.groupBy(again.alias("_of"), "_key").agg(
+        F.max(F.when(kind == "E", F.col("_n"))).alias("_events"),
+        F.count(F.when(kind.isin("W", "N"), F.lit(1))).cast("int").alias("countDistinctWarnings"),
+        F.collect_list(F.when(kind == "S", F.struct(name, "_n"))).alias("_sums"),
     )
+    averages = F.expr("map_from_entries(transform(array_sort(_sums), s -> struct(s._name, s._n div _events)))")
     return per_window.select(
-        F.col("_key").alias(key),
-        (F.unix_millis("_window.end") - 1).alias("timestamp"),
-        F.expr(
-            "map_from_entries(transform(array_sort(_sums), s -> struct(s._name, s._n div _events)))"
-        ).alias("averageSensorData"),
+        F.col("_key").alias(key), (F.unix_millis(end) - 1).alias("timestamp"), averages.alias("averageSensorData"),
         "countDistinctWarnings",
     )

@@ -78,6 +78,7 @@ def test_vehicle_average_divides_by_events(spark):
         ("v", at(1), {"speed": 11}, ["tire"]),
         ("v", at(2), {"speed": 12, "rpm": -1001}, []),
         ("v", at(11), None, None),
+        ("v", at(21), {}, [None, "oil", None]),
         ("w", at(3), {}, ["oil"]),
     ]
     df = spark.createDataFrame(data, schema).withColumn("ts", F.col("ts").cast("timestamp"))
@@ -86,6 +87,7 @@ def test_vehicle_average_divides_by_events(spark):
     assert got == {
         ("v", 9999): ({"speed": 11, "rpm": 0}, 2),  # -1 div 3 drops towards zero
         ("v", 19999): ({}, 0),
+        ("v", 29999): ({}, 2),
         ("w", 9999): ({}, 1),
     }
 
