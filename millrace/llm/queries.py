@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import decontaminate
+from millrace.llm import decontaminate, neardup, tokenfiles
 from millrace.llm.registry import LLM_QUERIES, query
+from millrace.session import shared_dir
 from millrace.tables import table
 
 
@@ -15,4 +17,16 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("items")
 
 
+@query()
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_dir(spark, "tokens")
+    written = tokenfiles.write_token_files(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return tokenfiles.read_all(spark, folder, written)
+
+
+@query()
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
+
+
 __all__ = ["LLM_QUERIES"]
