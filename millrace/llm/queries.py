@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, neardup, tokenfiles
+from millrace.llm import decontaminate, exactdup, language, licenses, mixing, neardup, quality, rollups, tokenfiles, urls
 from millrace.llm.registry import LLM_QUERIES, query
 from millrace.session import shared_dir
 from millrace.tables import table
@@ -17,6 +18,41 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("items")
 
 
+@query()
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(quality.labelled_sample(docs, table(spark, sf_dir, "labels"))))
+
+
+# The same with SQL's own grouping by whole text.
+EXACT_SQL = """
+WITH plain AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+), grouped AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size, sha256(t) AS text_sha256 FROM plain GROUP BY t)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM plain JOIN grouped USING (t)
+"""
+
+
+@query(EXACT_SQL)
+def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exactdup.exact_duplicates(table(spark, sf_dir, "documents"), keep="largest")
+
+
+@query()
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labelled URLs are the pages of labelled documents: a page's path names its document."""
+    pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
+    number = F.regexp_extract(urls.parts(F.col("url"))[1], "/([0-9]{1,18})", 1)
+    shown = pages.select("url", number.try_cast("long").alias("doc_id"))
+    bad = ((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int").alias("blocked")
+    return urls.judge(pages, labelled=shown.join(labels, "doc_id").select("url", bad))
+
+
 @query()
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_dir(spark, "tokens")
@@ -24,9 +60,54 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.read_all(spark, folder, written)
 
 
+# What the batches below leave: all documents but those of poor quality, with the last label of toxic ones as source.
+ROLLUP_SQL = r"""
+WITH poor AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 0),
+toxic AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 1 AND toxic = 1),
+kept AS (
+  SELECT CASE WHEN t.doc_id IS NOT NULL THEN 'toxic' ELSE d.source END AS source, d.lang, coalesce(d.text, '') AS t
+  FROM documents d LEFT JOIN toxic t ON d.doc_id = t.doc_id
+  WHERE d.doc_id NOT IN (SELECT doc_id FROM poor WHERE doc_id IS NOT NULL)
+), counted AS (
+  SELECT source, lang, 'words-1' AS tokenizer,
+    len(regexp_extract_all(t, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS n FROM kept
+  UNION ALL
+  SELECT source, lang, 'pieces-1',
+    len(regexp_extract_all(t, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]{1,4}|[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]')) FROM kept
+)
+SELECT source, lang, tokenizer, count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_tokens FROM counted GROUP BY ALL
+"""
+
+
+@query(ROLLUP_SQL)
+def op7_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load all documents, take the poor ones away, move the toxic ones to a source of their own; each batch is sent twice."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    rollup = rollups.TokenRollup(spark, shared_dir(spark, "rollup"))
+    poor = labels.filter("quality = 0").select("doc_id")
+    toxic = labels.filter("quality = 1 AND toxic = 1").select("doc_id").distinct()
+    moved = docs.join(toxic, "doc_id", "left_semi").withColumn("source", F.lit("toxic"))
+    for _ in range(2):
+        rollup.commit("load", insert=docs)
+        rollup.commit("poor", delete=poor)
+        rollup.commit("toxic", revise=moved)
+    return rollup.totals()
+
+
+@query()
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.rates(table(spark, sf_dir, "documents"), mixing.domain_of(table(spark, sf_dir, "labels"))).drop("at")
+
+
 @query()
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
 
 
+@query()
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.predict(docs, language.fit(*language.learning_sample(docs)))
+
+
 __all__ = ["LLM_QUERIES"]
