@@ -34,6 +34,7 @@ from millrace.llm.components import Steps
 MAGIC = 0x31534B4F54524D
 KEYS_PER_BUCKET = 4
 MAX_CACHED = 1_000_000
+JOINED_BYTES = 1 << 14
 
 _GRAPHIC = byte_class(lambda b: 0x21 <= b <= 0x7E)
 _LETTER = byte_class(lambda b: 0x41 <= b <= 0x5A or 0x61 <= b <= 0x7A)
@@ -57,6 +58,16 @@ def cuts(texts: Texts) -> np.ndarray:
     return np.flatnonzero(cut)
 
 
+_ENDS = frozenset(np.flatnonzero(_GRAPHIC).tolist())
+_STARTS = _ENDS | {_LATIN}
+
+
+def _stands_alone(piece: bytes) -> bool:
+    """Whether the piece starts and ends so that ``cuts`` finds it again between others of the kind."""
+    n = len(piece)
+    return n > 1 and piece[0] == 0x20 and piece[1] in _STARTS and (piece[-1] in _ENDS or (n > 2 and piece[-2] == _LATIN))
+
+
 class Encoder:
     """Ids of whole documents, made from the ids of their different pieces."""
 
@@ -68,6 +79,10 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         # Pieces are the same as the whole only for a byte-level pre-tokenizer without a normalizer.
         self.whole = self.tokenizer.normalizer is not None or type(self.tokenizer.pre_tokenizer).__name__ != "ByteLevel"
+        # In a byte-level vocabulary each character of a token stands for one byte.
+        self.widths = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.widths[i] = len(token)
         self._clear()
 
     def _clear(self) -> None:
@@ -75,11 +90,29 @@ class Encoder:
         self.ids, self.lengths = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
 
     def _encode(self, parts: list[bytes]) -> None:
-        found = [x.ids for x in self.tokenizer.encode_batch_fast([p.decode() for p in parts], add_special_tokens=False)]
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        self.ids.append(np.fromiter((i for x in found for i in x), np.uint32, int(lengths.sum())))
+        """Pieces that would be cut from one another anyway are encoded together; the bytes of the ids tell them apart."""
+        joined, single = [], []
+        for part in parts:
+            (joined if not self.whole and _stands_alone(part) else single).append(part)
+        groups, size = [[]], 0
+        for part in joined:
+            groups[-1].append(part)
+            size += len(part)
+            if size > JOINED_BYTES:
+                groups.append([])
+                size = 0
+        together = [p.decode() for p in single] + [b"".join(g).decode() for g in groups]
+        found = [x.ids for x in self.tokenizer.encode_batch_fast(together, add_special_tokens=False)]
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        ids = np.fromiter((i for x in found for i in x), np.uint32, int(counts.sum()))
+        lengths = counts[: len(single)]
+        if joined:
+            ends = np.cumsum(self.widths[ids[lengths.sum() :]])
+            upto = np.searchsorted(ends, np.cumsum([len(p) for p in joined]), "left") + 1
+            lengths = np.concatenate([lengths, np.diff(upto, prepend=0)])
+        self.ids.append(ids)
         self.lengths.append(lengths)
-        self.rows.update(zip(parts, range(len(self.rows), len(self.rows) + len(parts)), strict=True))
+        self.rows.update(zip([*single, *joined], range(len(self.rows), len(self.rows) + len(parts)), strict=True))
 
     def encode(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and how many each document has."""
