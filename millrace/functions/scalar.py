@@ -66,9 +66,11 @@ CORRUPT = "_corrupt_record"
 
 
 def json_decode(value: Column | str, schema: T.StructType, iso: bool = False) -> Column:
-    """Text to a row; text that does not fit the schema fails the job."""
+    """Text to a row; text that does not fit the schema, blank text included, fails the job. A null stays null."""
     options = {"mode": "FAILFAST", **(JSON_ISO if iso else {})}
-    return F.from_json(_c(value).cast("string"), schema, options)
+    text = _c(value).cast("string")
+    blank = F.raise_error(F.lit("a blank text is no JSON object")).cast("string")
+    return F.from_json(F.when(F.length(F.trim(text)) == 0, blank).otherwise(text), schema, options)
 
 
 def json_decode_lenient(df: DataFrame, value: str, schema: T.StructType, out: str = "row", iso: bool = False) -> DataFrame:

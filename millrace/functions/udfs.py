@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.operators.asking import ask_all
 
 
 def _celsius_to_fahrenheit(celsius: pd.Series) -> pd.Series:
@@ -33,30 +34,42 @@ def register_udfs(spark: SparkSession) -> None:
     spark.udf.register("determinant", determinant)
 
 
+# Fixed value: the text of a failed call.
+ERROR_TEXT = "ERROR: Can't invoke {name}  Reason: {reason}"
+
+
 def service_column(
-    df: DataFrame, argument: str, out: str, make_client: Callable[[], Callable[[object], str]], name: str = "service"
+    df: DataFrame,
+    argument: str,
+    out: str,
+    make_client: Callable[[], Callable[[object], str]],
+    name: str = "service",
+    capacity: int = 16,
 ) -> DataFrame:
     """Ask a service once per row and add its answer as text. An exception becomes ``ERROR: ...``, never a failure.
 
-    The client is made once per task; if that fails, every row of the task gets the error text.
+    The client is made once per task and called from up to ``capacity`` threads; if making it fails, every row of the task
+    gets the error text. Rows come out in the order of their answers.
     """
     schema = T.StructType(df.schema.fields + [T.StructField(out, T.StringType())])
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        client, problem = None, None
+        problem = None
         try:
-            client = make_client()
+            made = make_client()
         except Exception as e:
             problem = e
+
+        def client(row, _):
+            if problem is not None:
+                raise problem
+            return made(row[1])
+
         for batch in batches:
-            answers = []
-            for value in batch.column(argument).to_pylist():
-                try:
-                    if problem is not None:
-                        raise problem
-                    answers.append(client(value))
-                except Exception as e:
-                    answers.append(f"ERROR: Can't invoke {name}  Reason: {e}")
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(answers, pa.string())], [*batch.schema.names, out])
+            numbered = enumerate(batch.column(argument).to_pylist())
+            answers = list(ask_all(numbered, client, capacity))
+            text = [a.value if a.error is None else ERROR_TEXT.format(name=name, reason=a.error) for a in answers]
+            rows = batch.take(pa.array([a.row[0] for a in answers], pa.int64()))
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(text, pa.string())], [*batch.schema.names, out])
 
     return df.mapInArrow(ask, schema)

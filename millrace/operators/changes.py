@@ -32,11 +32,13 @@ def decode_change(df: DataFrame, event_name: str, created: str, old_image: str,
     Any other event name fails the job. Item attributes spelled ``partition-key`` and ``sort-key`` are renamed.
     """
     name = F.col(event_name)
-    known = name.isin(INSERT, MODIFY, REMOVE)
-    unknown = F.raise_error(F.concat(F.lit("unknown event name "), F.coalesce(name, F.lit("null")))).cast("string")
-    return df.select(
+    known = F.coalesce(name.isin(INSERT, MODIFY, REMOVE), F.lit(False))
+    unknown = F.raise_error(F.concat(F.lit("unknown event name "), F.coalesce(name, F.lit("null")))).cast("boolean")
+    # As a filter the check holds whichever columns are read, and when rows are only counted.
+    checked = df.filter(F.when(known, F.lit(True)).otherwise(unknown))
+    return checked.select(
         F.col(created).alias("timestamp"),
-        F.when(known, name).otherwise(unknown).alias("eventType"),
+        name.alias("eventType"),
         F.when(name.isin(MODIFY, REMOVE), _item(df, old_image)).alias("oldItem"),
         F.when(name.isin(INSERT, MODIFY), _item(df, new_image)).alias("newItem"),
     )

@@ -2,48 +2,18 @@
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable, Iterator
-from concurrent.futures import ThreadPoolExecutor
-from itertools import count
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.operators.asking import FAILED, OK, TIMEOUT, Answer, ask_all
 
-OK, TIMEOUT, FAILED = "OK", "TIMEOUT", "FAILED"
 FAIL, DROP, DEAD_LETTER = "fail", "drop", "dead_letter"
-
-
-def ask_with_retries(client: Callable, row: dict, timeout: float, attempts: int, pause: float) -> tuple[str, int, int]:
-    """(status, last code, attempts made).
-
-    ``client(row, remaining seconds)`` returns a status code. 200 is an answer; any other code and any exception is
-    tried again until the attempts are used up (FAILED). The timeout covers all attempts of a row and the pauses between
-    them; when it runs out the row has no answer (TIMEOUT).
-    """
-    deadline, code = time.monotonic() + timeout, -1
-    for attempt in range(1, attempts + 1):
-        remaining = deadline - time.monotonic()
-        if remaining <= 0:
-            return TIMEOUT, code, attempt - 1
-        try:
-            code = client(row, remaining)
-        except TimeoutError:
-            return TIMEOUT, code, attempt
-        except Exception:
-            code = -1
-        if code == 200:
-            return OK, code, attempt
-        if attempt < attempts:
-            if time.monotonic() + pause >= deadline:
-                time.sleep(max(0.0, deadline - time.monotonic()))
-                return TIMEOUT, code, attempt
-            if pause > 0:
-                time.sleep(pause)
-    return FAILED, code, attempts
+ANSWERS_PER_BATCH = 1000
 
 
 def enrich(
@@ -57,7 +27,11 @@ def enrich(
     on_timeout: str = DROP,
     tasks: int | None = None,
 ) -> DataFrame:
-    """Ask the service once per row; answers come out in the order they arrive.
+    """Ask the service about every row; answers come out in the order they arrive, and no row waits for a slower one.
+
+    ``client(row, remaining seconds)`` returns a status code. 200 is an answer; any other code and any exception is tried
+    again until the attempts are used up (FAILED). The timeout covers all attempts of a row; when it runs out, the row has no
+    answer (TIMEOUT), even if the client is still busy or answers later.
 
     ``capacity`` bounds the rows in flight per task (divide the service's limit by the number of tasks). Output is the
     input columns with ``status``, ``code`` and ``attempts``. A row that failed fails the job, is dropped or is kept as a
@@ -69,41 +43,38 @@ def enrich(
     added = [("status", T.StringType()), ("code", T.IntegerType()), ("attempts", T.IntegerType())]
     schema = T.StructType(df.schema.fields + [T.StructField(name, kind) for name, kind in added])
 
-    def keep(answer) -> bool:
-        status = answer[0]
-        if status == FAILED:
+    def keep(answer: Answer) -> bool:
+        if answer.status == FAILED:
             if on_error == FAIL:
-                raise RuntimeError(f"the service answered {answer[1]} in {answer[2]} attempts")
+                raise RuntimeError(f"the service answered {_code(answer)} in {answer.attempts} attempts")
             return on_error == DEAD_LETTER
-        return status == OK or on_timeout == DEAD_LETTER
+        return answer.status == OK or on_timeout == DEAD_LETTER
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        client = make_client()
-        with ThreadPoolExecutor(capacity) as pool:
-            for batch in batches:
-                yield answered(pool, client, batch)
-
-    def answered(pool, client, batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows, answers = batch.to_pylist(), []
-        taken = count()
+        kinds = None
 
-        def work() -> None:
-            while (position := next(taken)) < len(rows):
-                answer = ask_with_retries(client, rows[position], timeout, attempts, pause)
-                if keep(answer):
-                    answers.append((position, *answer))
+        def rows():
+            nonlocal kinds
+            for batch in batches:
+                kinds = batch.schema
+                yield from batch.to_pylist()
 
-        for worker in [pool.submit(work) for _ in range(min(capacity, len(rows)))]:
-            worker.result()
-        positions, *columns = zip(*answers) if answers else ((), (), (), ())
-        kept = batch.take(pa.array(positions, pa.int64()))
-        typed = [pa.array(c, t) for c, t in zip(columns, [pa.string(), pa.int32(), pa.int32()])]
-        return pa.RecordBatch.from_arrays([*kept.columns, *typed], schema.names)
+        answers = ask_all(rows(), make_client(), capacity, timeout, attempts, pause, lambda code: code == 200)
+        kept = (answer for answer in answers if keep(answer))
+        while some := list(islice(kept, ANSWERS_PER_BATCH)):
+            given = pa.RecordBatch.from_pylist([a.row for a in some], kinds)
+            columns = [pa.array([a.status for a in some]), pa.array([_code(a) for a in some], pa.int32()), pa.array([a.attempts for a in some], pa.int32())]
+            yield pa.RecordBatch.from_arrays([*given.columns, *columns], schema.names)
 
     spread = df.repartition(tasks) if tasks else df
     return spread.mapInArrow(run, schema)
 
 
+def _code(answer: Answer) -> int:
+    """The last code; -1 if the last call raised or none has come back."""
+    return -1 if answer.value is None or answer.error is not None else answer.value
+
+
 def enriched_messages(answers: DataFrame, message: str = "message") -> DataFrame:
     """The messages of the rows that got an answer."""
     return answers.filter(F.col("status") == OK).select(message)

@@ -1,12 +1,11 @@
 """Per-key results that depend on the order of rows: running counts, running maxima, decaying averages, fixed-size chunks.
 
-A window function sorts all rows of one key in one task. That is right for keys up to the size of an average partition;
-a key above that is cut into slices. The keys are counted first: with n shuffle partitions fewer than n keys can hold
-more than 1/n of the rows each, so the list of large keys is short whatever the table's size. The rows of large keys are
-then sliced at the quantiles of their order column and every window runs per (key, slice). What a slice needs from the
-slices before it (a count, a maximum) is a small aggregate with map-side partials; it enters the slice as one extra first
-row, so the rows themselves are shuffled once and never joined with one another. Without large keys the plan is a plain
-window. Order columns are numbers or timestamps and together should be close to unique, like an arrival sequence.
+A window function sorts all rows of one key in one task. Here the rows are dealt by ranges of (key, order) instead, so that a
+slice is as large as any other however the keys are distributed, and written once with their slice number. Windows then run
+per (key, slice). What a slice needs from earlier slices of the same key (a count, a maximum) comes from a small aggregate;
+only keys that cross from one slice to the next need it, fewer than there are slices, so that list can be sent to all
+tasks. There is one algorithm for every size and every type that Spark can sort; nulls sort first. Rows that are equal in
+the order columns are put in the order of a hash of the row, so they are spread too; only rows equal in every column are not.
 
 These are batch operators; ``streaming.state`` has the forms for streams.
 """
@@ -15,135 +14,69 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pyarrow as pa
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.durations import micros
-from millrace.session import shuffle_partitions
+from millrace.session import keep, shuffle_partitions
 
-_SLICE, _ORDER, _LARGE, _CARRIED, _CARRY = "_slice", "_order", "_large", "_carried", "_carry"
+_SLICE, _TIE, _ALL, _CARRY = "_slice", "_tie", "_all", "_carry"
 
 
-def quantiles(df: DataFrame, number: Column, slices: int) -> list[float]:
-    """Cut points of equal slices, with repeats where one value spans several; as long as the number of slices."""
-    shares = [i / slices for i in range(1, slices)]
-    return df.select(number.alias(_ORDER)).approxQuantile(_ORDER, shares, 1 / (4 * slices)) if shares else []
+def _tie(df: DataFrame) -> Column:
+    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.ArrayType, T.StructType, T.VariantType))]
+    return F.xxhash64(*plain)
 
 
-def _number(df: DataFrame, order: str) -> Column:
-    kind = dict(df.dtypes)[order]
-    if kind == "timestamp_ntz":
-        return F.unix_micros(F.col(order).cast("timestamp")).cast("double")
-    if kind == "timestamp":
-        return F.unix_micros(order).cast("double")
-    return F.col(order).cast("double")
+def with_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str], slices: int | None = None) -> DataFrame:
+    """The rows as a written table with their slice number: every row of a slice comes before every row of the next."""
+    n = slices or shuffle_partitions(df.sparkSession)
+    ranged = df.withColumn(_TIE, _tie(df)).repartitionByRange(n, *keys, *order, _TIE)
+    return keep(ranged.withColumn(_SLICE, F.spark_partition_id()).withColumn(_ALL, F.lit(0)), "slices")
 
 
-def _bucket(df: DataFrame, number: Column, cuts: Sequence[float], out: str) -> DataFrame:
-    if not cuts:
-        return df.withColumn(out, F.lit(0))
-    edges = [float("-inf"), *cuts, float("inf")]
-    numbered = df.withColumn(_ORDER, number)
-    cut = Bucketizer(splits=edges, inputCol=_ORDER, outputCol=out, handleInvalid="error").transform(numbered)
-    return cut.withColumn(out, F.col(out).cast("int")).drop(_ORDER)
+def _across(keys: Sequence[str]) -> W:
+    return W.partitionBy(*(keys or [_ALL]))
 
 
-def with_slices(df: DataFrame, order: Sequence[str], slices: int) -> DataFrame:
-    """Add the slice number, from 1. Every row of a slice comes before every row of the next in ``order``.
+def _with_carry(sliced: DataFrame, keys: Sequence[str], per_slice: Column, over: Column) -> DataFrame:
+    """Rows with ``_carry``: ``over`` combines ``_part`` of the earlier slices of the key; null if there are none.
 
-    Cuts are quantiles of the first order column. A value of it so frequent that it fills several slices is cut again by
-    the second order column. With a ``_large`` column only its rows are sliced, all others are in slice 0.
+    A slice continues at most one key of the slice before it, so there are fewer carries than slices.
     """
-    rows = df.filter(_LARGE) if _LARGE in df.columns else df
-    first = _number(df, order[0])
-    found = quantiles(rows, first, slices)
-    cuts = sorted(set(found))
-    sliced = _bucket(df, first, cuts, _SLICE)
-    frequent = [cut for cut in cuts if found.count(cut) > 1]
-    if frequent and len(order) > 1:
-        second, is_frequent = _number(df, order[1]), first.isin(frequent)
-        finer = sorted(set(quantiles(rows.filter(is_frequent), second, slices)))
-        placed = _bucket(sliced, second, finer, "_finer")
-        # Within a slice the frequent value is the smallest, so its parts come before the rest of the slice.
-        part = F.when(is_frequent, F.col("_finer")).otherwise(F.lit(len(finer) + 1))
-        sliced = placed.withColumn(_SLICE, F.col(_SLICE) * (len(finer) + 2) + part).drop("_finer")
-    number = F.col(_SLICE) + 1
-    if _LARGE in df.columns:
-        return sliced.withColumn(_SLICE, F.when(F.col(_LARGE), number).otherwise(F.lit(0))).drop(_LARGE)
-    return sliced.withColumn(_SLICE, number)
-
-
-# A key with fewer rows than this is never worth cutting.
-WORTH_SLICING = 1_000_000
-
-
-def large_keys(df: DataFrame, keys: Sequence[str], slices: int, total: int, at_least: int = 0) -> pa.Table:
-    """Keys that hold more than one part in ``slices`` of all rows: fewer than ``slices`` of them."""
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    large = counted.filter((F.col("_rows") * slices > total) & (F.col("_rows") > at_least))
-    return large.select(*keys).toArrow()
-
-
-def _sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str], slices: int | None) -> tuple[DataFrame, bool]:
-    """Rows with their slice, and whether any key is sliced. An explicit number of slices also cuts small keys."""
-    n, at_least = slices or shuffle_partitions(df.sparkSession), 0 if slices else WORTH_SLICING
-    total = df.count() if n > 1 else 0
-    if total <= at_least:
-        return df.withColumn(_SLICE, F.lit(0)), False
-    if not keys:
-        return with_slices(df, order, n), True
-    large = large_keys(df, keys, n, total, at_least)
-    if not large.num_rows:
-        return df.withColumn(_SLICE, F.lit(0)), False
-    named = large.rename_columns([f"{_LARGE}_{k}" for k in keys])
-    marks = F.broadcast(df.sparkSession.createDataFrame(named).withColumn(_LARGE, F.lit(True)))
-    match = [df[k].eqNullSafe(marks[f"{_LARGE}_{k}"]) for k in keys]
-    marked = df.join(marks, match, "left").select(*df.columns, F.coalesce(_LARGE, F.lit(False)).alias(_LARGE))
-    return with_slices(marked, order, n), True
-
-
-def _with_carry(sliced: DataFrame, keys: Sequence[str], per_slice: Column, over: Column) -> DataFrame:
-    """Rows plus one carry row per (large key, slice); ``over`` combines ``_part`` of the earlier slices."""
-    parts = sliced.filter(F.col(_SLICE) > 0).groupBy(*keys, _SLICE).agg(per_slice.alias("_part"))
-    earlier = W.partitionBy(*keys).orderBy(_SLICE).rowsBetween(W.unboundedPreceding, -1)
-    carries = parts.select(*keys, _SLICE, over.over(earlier).alias(_CARRY), F.lit(True).alias(_CARRIED))
-    return sliced.withColumn(_CARRIED, F.lit(False)).unionByName(carries, allowMissingColumns=True)
+    parts = sliced.groupBy(*(keys or [_ALL]), _SLICE).agg(per_slice.alias("_part"))
+    earlier = _across(keys).orderBy(_SLICE).rowsBetween(W.unboundedPreceding, -1)
+    placed = parts.withColumn("_first", F.row_number().over(_across(keys).orderBy(_SLICE)) == 1)
+    carried = placed.withColumn(_CARRY, over.over(earlier)).filter(~F.col("_first"))
+    small = carried.select(*[F.col(k).alias(f"_of_{k}") for k in keys], F.col(_SLICE).alias("_of_slice"), _CARRY)
+    match = sliced[_SLICE] == small["_of_slice"]
+    for k in keys:
+        match = match & sliced[k].eqNullSafe(small[f"_of_{k}"])
+    return sliced.join(F.broadcast(small), match, "left").select(*[sliced[c] for c in sliced.columns], _CARRY)
 
 
 def _within(keys: Sequence[str], order: Sequence[str]) -> W:
-    return W.partitionBy(*keys, _SLICE).orderBy(F.col(_CARRIED).desc(), *order)
+    return W.partitionBy(*keys, _SLICE).orderBy(*order, _TIE)
 
 
 def running_count(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "total_count", slices: int | None = None
 ) -> DataFrame:
     """Every row with its number (1, 2, 3, ...) within its key, in the given order."""
-    sliced, any_large = _sliced(df, keys, order, slices)
-    if not any_large:
-        return df.withColumn(out, F.row_number().over(W.partitionBy(*keys).orderBy(*order)).cast("long"))
-    mixed = _with_carry(sliced, keys, F.count(F.lit(1)), F.sum("_part"))
-    step = F.when(F.col(_CARRIED), F.coalesce(F.col(_CARRY), F.lit(0))).otherwise(F.lit(1))
-    upto = _within(keys, order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    numbered = mixed.withColumn(out, F.sum(step).over(upto))
-    return numbered.filter(~F.col(_CARRIED)).drop(_SLICE, _CARRIED, _CARRY)
+    placed = _with_carry(with_slices(df, keys, order, slices), keys, F.count(F.lit(1)), F.sum("_part"))
+    number = F.row_number().over(_within(keys, order)) + F.coalesce(_CARRY, F.lit(0))
+    return placed.withColumn(out, number.cast("long")).drop(_SLICE, _TIE, _ALL, _CARRY)
 
 
 def running_max(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str, slices: int | None = None
 ) -> DataFrame:
     """Every row with the largest ``value`` among the rows before it in its key (null for the first)."""
-    sliced, any_large = _sliced(df, keys, order, slices)
-    if not any_large:
-        before = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
-        return df.withColumn(out, F.max(value).over(before))
-    mixed = _with_carry(sliced, keys, F.max(value), F.max("_part"))
-    seen = F.when(F.col(_CARRIED), F.col(_CARRY)).otherwise(F.col(value))
-    before = _within(keys, order).rowsBetween(W.unboundedPreceding, -1)
-    tracked = mixed.withColumn(out, F.max(seen).over(before))
-    return tracked.filter(~F.col(_CARRIED)).drop(_SLICE, _CARRIED, _CARRY)
+    placed = _with_carry(with_slices(df, keys, order, slices), keys, F.max(value), F.max("_part"))
+    before = F.max(value).over(_within(keys, order).rowsBetween(W.unboundedPreceding, -1))
+    return placed.withColumn(out, F.greatest(before, _CARRY)).drop(_SLICE, _TIE, _ALL, _CARRY)
 
 
 def late_split(
@@ -160,8 +93,7 @@ def late_split(
 
     The watermark is the largest timestamp among the rows that arrived before, less ``delay``, less one millisecond; a
     window closes when the watermark reaches its last millisecond. Windows tumble unless ``slide`` is given. ``source``
-    names the source partition, each of which has its own watermark; without it there is a single one, still computed in
-    slices.
+    names the source partition, each of which has its own watermark; without it there is a single one.
     """
     tracked = running_max(df, source, arrival, ts, "_seen", slices)
     at = F.unix_micros(ts)
@@ -184,17 +116,17 @@ def ema_last(
     A row's weight is ``decay * (1 - decay) ** (number of later rows)``. Each slice sums its rows with the count of later
     rows inside the slice; the slice sums are then weighted by the number of rows in later slices.
     """
-    keep = 1 - decay
-    sliced, _ = _sliced(df.select(*keys, *order, value), keys, order, slices)
-    backwards = W.partitionBy(*keys, _SLICE).orderBy(*[F.col(c).desc() for c in order])
+    keep_share = 1 - decay
+    sliced = with_slices(df.select(*dict.fromkeys([*keys, *order, value])), keys, order, slices)
+    backwards = W.partitionBy(*keys, _SLICE).orderBy(*[F.col(c).desc() for c in [*order, _TIE]])
     weighted = sliced.withColumn("_later", F.row_number().over(backwards) - 1)
-    parts = weighted.groupBy(*keys, _SLICE).agg(
-        F.sum(F.col(value) * F.lit(decay) * F.pow(F.lit(keep), F.col("_later"))).alias("_part"),
+    parts = weighted.groupBy(*(keys or [_ALL]), _SLICE).agg(
+        F.sum(F.col(value) * F.lit(decay) * F.pow(F.lit(keep_share), F.col("_later"))).alias("_part"),
         F.count(F.lit(1)).alias("_n"),
     )
-    after = W.partitionBy(*keys).orderBy(F.col(_SLICE).desc()).rowsBetween(W.unboundedPreceding, -1)
+    after = _across(keys).orderBy(F.col(_SLICE).desc()).rowsBetween(W.unboundedPreceding, -1)
     placed = parts.withColumn("_after", F.coalesce(F.sum("_n").over(after), F.lit(0)))
-    return placed.groupBy(*keys).agg(F.sum(F.col("_part") * F.pow(F.lit(keep), F.col("_after"))).alias(out))
+    return placed.groupBy(*keys).agg(F.sum(F.col("_part") * F.pow(F.lit(keep_share), F.col("_after"))).alias(out))
 
 
 def chunked(
@@ -220,7 +152,7 @@ def group_samples(
     A series is cut into chunks of at most ``size`` samples, so the longest series is many rows, never one list.
     """
     order = [ts, *order]
-    rows = chunked(df.select(*labels, *order, value), labels, order, size, slices=slices)
+    rows = chunked(df.select(*dict.fromkeys([*labels, *order, value])), labels, order, size, slices=slices)
     series = rows.groupBy(*labels, "chunk").agg(
         F.array_sort(F.collect_list(F.struct(*order, F.col(value).alias("_value")))).alias("_rows")
     )

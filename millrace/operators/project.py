@@ -39,9 +39,14 @@ def above(df: DataFrame, column: str, limit: float) -> DataFrame:
     return df.filter(F.col(column) > F.lit(limit))
 
 
+def with_outcome(df: DataFrame, message: str, poison: str = "Poison") -> DataFrame:
+    """All rows with their ``outcome``. To write both kinds in one pass, partition the output by it."""
+    return df.withColumn("outcome", scalar.outcome(message, poison))
+
+
 def split_streams(df: DataFrame, message: str, poison: str = "Poison") -> tuple[DataFrame, DataFrame]:
-    """(valid rows, dead letters); both carry the ``outcome`` column."""
-    tagged = df.withColumn("outcome", scalar.outcome(message, poison))
+    """(valid rows, dead letters); both carry the ``outcome`` column. Using both reads the input twice."""
+    tagged = with_outcome(df, message, poison)
     return tagged.filter(F.col("outcome") == scalar.SUCCESS), tagged.filter(F.col("outcome") == scalar.ERROR)
 
 

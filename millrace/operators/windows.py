@@ -44,19 +44,11 @@ def min_of(column: str, out: str) -> Mergeable:
 def avg_decimal_of(column: str, out: str, precision: int = 6, scale: int = 2) -> Mergeable:
     """Average of a decimal column, rounded half up and stored back as ``decimal(precision, scale)``.
 
-    Up to nine digits the sums are whole numbers of the smallest unit, which add as plain longs for more rows than any
-    window holds; an overflow would fail the job. Wider columns are summed as decimals.
+    Values are summed as they are and the average is rounded once, whatever the precision asked for.
     """
     total, rows = f"{out}_sum", f"{out}_n"
-    stored = f"decimal({precision},{scale})"
-    if precision <= 9:
-        unit = (F.col(column).cast(stored) * (10**scale)).cast("long")
-        half_up = F.expr(f"sign({total}) * ((2 * abs({total}) + {rows}) div (2 * {rows}))")
-        result = (half_up.cast("decimal(18,0)") / F.lit(10**scale)).cast(stored)
-        created = F.sum(unit)
-    else:
-        result = (F.col(total) / F.col(rows)).cast(stored)
-        created = F.sum(column)
+    result = (F.col(total) / F.col(rows)).cast(f"decimal({precision},{scale})")
+    created = F.sum(column)
     return Mergeable(
         out,
         {total: created, rows: F.count(column)},
@@ -109,9 +101,7 @@ def aggregate_by(df: DataFrame, keys: Sequence[str], aggregates: Sequence[Mergea
     return df.groupBy(*keys).agg(*create).select(*keys, *[agg.result.alias(agg.out) for agg in aggregates])
 
 
-def with_proc_time(df: DataFrame, out: str = "proc_time") -> DataFrame:
-    """Processing time: one value per micro-batch on a stream, one per query on a batch."""
-    return df.withColumn(out, F.current_timestamp())
+_EVENT, _READING, _LIGHT = 0, 1, 2
 
 
 def vehicle_window_agg(
@@ -124,29 +114,27 @@ def vehicle_window_agg(
 ) -> DataFrame:
     """Per key and window: the sum of each reading divided by the number of *events*, and the count of distinct lights.
 
-    Every event becomes small (tag, number) items: one for itself, one per reading, one per light; the tag is a letter and
-    the name. Items are summed per (window, key, tag), so no window is ever held as a list of rows. The division is on
-    whole numbers and drops the remainder. The timestamp is the last millisecond of the window. A null map or list
+    Every event becomes rows of a kind, a name and a number: one per reading, one per light, and one for the event itself that
+    carries no name. They are summed per (window, key, kind, name), so no window is ever held as a list of rows. The division
+    is on whole numbers and drops the remainder. The timestamp is the last millisecond of the window. A null map or list
     contributes nothing, its event still counts; a null light counts as one more light.
     """
-    one = F.lit(1).cast("long")
-    tagged = lambda tag, n: F.struct(tag.alias("tag"), n.alias("n"))
-    event = F.array(tagged(F.lit("E"), one))
-    measured = F.transform(F.map_entries(readings), lambda e: tagged(F.concat(F.lit("S"), e["key"]), e["value"]))
-    lit_up = F.transform(lights, lambda w: tagged(F.coalesce(F.concat(F.lit("W"), w), F.lit("N")), one))
-    none = F.array().cast("array<struct<tag:string,n:bigint>>")
-    items = F.concat(event, F.coalesce(measured, none), F.coalesce(lit_up, none))
+    item = lambda kind, name, n: F.struct(F.lit(kind).cast("byte").alias("kind"), name.alias("name"), n.alias("n"))
+    one, unnamed = F.lit(1).cast("long"), F.lit(None).cast("string")
+    none = F.array().cast("array<struct<kind:tinyint,name:string,n:bigint>>")
+    measured = F.transform(F.map_entries(readings), lambda e: item(_READING, e["key"], e["value"]))
+    lit_up = F.transform(lights, lambda w: item(_LIGHT, w, one))
+    items = F.concat(F.array(item(_EVENT, unnamed, one)), F.coalesce(measured, none), F.coalesce(lit_up, none))
     exploded = df.select(F.col(ts).alias("_ts"), F.col(key).alias("_key"), F.inline(items))
     if df.isStreaming:  # append mode needs the window itself in both groupings
         window, again, end = F.window("_ts", size), F.window(F.window_time("_w"), size), F.col("_of.end")
     else:
         window, again, end = F.window("_ts", size)["end"], F.col("_w"), F.col("_of")
-    summed = exploded.groupBy(window.alias("_w"), "_key", "tag").agg(F.sum("n").alias("_n"))
-    kind, name = F.substring("tag", 1, 1), F.expr("substring(tag, 2)").alias("_name")
+    summed = exploded.groupBy(window.alias("_w"), "_key", "kind", "name").agg(F.sum("n").alias("_n"))
     per_window = summed.groupBy(again.alias("_of"), "_key").agg(
-        F.max(F.when(kind == "E", F.col("_n"))).alias("_events"),
-        F.count(F.when(kind.isin("W", "N"), F.lit(1))).cast("int").alias("countDistinctWarnings"),
-        F.collect_list(F.when(kind == "S", F.struct(name, "_n"))).alias("_sums"),
+        F.max(F.when(F.col("kind") == _EVENT, F.col("_n"))).alias("_events"),
+        F.count(F.when(F.col("kind") == _LIGHT, F.lit(1))).cast("int").alias("countDistinctWarnings"),
+        F.collect_list(F.when(F.col("kind") == _READING, F.struct(F.col("name").alias("_name"), "_n"))).alias("_sums"),
     )
     averages = F.expr("map_from_entries(transform(array_sort(_sums), s -> struct(s._name, s._n div _events)))")
     return per_window.select(

@@ -99,8 +99,8 @@ def row_counter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def validate_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Errors go to the dead letters, everything else (null messages too) to the main output."""
     rows = events(spark, sf_dir).select("event_id", F.nullif("event_type", F.lit("view")).alias("message"))
-    main, dead = project.split_streams(rows, "message", poison="error")
-    return main.withColumn("output", F.lit("main")).unionByName(dead.withColumn("output", F.lit("dead letters")))
+    tagged = project.with_outcome(rows, "message", poison="error")
+    return tagged.withColumn("output", F.when(F.col("outcome") == scalar.ERROR, "dead letters").otherwise("main"))
 
 
 @query("""
@@ -200,8 +200,9 @@ def record_to_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows written under two schema versions, read as the newer one."""
     rows = table(spark, sf_dir, "customer")
-    old = rows.filter("c_nationkey < 12").select(F.col("c_custkey").cast("int"), "c_name", "c_acctbal", "c_nationkey")
-    new = rows.filter("c_nationkey >= 12")
+    is_old = F.coalesce(F.col("c_nationkey") < 12, F.lit(False))
+    old = rows.filter(is_old).select(F.col("c_custkey").cast("int"), "c_name", "c_acctbal", "c_nationkey")
+    new = rows.filter(~is_old)
     reader = T.StructType().add("c_custkey", "long").add("c_name", "string").add("c_acctbal", "double").add(
         "c_mktsegment", "string", False
     )

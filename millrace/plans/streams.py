@@ -1,6 +1,8 @@
 """Streaming runs over the event table: the stream works off the files there are, and its output is read back.
 
-Windows come out in append mode, so the answer is the windows that the watermark has closed by the end of the data.
+Windows come out in append mode, as the watermark closes them. A bounded run ends with a marker row far in the future, which
+closes every window but its own, so the answer has all windows of the data. Runs in steps land the table in parts and start
+the query again for each, so that state, watermark and checkpoint are carried from one micro-batch to the next.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from millrace.plans.windows import SLIDE_MIN, TUMBLE_MIN, VEHICLES, readings_tex
 from millrace.session import shared_dir
 from millrace.sinks import files as sink_files
 from millrace.sinks import lake
+from millrace.sinks.storage import Folder
 from millrace.sources import files, log
 from millrace.streaming import run, state
 from millrace.streaming.time import event_time
@@ -23,8 +26,45 @@ from millrace.tables import events, table
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The event table as a stream of its files; the pattern fits one file as well as a folder of many."""
-    return files.read_parquet_dir(spark, f"{sf_dir.rstrip('/')}/events.parquet*", schemas.EVENTS)
+    """The event table as a stream of its files, be it one file or a folder of them."""
+    if Folder(spark, sf_dir).is_folder("events.parquet"):
+        return files.read_parquet_dir(spark, f"{sf_dir.rstrip('/')}/events.parquet", schemas.EVENTS)
+    return files.read_parquet_dir(spark, sf_dir, schemas.EVENTS, pathGlobFilter="events.parquet")
+
+
+def _parts(spark: SparkSession, sf_dir: str, by: str, n: int) -> list[DataFrame]:
+    """The events in n parts of equal spans of a column, in its order; rows without it are in the first."""
+    rows = spark.read.schema(schemas.EVENTS).parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    place = F.col(by) if by == "event_id" else F.unix_micros(F.col(by).cast("timestamp"))
+    low, high = (x or 0 for x in rows.agg(F.min(place), F.max(place)).first())
+    part = F.coalesce(F.least(F.floor((place - low) * n / max(1, high - low)), F.lit(n - 1)), F.lit(0))
+    return [rows.filter(part == i) for i in range(n)]
+
+
+# Later than any event; its own window stays open.
+END_OF_TIME = "2999-01-01 00:00:00"
+
+
+def _with_marker(rows: DataFrame) -> DataFrame:
+    last = rows.sparkSession.range(1).select(F.lit(END_OF_TIME).cast("timestamp_ntz").alias("ts"))
+    return rows.unionByName(last, allowMissingColumns=True)
+
+
+def _in_steps(parts: list[DataFrame], transform, purpose: str) -> DataFrame:
+    """Land one part after the other; each time run the query on what is new, from its checkpoint."""
+    spark = parts[0].sparkSession
+    base = shared_dir(spark, purpose)
+    for part in parts:
+        part.write.mode("append").parquet(f"{base}/landed")
+        out = transform(files.read_parquet_dir(spark, f"{base}/landed", schemas.EVENTS))
+        run.run_to_end(sink_files.save(out, f"{base}/rows", checkpoint=f"{base}/checkpoint"))
+    return spark.read.schema(out.schema).parquet(f"{base}/rows")
+
+
+def _flushed(spark: SparkSession, sf_dir: str, transform, purpose: str, steps: int = 2) -> DataFrame:
+    """A query over the events in time order, with all windows closed at the end."""
+    parts = _parts(spark, sf_dir, "ts", steps)
+    return _in_steps([*parts[:-1], _with_marker(parts[-1])], transform, purpose)
 
 
 def _through_files(df: DataFrame, purpose: str) -> DataFrame:
@@ -47,48 +87,73 @@ def stream_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _closed(sql: str, end: str = "window_end") -> str:
-    return f"SELECT * FROM ({sql}) WHERE {end} <= (SELECT max(ts) FROM events) - INTERVAL 10 SECONDS"
+@query(TUMBLE_MIN)
+def stream_tumble_min(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def tumbled(stream: DataFrame) -> DataFrame:
+        return plain_bounds(windows.window_min(event_time(stream, "ts"), "ts", "user_id", "value", "30 minutes"))
 
+    return _flushed(spark, sf_dir, tumbled, "tumble")
 
-@query(_closed(TUMBLE_MIN))
-def stream_tumble_min(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stream = event_time(event_stream(spark, sf_dir), "ts")
-    return _through_files(plain_bounds(windows.window_min(stream, "ts", "user_id", "value", "30 minutes")), "tumble")
 
+def _slid(stream: DataFrame) -> DataFrame:
+    return plain_bounds(windows.window_min(event_time(stream, "ts"), "ts", "event_type", "value", "1 hour", "10 minutes"))
 
-@query(_closed(SLIDE_MIN))
+
+@query(SLIDE_MIN)
 def stream_slide_min(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stream = event_time(event_stream(spark, sf_dir), "ts")
-    rows = windows.window_min(stream, "ts", "event_type", "value", "1 hour", "10 minutes")
-    return _through_files(plain_bounds(rows), "slide")
+    return _flushed(spark, sf_dir, _slid, "slide")
 
 
-@query(_closed(VEHICLES, "make_timestamp((timestamp + 1) * 1000)"))
+@query(VEHICLES)
 def stream_vehicle_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stream = vehicles(event_time(event_stream(spark, sf_dir), "ts"))
-    return _through_files(readings_text(windows.vehicle_window_agg(stream, "ts", size="1 day")), "vehicles")
+    def aggregated(stream: DataFrame) -> DataFrame:
+        return readings_text(windows.vehicle_window_agg(vehicles(event_time(stream, "ts")), "ts", size="1 day"))
+
+    return _flushed(spark, sf_dir, aggregated, "vehicles")
+
+
+@query("""
+    WITH spans AS (
+        SELECT *, coalesce(least(floor((epoch_us(ts) - min(epoch_us(ts)) OVER ()) * 3.0
+                                       / greatest(1, max(epoch_us(ts)) OVER () - min(epoch_us(ts)) OVER ())), 2), 0) AS part FROM events
+    ), seen AS (SELECT max(ts) - INTERVAL 10 SECONDS AS mark FROM spans WHERE part <> 1)
+    SELECT user_id, min(value) AS min_value, time_bucket(INTERVAL 30 MINUTES, ts) AS window_start,
+           time_bucket(INTERVAL 30 MINUTES, ts) + INTERVAL 30 MINUTES AS window_end
+    FROM spans, seen WHERE part <> 1 OR time_bucket(INTERVAL 30 MINUTES, ts) + INTERVAL 30 MINUTES > mark
+    GROUP BY ALL
+""")
+def stream_late_min(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The middle third of the events comes last: what belongs to windows that were closed by then is dropped."""
+    first, middle, last = _parts(spark, sf_dir, "ts", 3)
+
+    def tumbled(stream: DataFrame) -> DataFrame:
+        return plain_bounds(windows.window_min(event_time(stream, "ts"), "ts", "user_id", "value", "30 minutes"))
+
+    return _in_steps([first, last, _with_marker(middle)], tumbled, "late")
 
 
 @query("SELECT event_type, row_number() OVER (PARTITION BY event_type) AS total_count FROM events")
 def stream_keyed_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A running number per key from keyed state."""
-    return _through_files(state.keyed_count(event_stream(spark, sf_dir), "event_type"), "keyed-count")
+    """A running number per key from keyed state, which is carried over two runs."""
+    parts = _parts(spark, sf_dir, "event_id", 2)
+    return _in_steps(parts, lambda stream: state.keyed_count(stream, "event_type"), "keyed-count")
 
 
 @query("""
     SELECT event_id, event_type, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS total_count FROM events
 """)
 def stream_running_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same from micro-batches, with hot keys split over tasks."""
+    """The same from two micro-batches, with hot keys split over tasks."""
     base = shared_dir(spark, "running-count")
 
     def sink(rows: DataFrame, batch_id: int) -> None:
         rows.write.mode("overwrite").parquet(f"{base}/rows/batch={batch_id}")
 
     counter = state.RunningCountBatches(["event_type"], ["event_id"], f"{base}/totals", sink)
-    stream = event_stream(spark, sf_dir).select("event_id", "event_type")
-    run.run_to_end(run.each_batch(stream, counter, f"{base}/checkpoint"))
+    for part in _parts(spark, sf_dir, "event_id", 2):
+        part.write.mode("append").parquet(f"{base}/landed")
+        stream = files.read_parquet_dir(spark, f"{base}/landed", schemas.EVENTS).select("event_id", "event_type")
+        run.run_to_end(run.each_batch(stream, counter, f"{base}/checkpoint"))
     return spark.read.parquet(f"{base}/rows").drop("batch")
 
 
@@ -141,10 +206,13 @@ def partitioned_sql_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 def partition_commit_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stream into folders per event type, each marked as complete."""
     base = shared_dir(spark, "commit")
-    commit = sink_files.PartitionCommit(f"{base}/rows", ["event_type"], delay=0)
+    commit = sink_files.PartitionCommit(f"{base}/rows", ["event_type"], delay=1)
     stream = event_stream(spark, sf_dir).select("event_id", "event_type", "value")
     run.run_to_end(run.each_batch(stream, commit, f"{base}/checkpoint"))
+    commit.finish(spark)
+    marked = [name for name in Folder(spark, f"{base}/rows").children() if Folder(spark, f"{base}/rows/{name}").exists("_SUCCESS")]
     back = spark.read.schema("event_id bigint, value double, event_type string, batch_id bigint").json(f"{base}/rows")
+    back = back.filter(F.concat(F.lit("event_type="), "event_type").isin(marked))
     return back.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("total"))
 
 
@@ -158,17 +226,16 @@ def stream_log_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _through_files(log.decoded(records, rows.schema), "log-rows")
 
 
-@query("""
-    SELECT event_type, value, window_end FROM (SELECT event_type, min_value AS value, window_end FROM (""" + _closed(SLIDE_MIN) + """))
-""")
+@query("SELECT event_type, min_value AS value, window_end FROM (" + SLIDE_MIN + ")")
 def stream_log_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Closed windows of a stream written to a message log by a streaming query, then read from the log."""
-    stream = event_time(event_stream(spark, sf_dir), "ts")
-    rows = plain_bounds(windows.window_min(stream, "ts", "event_type", "value", "1 hour", "10 minutes")).select(
-        "event_type", F.col("min_value").alias("value"), "window_end"
-    )
+    """Windows of a stream written to a message log by a streaming query, then read from the log."""
     target, base = shared_dir(spark, "window-log"), shared_dir(spark, "window-log-run")
-    run.run_to_end(log.write_stream_log(log.log_records(rows, F.col("event_type")), target, f"{base}/checkpoint"))
+    first, last = _parts(spark, sf_dir, "ts", 2)
+    for part in (first, _with_marker(last)):
+        part.write.mode("append").parquet(f"{base}/landed")
+        stream = files.read_parquet_dir(spark, f"{base}/landed", schemas.EVENTS)
+        rows = _slid(stream).select("event_type", F.col("min_value").alias("value"), "window_end")
+        run.run_to_end(log.write_stream_log(log.log_records(rows, F.col("event_type")), target, f"{base}/checkpoint"))
     return log.decoded(log.read_stream_log(spark, target, log.TRIM_HORIZON, streaming=False), rows.schema)
 
 

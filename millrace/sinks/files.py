@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import scalar
-from millrace.sinks.storage import Folder, partition_folder
+from millrace.sinks.storage import SUCCESS_FILE, Folder, partition_folder
 
-SUCCESS_FILE, PENDING = "_SUCCESS", "_pending"
+PENDING = "_pending"
 
 
 def save(
@@ -97,6 +98,14 @@ class PartitionCommit:
         batch.unpersist()
         self.commit_due(batch.sparkSession)
 
+    def finish(self, spark) -> None:
+        """Mark everything noted, waiting for the delay of the youngest note: for the end of a bounded run, and for the start
+        of a new one, whose first batch may be long in coming."""
+        folder = Folder(spark, self.path)
+        while ages := [folder.age_seconds(f"{PENDING}/{note}") for note in folder.files_below(PENDING)]:
+            time.sleep(max(0.05, self.delay - min(ages)))
+            self.commit_due(spark)
+
     def commit_due(self, spark) -> None:
         folder = Folder(spark, self.path)
         for note in folder.files_below(PENDING):

@@ -2,8 +2,11 @@
 
 On a catalog whose tables support ``MERGE`` use ``merge_table``. The folder form is copy-on-write: only partitions that a
 batch touches are read and rewritten. A batch first writes the full new content of those partitions beside the table and
-then swaps it in; if the job dies in between, a rerun with the same commit id finds the finished copy and only repeats
-the swap. A commit id that was applied before is skipped, so replayed micro-batches change nothing.
+then moves it in; if the job dies in between, a rerun with the same commit id finds the finished copy and goes on with the
+moves. A commit id that was applied before is skipped, so replayed micro-batches change nothing, appended ones neither.
+
+Where the key fixes the partition (partition columns are among the keys, like a hash of the key), an upsert reads no other
+partitions than those of its rows. Otherwise it has to look for its keys in the whole table, in the key columns only.
 """
 
 from __future__ import annotations
@@ -15,13 +18,14 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.operators.changes import REMOVALS, latest_by_key
-from millrace.sinks.storage import Folder, partition_folder
+from millrace.sinks.storage import SUCCESS_FILE, Folder, partition_folder
 
 APPEND, OVERWRITE, UPSERT = "append", "overwrite", "upsert"
 _COMMITS = "_commits"
-_FEW_PARTITIONS = 1000
+_PLAN = "folder string, filled boolean"
 
 
 def parse_fields(text: str) -> list[str]:
@@ -41,8 +45,10 @@ def lake_write(
     """Write by the named operation; the defaults are an upsert on ``symbol`` partitioned by ``symbol``."""
     parts = parse_fields(partition_by)
     if operation == APPEND:
-        lake_append(df, path, parts)
+        lake_append(df, path, parts, commit_id)
     elif operation == OVERWRITE:
+        if commit_id is not None:
+            raise ValueError("an overwrite gives the same table when it is repeated and takes no commit id")
         lake_overwrite(df, path, parts)
     elif operation == UPSERT:
         lake_upsert(df, path, parse_fields(keys), parts, order, commit_id)
@@ -50,8 +56,25 @@ def lake_write(
         raise ValueError(f"unknown operation {operation!r}")
 
 
-def lake_append(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
-    df.hint("rebalance", *partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
+def lake_append(df: DataFrame, path: str, partition_by: Sequence[str], commit_id: str | None = None) -> None:
+    """Add rows. With a commit id the batch is written beside the table and moved in, and is added once however often sent."""
+    if commit_id is None:
+        _write(df, path, partition_by, "append")
+        return
+    folder, commit = Folder(df.sparkSession, path), f"{_COMMITS}/{commit_id}"
+    if folder.exists(f"{commit}.done"):
+        return
+    if not folder.exists(f"{commit}/rows/{SUCCESS_FILE}"):
+        _write(df, f"{path}/{commit}/rows", partition_by, "overwrite")
+    for name in folder.files_below(f"{commit}/rows"):
+        if not name.rsplit("/", 1)[-1].startswith(("_", ".")):
+            folder.rename(f"{commit}/rows/{name}", name)
+    folder.touch(f"{commit}.done")
+    folder.remove(commit)
+
+
+def _write(df: DataFrame, path: str, partition_by: Sequence[str], mode: str) -> None:
+    df.hint("rebalance", *partition_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
 def lake_overwrite(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
@@ -69,9 +92,13 @@ def lake_upsert(
     order: Sequence[str] = (),
     commit_id: str | None = None,
 ) -> None:
-    """Rows replace stored rows with equal keys. Several incoming rows of a key: the last by ``order`` wins."""
-    incoming = latest_by_key(df, keys, order or [c for c in df.columns if c not in keys] or keys)
-    _merge(df.sparkSession, path, incoming, None, keys, partition_by, commit_id)
+    """Rows replace stored rows with equal keys. Of several incoming rows of a key the last by ``order`` wins; without an
+    order a repeated key is an error. Columns that only the table or only the rows have are null in the others."""
+    if order:
+        df = latest_by_key(df, keys, order)
+    elif df.groupBy(*keys).count().filter("count > 1").limit(1).count():
+        raise ValueError(f"rows repeat a key of {list(keys)}; name the columns that order them")
+    _merge(df.sparkSession, path, df, None, keys, partition_by, commit_id)
 
 
 def apply_changes(
@@ -98,17 +125,23 @@ def _same(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in columns])
 
 
-def _only(stored: DataFrame, partitions: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Stored rows of the given partitions; a short list becomes a filter that prunes folders, a long one a semi join."""
-    few = partitions.limit(_FEW_PARTITIONS + 1).collect()
-    if len(few) > _FEW_PARTITIONS:
-        return stored.join(partitions, _same(stored, partitions, columns), "left_semi")
-    if len(columns) == 1:
-        values = [row[0] for row in few]
-        wanted = F.col(columns[0]).isin([v for v in values if v is not None])
-        return stored.filter(wanted | F.col(columns[0]).isNull() if None in values else wanted)
-    one = lambda row: reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(columns, row)])
-    return stored.filter(reduce(lambda a, b: a | b, [one(row) for row in few], F.lit(False)))
+def _label(columns: Sequence[str]) -> Column:
+    """One text for a combination of partition values; only partition columns are in it, so filters on it prune folders."""
+    return F.concat_ws("\u0001", *[F.coalesce(F.concat(F.lit("v"), F.col(c).cast("string")), F.lit("n")) for c in columns])
+
+
+def _only(stored: DataFrame, labels: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Stored rows of the given partitions. The list is no longer than the table's own list of folders."""
+    return stored.filter(_label(columns).isin(list(labels)))
+
+
+def _stored(spark: SparkSession, path: str, folder: Folder, parts: Sequence[str], like: T.StructType) -> DataFrame:
+    """The table with its own columns; partition columns have the types of the incoming rows. Empty if there is none yet."""
+    if not any(name.startswith(f"{parts[0]}=") for name in folder.children()):
+        return spark.createDataFrame([], like)
+    own = spark.read.option("mergeSchema", "true").option("basePath", path).parquet(path).schema
+    fields = [f for f in own.fields if f.name not in parts] + [like[p] for p in parts]
+    return spark.read.schema(T.StructType(fields)).option("basePath", path).parquet(path)
 
 
 def _merge(
@@ -126,42 +159,49 @@ def _merge(
     if folder.exists(f"{commit}.done"):
         return
     parts, keys = list(partition_by), list(keys)
-    staged, touched_path = f"{path}/{commit}/rows", f"{path}/{commit}/touched"
-    schema = incoming.drop(op).schema if op else incoming.schema
-    if not folder.exists(f"{commit}/rows/_SUCCESS"):
-        if any(name.startswith(f"{parts[0]}=") for name in folder.children()):
-            stored = spark.read.schema(schema).option("basePath", path).parquet(path)
-            if version:
-                newer = stored.select(*keys, version).filter(F.col(version).isNotNull())
-                stale = _same(incoming, newer, keys) & (newer[version] > incoming[version])
-                incoming = incoming.join(newer, stale, "left_anti")
-        else:
-            stored = spark.createDataFrame([], schema)
-        # Used three times below, so it is written down once.
-        incoming.write.mode("overwrite").parquet(f"{path}/{commit}/incoming")
-        incoming = spark.read.schema(incoming.schema).parquet(f"{path}/{commit}/incoming")
-        touched = incoming.select(*parts)
-        if not set(parts) <= set(keys):
-            # The key does not fix the partition: a replaced row may lie anywhere.
-            touched = touched.union(stored.join(incoming, _same(stored, incoming, keys), "left_semi").select(*parts))
-        touched.distinct().write.mode("overwrite").parquet(touched_path)
-        touched = spark.read.schema(stored.select(*parts).schema).parquet(touched_path)
-        there = _only(stored, touched, parts)
-        kept = there.join(incoming, _same(there, incoming, keys), "left_anti")
-        if op:
-            incoming = incoming.filter(~F.col(op).isin(REMOVALS) | F.col(op).isNull()).drop(op)
-        kept.unionByName(incoming).hint("rebalance", *parts).write.mode("overwrite").partitionBy(*parts).parquet(staged)
-    rows = spark.read.schema(schema).option("basePath", staged).parquet(staged)
-    touched = spark.read.schema(rows.select(*parts).schema).parquet(touched_path)
-    lake_overwrite(rows, path, parts)
-    present = rows.select(*parts).distinct()
-    emptied = touched.join(present, _same(touched, present, parts), "left_anti")
-    for row in emptied.toLocalIterator():
-        folder.remove(partition_folder(parts, row))
+    if not folder.exists(f"{commit}/plan/{SUCCESS_FILE}"):
+        _stage(spark, path, folder, commit, incoming, op, keys, parts, version)
+    # Every touched partition with whether it has new content; a partition whose content was moved in before is passed over.
+    for row in spark.read.schema(_PLAN).parquet(f"{path}/{commit}/plan").toLocalIterator():
+        staged = f"{commit}/rows/{row.folder}"
+        if folder.exists(staged):
+            folder.remove(row.folder)
+            folder.rename(staged, row.folder)
+        elif not row.filled:
+            folder.remove(row.folder)
     folder.touch(f"{commit}.done")
     folder.remove(commit)
 
 
+def _stage(spark, path, folder, commit, incoming, op, keys, parts, version) -> None:
+    """Write the new content of the touched partitions, and the list of them, beside the table."""
+    for p in parts:
+        if incoming.schema[p].dataType == T.StringType():
+            incoming = incoming.withColumn(p, F.nullif(F.col(p), F.lit("")))  # a folder cannot tell them apart
+    # Used several times below, so it is written down once.
+    incoming.write.mode("overwrite").parquet(f"{path}/{commit}/incoming")
+    incoming = spark.read.schema(incoming.schema).parquet(f"{path}/{commit}/incoming")
+    stored = _stored(spark, path, folder, parts, (incoming.drop(op) if op else incoming).schema)
+    touched = incoming.select(*parts)
+    if not set(parts) <= set(keys):
+        # The key does not fix the partition: a replaced row may lie anywhere.
+        there = stored.select(*dict.fromkeys([*keys, *parts]))
+        touched = touched.union(there.join(incoming, _same(there, incoming, keys), "left_semi").select(*parts))
+    named = [(row["_label"], partition_folder(parts, row)) for row in touched.select(*parts, _label(parts).alias("_label")).distinct().toLocalIterator()]
+    there = _only(stored, [label for label, _ in named], parts)
+    if version:
+        newer = there.select(*dict.fromkeys([*keys, version])).filter(F.col(version).isNotNull())
+        stale = _same(incoming, newer, keys) & (newer[version] > incoming[version])
+        incoming = incoming.join(newer, stale, "left_anti")
+    kept = there.join(incoming, _same(there, incoming, keys), "left_anti")
+    if op:
+        incoming = incoming.filter(~F.col(op).isin(REMOVALS) | F.col(op).isNull()).drop(op)
+    _write(kept.unionByName(incoming, allowMissingColumns=True), f"{path}/{commit}/rows", parts, "overwrite")
+    filled = {name.rsplit("/", 1)[0] for name in folder.files_below(f"{commit}/rows") if "/" in name}
+    plan = [(name, name in filled) for _, name in named]
+    spark.createDataFrame(plan, _PLAN).coalesce(1).write.mode("overwrite").parquet(f"{path}/{commit}/plan")
+
+
 def merge_table(df: DataFrame, table: str, keys: Sequence[str], op: str | None = None) -> None:
     """The same through ``MERGE INTO`` on a catalog table whose format supports it."""
     match = reduce(lambda a, b: a & b, [F.col(f"{table}.{k}").eqNullSafe(F.col(f"_source.{k}")) for k in keys])

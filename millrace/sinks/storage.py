@@ -7,6 +7,9 @@ import time
 from pyspark.sql import SparkSession
 
 
+SUCCESS_FILE = "_SUCCESS"
+
+
 class Folder:
     def __init__(self, spark: SparkSession, path: str):
         self._path = spark._jvm.org.apache.hadoop.fs.Path
@@ -25,6 +28,16 @@ class Folder:
     def remove(self, name: str) -> None:
         self._fs.delete(self._at(name), True)
 
+    def rename(self, name: str, to: str) -> None:
+        """Move a file or folder; its new parent is made if need be."""
+        target = self._at(to)
+        self._fs.mkdirs(target.getParent())
+        if not self._fs.rename(self._at(name), target):
+            raise OSError(f"cannot move {name} to {to} in {self.path}")
+
+    def is_folder(self, name: str = "") -> bool:
+        return self.exists(name) and self._fs.getFileStatus(self._at(name)).isDirectory()
+
     def children(self, name: str = "") -> list[str]:
         """Names directly inside a subfolder."""
         return [s.getPath().getName() for s in self._fs.listStatus(self._at(name))] if self.exists(name) else []

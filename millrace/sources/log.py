@@ -11,6 +11,7 @@ all records is still read by many tasks.
 
 from __future__ import annotations
 
+import hashlib
 import importlib
 import uuid
 import zlib
@@ -69,9 +70,28 @@ class FileLog:
         if where.startswith("file:/"):
             where = "/" + where.removeprefix("file:").lstrip("/")
         self.fs, self.root = pafs.FileSystem.from_uri(where)
-        self.count = int(options.get("shards", "4"))
+        self.count = self._shard_count(options.get("shards"))
         self.rows_per_piece = int(options.get("rowsPerPiece", "1000000"))
 
+    def _shard_count(self, asked: str | None) -> int:
+        """A log keeps its number of shards; the first writer sets it (4 unless told), others must agree or not ask."""
+        path = f"{self.root}/_shards"
+        if self.fs.get_file_info(path).type != pafs.FileType.NotFound:
+            with self.fs.open_input_stream(path) as handle:
+                kept = int(handle.read())
+            if asked is not None and int(asked) != kept:
+                raise ValueError(f"the log has {kept} shards, not {asked}")
+            return kept
+        return int(asked or "4")
+
+    def create(self) -> None:
+        """Note the number of shards of a new log."""
+        path = f"{self.root}/_shards"
+        if self.fs.get_file_info(path).type == pafs.FileType.NotFound:
+            self.fs.create_dir(self.root, recursive=True)
+            with self.fs.open_output_stream(path) as handle:
+                handle.write(str(self.count).encode())
+
     def shards(self) -> list[str]:
         return [f"shard-{i:06d}" for i in range(self.count)]
 
@@ -163,6 +183,7 @@ class FileLog:
 
     def publish(self, staged: list[tuple[str, str, int]], batch_id: str) -> None:
         """Number the staged files. A batch that was published before is left out, so replays add nothing."""
+        self.create()
         marker = f"{self.root}/_published/{batch_id}"
         if self.fs.get_file_info(marker).type != pafs.FileType.NotFound:
             return
@@ -263,7 +284,9 @@ class LogStreamWriter(DataSourceStreamArrowWriter):
         return _message(load_client(self.options).stage(iterator))
 
     def commit(self, messages, batchId):
-        run = self.options.get("query", "stream")
+        if not self.options.get("query"):
+            raise ValueError("a stream into a log needs the query option: a name that no other query into it has")
+        run = hashlib.blake2b(self.options["query"].encode(), digest_size=12).hexdigest()
         load_client(self.options).publish([f for m in messages if m for f in m.staged], f"{run}-{batchId}")
 
     def abort(self, messages, batchId):
@@ -295,13 +318,20 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(LogSource)
 
 
+def _located(spark: SparkSession, stream: str, options) -> str:
+    """A folder without a scheme is on Spark's default file system; said in full it is the same for every process."""
+    if "client" in options or ":" in stream.split("/", 1)[0]:
+        return stream
+    return spark._jsc.hadoopConfiguration().get("fs.defaultFS").rstrip("/") + stream
+
+
 def read_stream_log(
     spark: SparkSession, stream: str, position: str = LATEST, timestamp: int | None = None, streaming: bool = True, **options
 ) -> DataFrame:
     """Records of a log from LATEST, TRIM_HORIZON or AT_TIMESTAMP (epoch milliseconds, then mandatory)."""
     register(spark)
     reader = (spark.readStream if streaming else spark.read).format(FORMAT)
-    given = {"stream": stream, "position": position, **options}
+    given = {"stream": _located(spark, stream, options), "position": position, **options}
     if timestamp is not None:
         given["timestamp"] = str(timestamp)
     return reader.options(**given).load()
@@ -320,10 +350,18 @@ def log_records(df: DataFrame, key, data=None, arrival=None) -> DataFrame:
 
 
 def write_stream_log(records: DataFrame, stream: str, checkpoint: str | None = None, **options):
-    """Append records to a log; a streaming frame gives the writer to start, with its checkpoint set."""
+    """Append records to a log; a streaming frame gives the writer to start, with its checkpoint set.
+
+    Batches of a stream are told apart by the checkpoint, so one that is replayed adds nothing, while another query into the
+    same log, or the same one begun anew, adds all its batches.
+    """
     register(records.sparkSession)
+    stream = _located(records.sparkSession, stream, options)
     if records.isStreaming:
-        return records.writeStream.format(FORMAT).options(stream=stream, checkpointLocation=checkpoint, **options)
+        if not checkpoint:
+            raise ValueError("a stream into a log needs a checkpoint")
+        named = {"query": checkpoint, **options}
+        return records.writeStream.format(FORMAT).options(stream=stream, checkpointLocation=checkpoint, **named)
     return records.write.format(FORMAT).mode("append").options(stream=stream, **options).save()
 
 

@@ -46,6 +46,11 @@ def multi_sink(df: DataFrame, sinks: dict[str, Callable[[DataFrame, int], None]]
     return each_batch(df, write, checkpoint)
 
 
+def to_service(df: DataFrame, write: Callable, make_client: Callable[[], object], checkpoint: str, **options) -> DataStreamWriter:
+    """A stream into a service: each micro-batch goes through one of the writers of ``sinks.service``, at least once."""
+    return each_batch(df, lambda batch, batch_id: write(batch, make_client, **options), checkpoint)
+
+
 def to_console(df: DataFrame, checkpoint: str | None = None, mode: str = "append"):
     """Print rows: a batch at once, a stream as its batches complete (returns the writer)."""
     if not df.isStreaming:

@@ -60,8 +60,10 @@ class DecayingAverage(StatefulProcessor):
         pass
 
 
-def _stateful(df: DataFrame, key: str, processor: StatefulProcessor, columns: str) -> DataFrame:
-    return df.groupBy(key).transformWithState(processor, _schema_of(df, key, columns), "append", "none")
+def _stateful(df: DataFrame, key: str, processor: StatefulProcessor, columns: str, ttl: bool = False) -> DataFrame:
+    # A time to live is counted in processing time.
+    mode = "processingTime" if ttl else "none"
+    return df.groupBy(key).transformWithState(processor, _schema_of(df, key, columns), "append", mode)
 
 
 def _rows_per_piece(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -79,7 +81,7 @@ def keyed_count(df: DataFrame, key: str, out: str = "total_count", ttl_ms: int |
     row per input row. A key that holds much of the stream therefore costs its task a row per batch, not per record.
     """
     pieces = df.select(key).mapInArrow(_rows_per_piece, _schema_of(df, key, "_rows bigint"))
-    places = _stateful(pieces, key, CountingProcessor([key, "_before", "_rows"], ttl_ms), "_before bigint, _rows bigint")
+    places = _stateful(pieces, key, CountingProcessor([key, "_before", "_rows"], ttl_ms), "_before bigint, _rows bigint", ttl_ms is not None)
     spread = places.repartition(shuffle_partitions(df.sparkSession))
     return spread.select(key, F.explode(F.sequence(F.col("_before") + 1, F.col("_before") + F.col("_rows"))).alias(out))
 
@@ -120,7 +122,9 @@ class RunningCountBatches:
         batch = batch.persist()
         seen = batch.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("_seen"))
         folder = Folder(spark, self.totals)
-        if batch_id > 0 and folder.exists(f"batch={batch_id - 1}"):
+        if batch_id > 0:
+            if not folder.exists(f"batch={batch_id - 1}"):
+                raise ValueError(f"the totals of batch {batch_id - 1} are missing in {self.totals}; counting cannot go on")
             before = spark.read.parquet(f"{self.totals}/batch={batch_id - 1}")
         else:
             before = seen.limit(0)

@@ -57,3 +57,13 @@ def test_envelope(spark):
         f"op string, op_ts timestamp, seq bigint, before {row}, after {row}",
     )
     assert rows(changes.flatten_envelope(df), "op", "id", "v") == [("DELETE", 1, "a"), ("INSERT", 1, "a")]
+
+
+def test_unknown_event_names_fail_whatever_is_read(spark):
+    item = "struct<`partition-key`:string,`sort-key`:string,fieldOne:string,fieldTwo:string>"
+    df = spark.createDataFrame([("BOGUS", None, None, None), (None, None, None, None)], f"name string, at timestamp, old {item}, new {item}")
+    for bad in (df.filter("name is not null"), df.filter("name is null")):
+        decoded = changes.decode_change(bad, "name", "at", "old", "new")
+        for read in (decoded.select("newItem").collect, decoded.count, decoded.select("eventType").collect):
+            with pytest.raises(JOB_ERRORS):
+                read()

@@ -29,23 +29,34 @@ def test_running_count(spark, slices, ties):
     assert got == wanted
 
 
-def test_frequent_value_is_cut_by_the_second_column(spark):
-    df = spark.range(1000).select((F.col("id") > 900).cast("int").alias("o"), "id")
-    sliced = ordered.with_slices(df, ["o", "id"], 8)
-    sizes = [r["count"] for r in sliced.groupBy("_slice").count().collect()]
-    assert max(sizes) < 300
-    edges = sliced.groupBy("_slice").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).orderBy("_slice").collect()
-    assert all(a.hi < b.lo for a, b in zip(edges, edges[1:]))
-
-
-def test_only_large_keys_are_sliced(spark):
-    df = spark.range(1000).select("id", F.when(F.col("id") < 600, -1).otherwise(F.col("id")).alias("k"))
-    assert ordered.large_keys(df, ["k"], 8, 1000)["k"].to_pylist() == [-1]
-    sliced, any_large = ordered._sliced(df, ["k"], ["id"], 8)
-    sizes = {r._slice: r["count"] for r in sliced.groupBy("_slice").count().collect()}
-    assert any_large and sizes.pop(0) == 400 and len(sizes) == 8 and max(sizes.values()) < 120
-    assert not ordered._sliced(spark.range(100), ["id"], ["id"], 8)[1]
-    assert not ordered._sliced(df, ["k"], ["id"], None)[1]  # too few rows to be worth it
+@pytest.mark.parametrize("order", ["number", "text", "day", "nothing"])
+def test_same_numbers_for_any_order_type_and_any_slices(spark, order):
+    values = [(i, None if i % 8 == 0 else i % 13) for i in range(40)]
+    df = spark.createDataFrame(values, "id long, number int").select(
+        "id", "number", F.col("number").cast("string").alias("text"), F.date_add(F.lit("2024-01-01").cast("date"), F.col("number")).alias("day"),
+        F.lit(None).cast("double").alias("nothing"), F.lit("k").alias("key"),
+    )
+    for slices in (1, 4, 9):
+        got = {r.id: r.total_count for r in ordered.running_count(df, ["key"], [order, "id"], slices=slices).collect()}
+        place = {"number": lambda v: (v is not None, v), "text": lambda v: (v is not None, str(v)), "day": lambda v: (v is not None, v), "nothing": lambda v: 0}[order]
+        wanted = [i for i, v in sorted(values, key=lambda r: (place(r[1]), r[0]))]
+        assert got == {i: n + 1 for n, i in enumerate(wanted)}
+
+
+def test_one_frequent_value_is_spread_over_slices(spark):
+    df = spark.range(1000).select(F.lit(7).alias("o"), "id")
+    sizes = [r["count"] for r in ordered.with_slices(df, [], ["o"], 8).groupBy("_slice").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 250
+    numbers = sorted(r.total_count for r in ordered.running_count(df, [], ["o"], slices=8).collect())
+    assert numbers == list(range(1, 1001))
+
+
+def test_carries_are_fewer_than_slices(spark):
+    df = spark.range(2000).select("id", F.when(F.col("id") < 900, -1).otherwise(F.col("id")).alias("k"))
+    sliced = ordered.with_slices(df, ["k"], ["id"], 8)
+    placed = ordered._with_carry(sliced, ["k"], F.count(F.lit(1)), F.sum("_part"))
+    carried = placed.filter("_carry is not null").select("k", "_slice").distinct().collect()
+    assert 0 < len(carried) < 8
 
 
 @pytest.mark.parametrize("slices", [None, 1, 6])

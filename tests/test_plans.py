@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import ordered
 from millrace.plans.catalogue import QUERIES
+from millrace.sinks import lake
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -13,10 +14,7 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-READ_ONLY = [n for n in sorted(QUERIES) if not n.startswith("stream_") and not n.endswith("_sink")]
-
-
-@pytest.mark.parametrize("name", READ_ONLY)
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_pairwise_joins(spark, name):
     text = plan(QUERIES[name].run(spark, SF_DIR))
     assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
@@ -51,7 +49,21 @@ def test_aggregates_are_partial_before_the_shuffle(spark, name):
     assert "partial_" in plan(QUERIES[name].run(spark, SF_DIR))
 
 
-def test_sliced_rows_are_joined_only_with_the_list_of_large_keys(spark):
+def test_ordered_rows_are_joined_only_with_the_short_list_of_carries(spark):
     df = spark.range(1000).select("id", F.when(F.col("id") < 900, "a").otherwise("b").alias("k"))
     text = plan(ordered.running_count(df, ["k"], ["id"], slices=4))
     assert "SortMergeJoin" not in text and "ShuffledHashJoin" not in text and "BroadcastHashJoin" in text
+
+
+@pytest.mark.parametrize("name", ["running_count", "late_split", "late_split_single_source", "ema_last", "group_samples"])
+def test_no_key_and_no_table_meets_in_one_task(spark, name):
+    assert "SinglePartition" not in plan(QUERIES[name].run(spark, SF_DIR))
+
+
+def test_upserts_read_only_their_partitions(spark, tmp_path):
+    df = spark.range(100).select("id", (F.col("id") % 10).cast("int").alias("p"))
+    lake.lake_append(df, f"{tmp_path}/t", ["p"])
+    stored = lake._stored(spark, f"{tmp_path}/t", lake.Folder(spark, f"{tmp_path}/t"), ["p"], df.schema)
+    labels = [r[0] for r in df.filter("p in (3, 4)").select(lake._label(["p"])).distinct().collect()]
+    kept = lake._only(stored, labels, ["p"])
+    assert "PartitionFilters: []" not in plan(kept) and sorted(f.rsplit("/", 2)[1] for f in kept.inputFiles()) and kept.count() == 20

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from millrace import schemas
 from millrace.functions import scalar, udfs
-from millrace.operators import project
+from millrace.operators import project, windows
 from millrace.sources import kafka, synth
 from tests.conftest import JOB_ERRORS, rows
 
@@ -179,3 +179,19 @@ def test_record_schemas_round_trip(spark, tmp_path):
     for name, data, schema in [("e", event, schemas.VEHICLE_EVENT), ("a", aggregate, schemas.VEHICLE_AGG)]:
         spark.createDataFrame(data, schema).write.parquet(f"{tmp_path}/{name}")
         assert [tuple(r) for r in spark.read.schema(schema).parquet(f"{tmp_path}/{name}").collect()] == data
+
+
+@pytest.mark.parametrize("blank", ["", "   "])
+def test_strict_decoding_refuses_blank_text(spark, blank):
+    df = spark.createDataFrame([(blank,), (None,)], "value string")
+    decoded = df.select(scalar.json_decode("value", T.StructType().add("id", "long")).alias("row"))
+    with pytest.raises(JOB_ERRORS):
+        decoded.collect()
+    assert decoded.filter("row is null").limit(0).count() == 0
+
+
+@pytest.mark.parametrize("precision", [6, 9, 12])
+def test_decimal_average_is_rounded_once(spark, precision):
+    df = spark.createDataFrame([("a", "0.004"), ("a", "0.004"), ("a", "0.007")], "k string, v string").withColumn("v", F.col("v").cast("decimal(8,4)"))
+    (row,) = windows.aggregate_by(df, ["k"], [windows.avg_decimal_of("v", "avg", precision, 2)]).collect()
+    assert str(row.avg) == "0.01"

@@ -2,11 +2,13 @@ import datetime as dt
 import glob
 import json
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import enrich
+from millrace.operators.asking import ask_all
 from millrace.sinks import files, jdbc, lake, service
 from millrace.sinks.storage import partition_folder
 from tests.conftest import JOB_ERRORS, rows
@@ -32,9 +34,7 @@ def test_default_operation_is_upsert_by_symbol(spark, tmp_path):
     assert lake.parse_fields("a, b c") == ["a", "b", "c"]
 
 
-@pytest.mark.parametrize("few", [1000, 0])
-def test_upsert_moves_between_partitions_and_empties_one(spark, tmp_path, monkeypatch, few):
-    monkeypatch.setattr(lake, "_FEW_PARTITIONS", few)  # a filter for few partitions, a join for many
+def test_upsert_moves_between_partitions_and_empties_one(spark, tmp_path):
     path = f"{tmp_path}/t"
     lake.lake_upsert(prices(spark, [("A", 1.0, 1), ("B", 2.0, 2), ("it's/odd=1", 3.0, 3), (None, 4.0, 4)]), path, ["id"], ["symbol"])
     lake.lake_upsert(prices(spark, [("B", 9.0, 1), ("B", 8.0, 3), ("B", 7.0, 4), ("B", 6.0, 4)]), path, ["id"], ["symbol"], order=["price"])
@@ -42,9 +42,7 @@ def test_upsert_moves_between_partitions_and_empties_one(spark, tmp_path, monkey
     assert [d for d in os.listdir(path) if d.startswith("symbol=")] == ["symbol=B"]
 
 
-@pytest.mark.parametrize("few", [1000, 0])
-def test_upsert_with_two_partition_columns(spark, tmp_path, monkeypatch, few):
-    monkeypatch.setattr(lake, "_FEW_PARTITIONS", few)
+def test_upsert_with_two_partition_columns(spark, tmp_path):
     path, schema = f"{tmp_path}/t", "id int, v string, a string, b int"
     first = [(1, "x", "p", 1), (2, "x", "p", None), (3, "x", None, 1), (4, "x", "q", 2)]
     second = [(1, "y", "p", 2), (2, "y", "p", None), (3, "y", "q", 2)]
@@ -66,15 +64,13 @@ def test_upsert_recovers_from_a_crash_during_the_swap(spark, tmp_path, monkeypat
     path = f"{tmp_path}/t"
     lake.lake_upsert(prices(spark, [("A", 1.0, 1), ("A", 2.0, 2), ("B", 3.0, 3)]), path, ["id"], ["symbol"], commit_id="1")
 
-    def crash(rows, target, parts):
-        # The swap has removed the old files of a partition and then the job is gone.
-        for name in glob.glob(f"{target}/symbol=A/*"):
-            os.remove(name)
+    def crash(folder, name, to):
+        # The old files of a partition are gone, and then the job is.
         raise RuntimeError("lost")
 
     batch = prices(spark, [("A", 9.0, 1)])
     with monkeypatch.context() as patched:
-        patched.setattr(lake, "lake_overwrite", crash)
+        patched.setattr(lake.Folder, "rename", crash)
         with pytest.raises(RuntimeError):
             lake.lake_upsert(batch, path, ["id"], ["symbol"], commit_id="2")
     lake.lake_upsert(batch, path, ["id"], ["symbol"], commit_id="2")
@@ -283,7 +279,7 @@ def test_enrich_outcomes(spark):
     kept = enrich.enrich(df, Scripted, capacity=1, pause=0.0, on_error="dead_letter", on_timeout="dead_letter")
     assert rows(kept) == [
         ("crash", "FAILED", -1, 3), ("fail", "FAILED", 500, 3), ("missing", "FAILED", 404, 3), ("ok", "OK", 200, 1),
-        ("retry", "OK", 200, 2), ("slow", "TIMEOUT", -1, 1),
+        ("retry", "OK", 200, 2), ("slow", "FAILED", -1, 3),
     ]
     assert rows(enrich.enrich(df, Scripted, pause=0.0, on_error="drop"), "kind") == [("ok",), ("retry",)]
     assert rows(enrich.enrich(kinds(spark, "ok", "slow"), Scripted, pause=0.0), "kind") == [("ok",)]
@@ -293,6 +289,76 @@ def test_enrich_outcomes(spark):
         enrich.enrich(df, Scripted, on_error="ignore")
 
 
+def statuses(client, rows_in, **options):
+    return {a.row: (a.status, a.attempts) for a in ask_all(rows_in, client, **options)}
+
+
 def test_deadline_covers_all_attempts():
-    status, _, made = enrich.ask_with_retries(lambda row, left: 500, {}, timeout=0.05, attempts=3, pause=1.0)
-    assert (status, made) == (enrich.TIMEOUT, 1)
+    got = statuses(lambda row, left: 500, [1], capacity=2, timeout=0.05, attempts=3, pause=1.0, accept=lambda v: v == 200)
+    assert got == {1: ("TIMEOUT", 1)}
+
+
+def test_deadline_holds_for_clients_that_ignore_it():
+    def client(row, left):
+        time.sleep({"late": 0.4, "stuck": 30.0}.get(row, 0.0))
+        return 200
+
+    began = time.monotonic()
+    got = statuses(client, ["late", "stuck", *range(20)], capacity=2, timeout=0.15, attempts=1)
+    assert time.monotonic() - began < 5
+    assert got["late"][0] == got["stuck"][0] == "TIMEOUT" and all(got[i] == ("OK", 1) for i in range(20))
+
+
+def test_rows_do_not_wait_for_a_slower_one():
+    order = [a.row for a in ask_all(range(50), lambda row, left: time.sleep(0.3 if row == 0 else 0.0), capacity=4, timeout=5.0)]
+    assert order[-1] == 0 and sorted(order) == list(range(50))
+
+
+def test_blank_partition_is_the_null_partition(spark, tmp_path):
+    path, schema = f"{tmp_path}/t", "id int, part string"
+    lake.lake_upsert(spark.createDataFrame([(1, None), (2, "x")], schema), path, ["id"], ["part"])
+    lake.lake_upsert(spark.createDataFrame([(3, "")], schema), path, ["id"], ["part"])
+    assert rows(spark.read.schema(schema).parquet(path)) == sorted([(1, None), (2, "x"), (3, None)], key=repr)
+
+
+def test_narrower_and_wider_rows_keep_the_columns_of_the_table(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    lake.lake_upsert(spark.createDataFrame([(1, "a", "p"), (2, "b", "p")], "id int, extra string, part string"), path, ["id"], ["part"])
+    lake.lake_upsert(spark.createDataFrame([(2, "p"), (3, "p")], "id int, part string"), path, ["id"], ["part"])
+    lake.lake_upsert(spark.createDataFrame([(4, 9, "p")], "id int, more int, part string"), path, ["id"], ["part"])
+    got = spark.read.schema("id int, extra string, more int, part string").parquet(path)
+    assert rows(got) == sorted([(1, "a", None, "p"), (2, None, None, "p"), (3, None, None, "p"), (4, None, 9, "p")], key=repr)
+
+
+def test_repeated_keys_need_an_order(spark, tmp_path):
+    with pytest.raises(ValueError, match="repeat a key"):
+        lake.lake_upsert(prices(spark, [("A", 9.0, 1), ("A", 1.0, 1)]), f"{tmp_path}/t", ["id"], ["symbol"])
+    with pytest.raises(ValueError, match="commit id"):
+        lake.lake_write(prices(spark, []), f"{tmp_path}/t", "overwrite", commit_id="c")
+
+
+def test_append_with_a_commit_id_is_added_once_and_goes_on_after_a_crash(spark, tmp_path, monkeypatch):
+    path, batch = f"{tmp_path}/t", prices(spark, [("A", 1.0, 1), ("B", 2.0, 2), ("C", 3.0, 3)])
+    lake.lake_append(prices(spark, [("A", 0.0, 0)]), path, ["symbol"], "first")
+    moved = []
+
+    def crash_after_one(folder, name, to, real=lake.Folder.rename):
+        if moved:
+            raise RuntimeError("lost")
+        moved.append(real(folder, name, to))
+
+    with monkeypatch.context() as patched:
+        patched.setattr(lake.Folder, "rename", crash_after_one)
+        with pytest.raises(RuntimeError):
+            lake.lake_append(batch, path, ["symbol"], "second")
+    for _ in range(2):
+        lake.lake_append(batch, path, ["symbol"], "second")
+    assert stored(spark, path) == [("A", 0.0, 0), ("A", 1.0, 1), ("B", 2.0, 2), ("C", 3.0, 3)]
+
+
+def test_noted_partitions_are_marked_without_another_batch(spark, tmp_path):
+    batch = spark.createDataFrame([(1, 2.0), (2, 3.0)], "sensor_id int, temperature double")
+    files.PartitionCommit(f"{tmp_path}/t", ["sensor_id"], delay=1)(batch, 0)
+    assert not glob.glob(f"{tmp_path}/t/sensor_id=*/_SUCCESS")
+    files.PartitionCommit(f"{tmp_path}/t", ["sensor_id"], delay=1).finish(spark)
+    assert len(glob.glob(f"{tmp_path}/t/sensor_id=*/_SUCCESS")) == 2

@@ -1,5 +1,6 @@
 import datetime as dt
 import os
+import shutil
 import time
 
 import pyarrow as pa
@@ -11,7 +12,7 @@ from millrace.operators import windows
 from millrace.sinks import files as sink_files
 from millrace.sources import files, log, synth
 from millrace.streaming import run, state
-from millrace.streaming.time import event_time, processing_time
+from millrace.streaming.time import ascending_time, event_time, processing_time
 from tests.conftest import rows
 
 SCHEMA = "key string, n bigint, ts timestamp_ntz, v double"
@@ -156,7 +157,7 @@ def test_log_stream_goes_on_and_replays_add_nothing(spark, tmp_path):
     target = f"{tmp_path}/log"
     for low in (0, 40):
         put(spark, target, low, low + 40, shards="2")
-        records = log.read_stream_log(spark, target, log.TRIM_HORIZON, shards="2")
+        records = log.read_stream_log(spark, target, log.TRIM_HORIZON)
         run.run_to_end(sink_files.save(log.decoded(records, ID), f"{tmp_path}/out", checkpoint=f"{tmp_path}/cp"))
     assert sorted(r.id for r in spark.read.parquet(f"{tmp_path}/out").collect()) == list(range(80))
     client = log.FileLog({"stream": target, "shards": "2"})
@@ -189,3 +190,57 @@ def test_log_row_groups(spark, tmp_path, monkeypatch):
     assert [client.at_timestamp("shard-000000", t) for t in (0, 2, 4, 20_000_001, 99_000_000)] == [0, 2, 4, 9, 20]
     (piece,) = client.pieces("shard-000000", 6, 13)
     assert [n for b in client.read(piece) for n in b["sequence"].to_pylist()] == list(range(6, 13))
+
+
+def test_log_keeps_its_number_of_shards(spark, tmp_path):
+    target = f"{tmp_path}/log"
+    put(spark, target, 0, 1000, shards="8")
+    assert ids(log.read_stream_log(spark, target, log.TRIM_HORIZON, streaming=False)) == list(range(1000))
+    with pytest.raises(Exception, match="8 shards"):
+        log.read_stream_log(spark, target, log.TRIM_HORIZON, streaming=False, shards="3").collect()
+
+
+def test_two_queries_into_one_log_keep_all_rows(spark, tmp_path):
+    feed(spark, tmp_path / "in", [("a", n, n, 1.0) for n in range(100)])
+    for name in ("one", "two"):
+        records = log.log_records(stream(spark, tmp_path / "in").select(F.col("n").alias("id")), F.col("id"))
+        for _ in range(2):  # nothing new for the second run
+            run.run_to_end(log.write_stream_log(records, f"{tmp_path}/log", f"{tmp_path}/{name}"))
+    got = ids(log.read_stream_log(spark, f"{tmp_path}/log", log.TRIM_HORIZON, streaming=False))
+    assert got == sorted([*range(100)] * 2)
+
+
+def test_state_with_a_time_to_live(spark, tmp_path):
+    feed(spark, tmp_path / "in", [("a", 0, 0, 1.0), ("a", 1, 0, 1.0)])
+    counted = state.keyed_count(stream(spark, tmp_path / "in"), "key", ttl_ms=3_600_000)
+    run.run_to_end(sink_files.save(counted, f"{tmp_path}/out", checkpoint=f"{tmp_path}/cp"))
+    assert rows(spark.read.parquet(f"{tmp_path}/out")) == [("a", 1), ("a", 2)]
+
+
+def test_counting_stops_when_its_totals_are_gone(spark, tmp_path):
+    counter = state.RunningCountBatches(["key"], ["n"], f"{tmp_path}/totals", lambda df, i: df.collect())
+    df = spark.createDataFrame([("a", 1)], "key string, n bigint")
+    with pytest.raises(ValueError, match="missing"):
+        counter(df, 3)
+
+
+def test_a_sibling_of_the_table_is_not_read(spark, tmp_path):
+    from millrace.plans.streams import event_stream
+
+    source = "/root/testdata/sf0.001/events.parquet"
+    for name in ("events.parquet", "events.parquet_old"):
+        spark.read.parquet(source).write.parquet(f"{tmp_path}/folder/{name}")
+    os.makedirs(f"{tmp_path}/file")
+    for name in ("events.parquet", "events.parquet_old"):
+        shutil.copy(source, f"{tmp_path}/file/{name}")
+    for kind in ("folder", "file"):
+        rows_in = event_stream(spark, f"{tmp_path}/{kind}").select("event_id")
+        run.run_to_end(sink_files.save(rows_in, f"{tmp_path}/{kind}-out", checkpoint=f"{tmp_path}/{kind}-cp"))
+        assert spark.read.parquet(f"{tmp_path}/{kind}-out").count() == spark.read.parquet(source).count()
+
+
+def test_ascending_time_closes_windows_at_once(spark, tmp_path):
+    feed(spark, tmp_path / "in", [("a", 0, 1, 5.0), ("a", 1, 30, 7.0)])
+    out = windows.window_min(ascending_time(stream(spark, tmp_path / "in"), "ts"), "ts", "key", "v", "30 seconds")
+    run.run_to_end(sink_files.save(out, f"{tmp_path}/out", checkpoint=f"{tmp_path}/cp"))
+    assert rows(spark.read.parquet(f"{tmp_path}/out"), "min_value") == [(5.0,)]
