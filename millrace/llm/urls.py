@@ -42,7 +42,8 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str]] = RULES
         own, _, start = rule.partition("/")
         fits = ((host == own) | F.endswith(host, F.lit(f".{own}"))) & F.startswith(path, F.lit(f"/{start}"))
         fitting.append(F.when(fits, F.struct(F.lit(len(rule)).alias("length"), F.lit(rule).alias("rule"), F.lit(verdict).alias("verdict"))))
-    return F.array_max(F.array_compact(F.array(*fitting)))
+    found = "array<struct<length:int,rule:string,verdict:string>>"  # also without any rules
+    return F.array_max(F.array_compact(F.array(*fitting).cast(found)))
 
 
 def _entropy(text: Column) -> Column:
