@@ -10,7 +10,8 @@
 4. Candidates are compared on their full sets; links give components.
 5. Members of a bucket that are still in different components, and neither of them its centre, have not been compared. These
    rest pairs are compared too, those of a document outside the bucket's largest component against all members, on full sets,
-   inside tasks of bounded work; only found links leave a task. A pair is compared in its first common bucket only.
+   chunk by chunk, so that neither the pairs nor the sets of a group grow with the bucket; only found links leave a task. A pair
+   is compared in its first common bucket only.
 
 So no link between documents that share a bucket is lost. At the similarity 0.85 a pair shares none of 25 bands of 5 with
 probability 5e-7, at 0.8 with 5e-5. Bands, centres and comparisons are the same at every size, and nothing is capped.
@@ -19,6 +20,7 @@ probability 5e-7, at 0.8 with 5e-5. Bands, centres and comparisons are the same
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +34,9 @@ from millrace.llm.components import Steps, connected
 BINS, BANDS, ROWS = 128, 25, 5
 # Bits that are flipped in an id before the smallest is taken: the orders in which centres are chosen.
 CENTRES = [0x2545F4914F6CDD1D >> (7 * i) for i in range(6)]
+# Of the documents that one task compares with one another: pairs, and bytes of their sets.
 BLOCK_PAIRS = 2_000_000
+BLOCK_BYTES = 1 << 25
 
 
 def _sets(texts: Texts, k: int) -> list[np.ndarray]:
@@ -110,27 +114,42 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(right, "b").join(left, "a").select("a", "b", "of_a", "of_b").mapInArrow(compare, "a long, b long")
 
 
-def _rest(members: DataFrame, parts: DataFrame, sets: DataFrame, keys: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between components among the pairs of a bucket that the stars have not compared."""
+def _rest(members: DataFrame, parts: DataFrame, sets: DataFrame, keys: DataFrame, percent: int, steps: Steps) -> DataFrame:
+    """Links (a, b) between components among the pairs of a bucket that the stars have not compared.
+
+    A bucket is dealt into chunks by the hash of the id, a large one first by who asks and by the size of the sets, and each two
+    chunks that can hold a link are a group of their own. The chunks of a bucket are so many that rows and bytes stay in bounds on
+    the average of the hash; a longer document is a chunk's excess.
+    """
     placed = members.filter("id <> centre").join(parts, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("part"))
     sizes = placed.groupBy("bucket", "part").agg(F.count(F.lit(1)).alias("n"))
-    open_buckets = sizes.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("parts"), F.sum("n").alias("all"), F.max(F.struct("n", "part")).alias("main")
-    ).filter("parts > 1")
-    n_blocks = F.ceil((F.col("all") - F.col("main.n")) * F.col("all") / BLOCK_PAIRS).cast("int")
-    rows = placed.join(open_buckets, "bucket").select(
-        "bucket", "id", "part", (F.col("part") != F.col("main.part")).alias("asks"), n_blocks.alias("n_blocks")
-    ).withColumn("own", F.pmod(F.xxhash64("id"), "n_blocks"))
-    rows = rows.join(sets, "id").join(keys, "id")
-    rows = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
-    rows = rows.withColumn("asks", F.col("asks") & (F.col("own") == F.col("block")))
-    return rows.groupBy("bucket", "block").applyInArrow(lambda t: _compare_block(t, percent), "a long, b long").distinct()
+    open_buckets = sizes.groupBy("bucket").agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "part")).alias("main")).filter("parts > 1")
+    rows = placed.join(open_buckets, "bucket").join(sets.select("id", "size"), "id")
+    rows = steps.keep(rows.select("bucket", "id", "part", (F.col("part") != F.col("main.part")).alias("asks"), "size"))
+    needed = F.ceil(F.greatest(F.count(F.lit(1)) / math.isqrt(BLOCK_PAIRS), 8 * F.sum("size") / (BLOCK_BYTES // 2)))
+    large = rows.groupBy("bucket").agg((needed > 1).alias("large"))
+    kind = F.when(F.col("large"), 2 * F.floor(F.log(1.25, F.col("size"))) + F.col("asks").cast("long")).otherwise(F.lit(0))
+    rows = rows.join(large, "bucket").withColumn("kind", kind)
+    kinds = rows.groupBy("bucket", "kind").agg(
+        needed.alias("n_chunks"), F.max("asks").alias("asks"), F.min("size").alias("least"), F.max("size").alias("most")
+    )
+    chunk = F.shiftleft("kind", 32) + F.col("number")
+    chunks = kinds.withColumn("number", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_chunks") - 1))).withColumn("chunk", chunk)
+    one, two = (chunks.select("bucket", *(F.col(c).alias(f"{c}_{i}") for c in ("chunk", "asks", "least", "most"))) for i in (1, 2))
+    fits = "chunk_1 <= chunk_2 AND (asks_1 OR asks_2) AND 100 * most_1 >= {0} * least_2 AND 100 * most_2 >= {0} * least_1"
+    blocks = one.join(two, "bucket").filter(fits.format(percent))
+    either = F.explode(F.array_distinct(F.array("chunk_1", "chunk_2")))
+    dealt = rows.join(kinds.select("bucket", "kind", "n_chunks"), ["bucket", "kind"]).withColumn("number", F.pmod(F.xxhash64("id"), "n_chunks"))
+    dealt = dealt.select("bucket", chunk.alias("chunk"), "id", "part", "asks")
+    dealt = dealt.join(blocks.select("bucket", "chunk_1", "chunk_2", either.alias("chunk")), ["bucket", "chunk"])
+    dealt = dealt.join(sets.select("id", "hashes"), "id").join(keys, "id")
+    return dealt.groupBy("bucket", "chunk_1", "chunk_2").applyInArrow(lambda t: _compare_block(t, percent), "a long, b long").distinct()
 
 
 def _compare_block(block: pa.Table, percent: int) -> pa.Table:
-    """Each asking document against all the others of the block, by the hashes they have in common."""
-    bucket = block["bucket"][0].as_py()
-    ids, parts, asks = (block[c].to_numpy() for c in ("id", "part", "asks"))
+    """Each asking document against all the others of its chunk, or of the other chunk of the block, by the hashes in common."""
+    bucket, within = block["bucket"][0].as_py(), block["chunk_1"][0] == block["chunk_2"][0]
+    ids, parts, asks, chunks = (block[c].to_numpy() for c in ("id", "part", "asks", "chunk"))
     sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in block["hashes"].combine_chunks()]
     keys = np.stack(block["buckets"].to_numpy(zero_copy_only=False)) if len(ids) else np.zeros((0, BANDS), np.int64)
     earlier = int(np.flatnonzero(keys[0] == bucket)[0])
@@ -139,7 +158,7 @@ def _compare_block(block: pa.Table, percent: int) -> pa.Table:
     starts, found = ends - lengths, set()
     for q in np.flatnonzero(asks).tolist():
         fits = (parts != parts[q]) & (100 * np.minimum(lengths, lengths[q]) >= percent * np.maximum(lengths, lengths[q]))
-        fits &= ~(asks & (ids <= ids[q]))
+        fits &= ~(asks & (ids <= ids[q])) & (within | (chunks != chunks[q]))
         fits[fits] = ~(keys[fits, :earlier] == keys[q, :earlier]).any(1)
         at = np.flatnonzero(fits)
         for some in (at[i : i + 4096] for i in range(0, len(at), 4096)):
@@ -175,12 +194,16 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_column: s
     texts = id_and_text(docs, **names).withColumn(ID, F.col(ID).cast("long"))
     wanted = members.select(F.col("id").alias(ID)).distinct()
     chosen = texts.join(wanted, ID, "left_semi").dropDuplicates([ID])
-    hashes = per_document(chosen, lambda t: {"hashes": pa.array([s.tobytes() for s in _sets(t, k)], pa.binary())}, "hashes binary")
-    sets = steps.keep(hashes.withColumnRenamed(ID, "id"))
+
+    def hashed(texts: Texts) -> dict[str, object]:
+        found = _sets(texts, k)
+        return {"size": pa.array([len(s) for s in found], pa.int64()), "hashes": pa.array([s.tobytes() for s in found], pa.binary())}
+
+    sets = steps.keep(per_document(chosen, hashed, "size long, hashes binary").withColumnRenamed(ID, "id"))
     pairs = members.filter("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
     links = steps.keep(_confirmed(pairs, sets, percent))
     parts = steps.keep(connected(links, steps))
-    more = steps.keep(_rest(members, parts, sets, classes.select("id", "buckets"), percent))
+    more = steps.keep(_rest(members, parts, sets, classes.select("id", "buckets"), percent, steps))
     joined = connected(more, steps).select(F.col("id").alias("component"), F.col("component").alias("whole"))
     grouped = classes.select("digest", "id").join(parts, "id", "left").withColumn("component", F.coalesce("component", "id"))
     named = grouped.join(joined, "component", "left").select("digest", F.coalesce("whole", "component").alias("found"))

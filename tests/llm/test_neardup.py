@@ -58,6 +58,31 @@ def test_group_of_copies_that_only_some_members_link(spark, monkeypatch):
     assert rows(n.near_duplicates(documents(spark, texts), 3, 85)) == sorted(expected(list(enumerate(texts)), 3, 85), key=repr)
 
 
+def test_blocks_of_an_open_bucket_are_bounded_on_both_sides(spark, monkeypatch):
+    rng = random.Random(8)
+    template = [f"w{i}" for i in range(200)]
+
+    def page(i):
+        at = rng.randrange(4) * 10  # most pages differ too much to be linked, some twins do not
+        own = [f"p{i // 2 if i % 5 == 0 else i}-{j}" for j in range(18 + at)]
+        return " ".join(template[:at * 4] + own + template[at * 4 :] + [f"e{i}"] * (i % 3))
+
+    texts = [page(i) for i in range(400)] + [page(7) + f" x{i}" for i in range(12)]
+    compare = n._compare_block
+
+    def bounded(block, percent):
+        assert block.num_rows <= 2 * 70 and sum(len(x.as_py()) for x in block["hashes"]) <= 400_000
+        return compare(block, percent)
+
+    monkeypatch.setattr(n, "_compare_block", bounded)
+    monkeypatch.setattr(n, "BLOCK_PAIRS", 2000)  # 44 rows a side on average
+    want = sorted(expected(list(enumerate(texts)), 3, 85), key=repr)
+    assert rows(n.near_duplicates(documents(spark, texts), 3, 85)) == want
+    monkeypatch.setattr(n, "BLOCK_PAIRS", 2_000_000)
+    monkeypatch.setattr(n, "BLOCK_BYTES", 1 << 17, raising=False)
+    assert rows(n.near_duplicates(documents(spark, texts), 3, 85)) == want
+
+
 def test_odd_texts_short_texts_and_clashing_columns(spark):
     texts = [*ODD, "a b", "A B", "a b c", "a b c d", "a  b\tc", "b a", "one", "ONE "]
     docs = documents(spark, texts, extra=["id", "component", "bucket", "digest"])
