@@ -110,10 +110,10 @@ def mix(x: np.ndarray) -> np.ndarray:
 def shingles(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the runs of ``k`` words of each document, and how many each has; shorter documents give one run."""
     hashed, counts = words.hashes(), words.counts()
-    n = len(hashed)
-    runs = np.full(max(0, n - k + 1), k, np.uint64)
+    n = max(0, len(hashed) - k + 1)
+    runs = np.full(n, k, np.uint64)
     for j in range(k):
-        runs = mix(runs * _ODD[1] + hashed[j : n - k + 1 + j])
+        runs = mix(runs * _ODD[1] + hashed[j : n + j])
     per_doc = np.where(counts >= k, counts - k + 1, np.minimum(counts, 1))
     out = np.empty(per_doc.sum(), np.uint64)
     to = np.cumsum(per_doc) - per_doc

@@ -1,9 +1,11 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from millrace.llm import neardup as n
+from millrace.llm.arrow_text import SPACED_WORD, Texts, shingles
 from millrace.llm.components import Steps, connected
 from tests.conftest import rows
 from tests.llm.helpers import ODD, documents, shingle_set, table
@@ -89,6 +91,21 @@ def test_odd_texts_short_texts_and_clashing_columns(spark):
     assert rows(n.near_duplicates(docs, 3, 85)) == sorted(expected(list(enumerate(texts)), 3, 85), key=repr)
 
 
+@pytest.mark.parametrize("k", [1, 2, 3, 4, 5, 8])
+def test_pieces_of_few_words(k):
+    for words in range(12):
+        for texts in (["w " * words], [None, "w " * words, ""], ["a", "w " * words, "b c"]):
+            hashes, counts = shingles(Texts.of(pa.array(texts, pa.string())).words(SPACED_WORD), k)
+            each = [len((t or "").split()) for t in texts]
+            assert counts.tolist() == [max(c - k + 1, min(c, 1)) for c in each] and len(hashes) == counts.sum()
+
+
+@pytest.mark.parametrize("n_words", range(1, 7))
+def test_table_of_one_short_text_with_the_shingles_of_the_pipeline(spark, n_words):
+    docs = documents(spark, [" ".join("abcdef"[:n_words])])
+    assert rows(n.near_duplicates(docs, 5, 80), "doc_id", "n_shingles", "kept") == [(0, max(1, n_words - 4), True)]
+
+
 def test_repeated_rows_null_ids_and_empty_table(spark):
     docs = documents(spark, [(5, "a b c d"), (5, "a b c d"), (3, "a b c d"), (None, "a b c d"), (9, None)])
     got = rows(n.near_duplicates(docs, 3, 85), "doc_id", "component_id", "kept")
