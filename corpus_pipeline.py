@@ -38,7 +38,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files of all documents, and for each its id, start, number of tokens and checksum as read back."""
     folder = shared_dir(spark, "pipeline-tokens")
-    written = tokenfiles.write_token_files(docs, folder, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    written = tokenfiles.write_token_files(docs, folder, public_tokenizers.path("byte_bpe_50k.json"), end_id=2, special=True)
     return tokenfiles.read_all(spark, folder, written)
 
 

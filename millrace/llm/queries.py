@@ -56,7 +56,7 @@ def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_dir(spark, "tokens")
-    written = tokenfiles.write_token_files(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    written = tokenfiles.write_token_files(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("byte_bpe_50k.json"), end_id=2, special=True)
     return tokenfiles.read_all(spark, folder, written)
 
 

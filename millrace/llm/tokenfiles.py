@@ -10,12 +10,14 @@ uint32, ``ranks`` uint32, ``starts`` uint64 (one more than documents), ``keys``
 a trailer of five int64: documents, buckets, bytes per id, start of the arrays, magic number.
 
 A task writes under a name of its own attempt and renames at its end, so a repeated task replaces the file by an equal one.
-Text is cut before the tokenizer only where its pre-tokenizer cuts too; every different piece is encoded once per task.
+Text is cut before the tokenizer only where its pre-tokenizer cuts too, and around its added tokens; every different piece is
+encoded once per task.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -69,20 +71,30 @@ def _stands_alone(piece: bytes) -> bool:
 
 
 class Encoder:
-    """Ids of whole documents, made from the ids of their different pieces."""
+    """Ids of whole documents, made from the ids of their different pieces.
 
-    def __init__(self, path: str):
+    With ``special`` they are those of the tokenizer as its file has it: the text of a special token gives the token's id.
+    Without, that text is encoded like any other.
+    """
+
+    def __init__(self, path: str, special: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not special
         # Pieces are the same as the whole only for a byte-level pre-tokenizer without a normalizer.
         self.whole = self.tokenizer.normalizer is not None or type(self.tokenizer.pre_tokenizer).__name__ != "ByteLevel"
         # In a byte-level vocabulary each character of a token stands for one byte.
         self.widths = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
         for token, i in self.tokenizer.get_vocab().items():
             self.widths[i] = len(token)
+        added = [t for t in self.tokenizer.get_added_tokens_decoder().values() if t.content and (special or not t.special)]
+        contents = sorted((t.content.encode() for t in added), key=len, reverse=True)
+        self.added = re.compile(b"|".join(map(re.escape, contents))) if added else None
+        # Whether the added tokens are found by their text alone, in one pass.
+        self.literal = not any(t.single_word or t.lstrip or t.rstrip for t in added) and len({t.normalized for t in added}) < 2
+        self.joins = not self.whole and self.literal and not any(b" " in c for c in contents)
         self._clear()
 
     def _clear(self) -> None:
@@ -93,7 +105,7 @@ class Encoder:
         """Pieces that would be cut from one another anyway are encoded together; the bytes of the ids tell them apart."""
         joined, single = [], []
         for part in parts:
-            (joined if not self.whole and _stands_alone(part) else single).append(part)
+            (joined if self.joins and _stands_alone(part) else single).append(part)
         groups, size = [[]], 0
         for part in joined:
             groups[-1].append(part)
@@ -114,11 +126,30 @@ class Encoder:
         self.lengths.append(lengths)
         self.rows.update(zip([*single, *joined], range(len(self.rows), len(self.rows) + len(parts)), strict=True))
 
+    def _around_added(self, texts: Texts, starts: np.ndarray) -> np.ndarray:
+        """The places to cut, with those around added tokens and without those inside; a document stays whole if it holds a
+        token that takes in more than its own text."""
+        data = memoryview(texts.data)
+        if not self.added.search(data):
+            return starts
+        found = [m.span() for a, b in zip(texts.offsets[:-1].tolist(), texts.offsets[1:].tolist(), strict=True) for m in self.added.finditer(data, a, b)]
+        if not found:
+            return starts
+        begin, end = np.array(found).T
+        if not self.literal:
+            doc = np.unique(np.searchsorted(texts.offsets, begin, "right") - 1)
+            begin, end = texts.offsets[doc], texts.offsets[doc + 1]
+        before = np.searchsorted(begin, starts, "left") - 1
+        inside = (before >= 0) & (starts < end[np.maximum(before, 0)])
+        return np.unique(np.concatenate([starts[~inside], begin, end[end < len(data)]]))
+
     def encode(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and how many each document has."""
         if not len(texts.data):
             return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
         starts = np.unique(texts.offsets[:-1][np.diff(texts.offsets) > 0]) if self.whole else cuts(texts)
+        if self.added and not self.whole:
+            starts = self._around_added(texts, starts)
         ends = np.append(starts, len(texts.data))
         parts = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(texts.data))])
         coded = parts.dictionary_encode()
@@ -201,13 +232,14 @@ def _located(spark: SparkSession, folder: str) -> str:
 MANIFEST = "shard int, file string, n_docs long, n_tokens long, first_id long, last_id long"
 
 
-def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int | None, width: int = 2, id_column: str = ID, text_column: str = TEXT) -> DataFrame:
+def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int | None, width: int = 2, id_column: str = ID, text_column: str = TEXT, special: bool = False) -> DataFrame:
     """Write the shard files and return their manifest, one row per file in ascending order of ids.
 
     A null text counts as empty; a document's ids are those of its whole text and ``end_id``, if given. Rows that repeat an
     id all have their place, in the order of their texts; a null id is a key too and comes first. ``width`` is the bytes of an
     id; an id that does not fit fails the job. An empty table gives no file. The manifest has as many rows as the job has
-    partitions, and its order is that of the ids.
+    partitions, and its order is that of the ids. With ``special`` the ids are those of the plain call of the tokenizer, where
+    the text of a special token gives its id; without, such text is encoded like any other.
     """
     spark, steps = docs.sparkSession, Steps(docs.sparkSession, "token-manifest")
     folder = _located(spark, folder)
@@ -224,7 +256,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
                     store.create_dir(base, recursive=True)
                     shard = TaskContext.get().partitionId()
                     own = f"{base}/.{shard}-{uuid.uuid4().hex}"
-                    file, encoder = store.open_output_stream(own), Encoder(tokenizer)
+                    file, encoder = store.open_output_stream(own), Encoder(tokenizer, special)
                 ids, n = encoder.encode(texts)
                 if end_id is not None:
                     ids, n = np.insert(ids, np.cumsum(n), end_id), n + 1

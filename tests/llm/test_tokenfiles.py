@@ -1,3 +1,4 @@
+import json
 import zlib
 
 import numpy as np
@@ -6,6 +7,8 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
+import corpus_pipeline
+from millrace.llm import queries
 from millrace.llm import tokenfiles as t
 from millrace.llm.arrow_text import Texts
 from tests.conftest import rows
@@ -75,3 +78,43 @@ def test_index_is_minimal_and_perfect(n):
     hashed = t.key_hashes(np.arange(n), np.ones(n, bool))
     seeds, slots = t.build_index(hashed)
     assert sorted(slots.tolist()) == list(range(n)) and len(seeds) == max(1, n // t.KEYS_PER_BUCKET)
+
+
+END = "<|endoftext|>"
+SPECIAL = [
+    f"a {END} b", END, f"{END}{END}", f"a{END}b, c.{END}, d", f"a  {END}  b\n{END}\nc", f"é{END}é {END}", "<|endof", "text|>", f"x {END[:-1]} y",
+    f"\n{END}\n", f"it{END}'s", "a <|end of|> b", "one  two <b>x</b> <b> y", "abc ab bc a b c cab", " ab ", "ab", " x <|end", " of|> x",
+]
+
+
+def unchanged(path, texts):
+    tokenizer = Tokenizer.from_file(path)
+    return [tokenizer.encode(x or "", add_special_tokens=False).ids for x in texts]
+
+
+@pytest.mark.parametrize("more", [
+    [], [{"content": "ab"}, {"content": "abc"}, {"content": "<b>", "special": True}], [{"content": "<|end of|>"}, {"content": "  "}],
+    [{"content": "<b>", "lstrip": True, "rstrip": True}], [{"content": "ab", "single_word": True}], [{"content": "bc", "normalized": True}, {"content": "ab"}],
+])
+def test_added_tokens_as_in_the_plain_call(tmp_path, more):
+    made = json.load(open(PATH))
+    plain_token = {"single_word": False, "lstrip": False, "rstrip": False, "normalized": False, "special": False}
+    made["added_tokens"] += [plain_token | {"id": 50257 + i} | m for i, m in enumerate(more)]
+    path = str(tmp_path / "tokenizer.json")
+    json.dump(made, open(path, "w"))
+    texts = [x for x in [*ODD, *MORE, *SPECIAL] if x is not None]
+    encoder = t.Encoder(path, special=True)
+    for some in (texts, texts[::-1], [" and ".join(SPECIAL)], SPECIAL):
+        ids, counts = encoder.encode(Texts.of(pa.array(some)))
+        assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == unchanged(path, some)
+
+
+def test_queries_encode_special_tokens_as_the_plain_call(spark, tmp_path):
+    texts = [*SPECIAL, *MORE]
+    docs = documents(spark, texts)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    lengths = [len(ids) + 1 for ids in unchanged(PATH, texts)]
+    sums = [zlib.crc32(np.array([*ids, 2], "<u4").tobytes()) for ids in unchanged(PATH, texts)]
+    want = sorted(zip(range(len(texts)), (np.cumsum(lengths) - lengths).tolist(), lengths, sums, strict=True), key=repr)
+    assert rows(queries.op6_token_files(spark, str(tmp_path))) == want
+    assert rows(corpus_pipeline.token_stage(spark, docs, str(tmp_path))) == want
