@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, exactdup, language, licenses, mixing, neardup, quality, rollups, tokenfiles, urls
+from millrace.llm import decontaminate, exactdup, language, licenses, manifest, mixing, neardup, quality, rollups, tokenfiles, urls
 from millrace.llm.registry import LLM_QUERIES, query
 from millrace.session import shared_dir
 from millrace.tables import table
@@ -110,4 +110,80 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, language.fit(*language.learning_sample(docs)))
 
 
+# Levels are made by a recursive query, the siblings of a node by windows over its run, and a proof by climbing from its leaf.
+MANIFEST_SQL = """
+WITH RECURSIVE
+plain AS (
+  SELECT *, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
+    coalesce(list_reduce(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT), lambda crc, byte:
+      list_reduce([1, 2, 3, 4, 5, 6, 7, 8], lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, xor(crc, byte)),
+      4294967295), 0) AS crc
+  FROM documents
+), told AS (
+  SELECT *, concat(
+      coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+      coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-')) AS head
+  FROM plain
+), hashed AS (
+  SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    CASE WHEN doc_id IS NOT NULL AND xor(crc, 4294967295) % 5 = 0
+      THEN sha256(head || coalesce(strlen(low) || ':' || low, '-')) END AS altered
+  FROM told
+), leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank, count(*) OVER (PARTITION BY source) AS n
+  FROM hashed
+), nodes AS (
+  SELECT source, 0 AS level, n, rank, leaf AS digest FROM leaves
+  UNION ALL
+  SELECT source, level + 1, (n + 15) // 16, rank // 16, sha256(string_agg(digest, '' ORDER BY rank))
+  FROM nodes WHERE n > 1 GROUP BY source, level, n, rank // 16
+), subroots AS (
+  SELECT source, digest AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place, count(*) OVER () AS groups
+  FROM nodes WHERE n = 1
+), tops AS (
+  SELECT 0 AS level, groups AS n, place AS rank, subroot AS digest FROM subroots
+  UNION ALL
+  SELECT level + 1, (n + 15) // 16, rank // 16, sha256(string_agg(digest, '' ORDER BY rank)) FROM tops WHERE n > 1 GROUP BY level, n, rank // 16
+), below AS (
+  SELECT source, level, rank, coalesce(string_agg(digest, '') OVER (r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+    coalesce(string_agg(digest, '') OVER (r ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+  FROM nodes WHERE n > 1 WINDOW r AS (PARTITION BY source, level, rank // 16 ORDER BY rank)
+), above AS (
+  SELECT level, rank, coalesce(string_agg(digest, '') OVER (r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+    coalesce(string_agg(digest, '') OVER (r ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+  FROM tops WHERE n > 1 WINDOW r AS (PARTITION BY level, rank // 16 ORDER BY rank)
+), climbed AS (
+  SELECT source, rank AS leaf_rank, doc_id, leaf, 0 AS level, rank, n, coalesce(altered, leaf) AS folded, '' AS proof FROM leaves
+  UNION ALL
+  SELECT c.source, leaf_rank, doc_id, leaf, c.level + 1, c.rank // 16, (c.n + 15) // 16, sha256(before || folded || after), proof || before || after
+  FROM climbed c JOIN below b ON c.source IS NOT DISTINCT FROM b.source AND c.level = b.level AND c.rank = b.rank WHERE c.n > 1
+), topped AS (
+  SELECT c.source, leaf_rank, doc_id, leaf, subroot, 0 AS level, place AS rank, groups AS n, folded, proof
+  FROM climbed c JOIN subroots s ON c.source IS NOT DISTINCT FROM s.source WHERE c.n = 1
+  UNION ALL
+  SELECT t.source, leaf_rank, doc_id, leaf, subroot, t.level + 1, t.rank // 16, (t.n + 15) // 16, sha256(before || folded || after), proof || before || after
+  FROM topped t JOIN above a ON t.level = a.level AND t.rank = a.rank WHERE t.n > 1
+)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified
+FROM topped, (SELECT digest AS root FROM tops WHERE n = 1) WHERE n = 1
+"""
+
+
+@query(MANIFEST_SQL)
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of all documents. Where 5 divides the CRC-32 of the id, a text with A-Z lower-cased is held against its proof."""
+    docs = table(spark, sf_dir, "documents")
+    columns = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    altered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, manifest.leaf_digest(*columns, lowered))
+    names = ["doc_id", "source", "lang", "n_chars", "text"]
+    built = manifest.Manifest(manifest.leaves_of(docs, "source", "doc_id", names, altered=altered))
+    folded = manifest.fold(F.coalesce("altered", "leaf"), F.col("path")).alias("folded_root")
+    proofs = built.proofs(built.leaves).select(
+        F.col("key").alias("doc_id"), manifest.hex_text(F.col("leaf")).alias("leaf"), manifest.hex_text(F.col("root")).alias("subroot"),
+        F.lit(built.root).alias("root"), manifest.siblings_digest(F.col("path")).alias("proof_sha256"), folded,
+    )
+    return proofs.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 __all__ = ["LLM_QUERIES"]
