@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, exactdup, language, licenses, manifest, mixing, neardup, quality, rollups, tokenfiles, urls
+from millrace.llm import conversations, decontaminate, exactdup, language, licenses, manifest, mixing, neardup, quality, rollups, simhash, tokenfiles, urls
 from millrace.llm.registry import LLM_QUERIES, query
 from millrace.session import shared_dir
 from millrace.tables import table
@@ -110,6 +110,36 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, language.fit(*language.learning_sample(docs)))
 
 
+@query()
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, linked=3)
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """Conversations with faults: by the CRC-32 of its place a turn is dropped, emptied, unpunctuated, repeated or given to the user."""
+    place = F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")))
+    fate, text, role = F.crc32(place.cast("binary")) % 20, F.coalesce("text", F.lit(" ")), F.coalesce("role", F.lit(" "))
+    copies = F.when(fate == 3, F.array(F.lit(1), F.lit(2))).when(fate != 0, F.array(F.lit(1))).otherwise(F.array())
+    return turns.select(
+        "conv_id", "turn", F.when(fate == 4, "user").otherwise(role).alias("role"),
+        F.when(fate == 1, "").when(fate == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"), F.explode(copies).alias("copy"),
+    ).drop("copy")
+
+
+@query()
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations of which no turn is left after the damage are repaired at no cost."""
+    turns = table(spark, sf_dir, "conversations")
+    repair = conversations.Repair(damaged(turns))
+    digests = repair.text_digests().select(F.col("conv").alias("of"), "digest")
+    report = repair.report.join(digests, F.col("conv").eqNullSafe(F.col("of")))
+    every = turns.select("conv_id").distinct()
+    told = every.join(report, F.col("conv_id").eqNullSafe(F.col("conv")), "left")
+    numbers = [F.coalesce(c, F.lit(0)).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    repaired = F.coalesce("digest", F.sha2(F.lit(""), 256)).alias("repaired_sha256")
+    return told.select("conv_id", *numbers, F.coalesce("audit", F.lit("")).alias("audit"), repaired)
+
+
 # Levels are made by a recursive query, the siblings of a node by windows over its run, and a proof by climbing from its leaf.
 MANIFEST_SQL = """
 WITH RECURSIVE
