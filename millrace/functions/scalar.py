@@ -17,17 +17,19 @@ def _c(column: Column | str) -> Column:
 
 # --- text ------------------------------------------------------------------------------------------------------------
 
+# Texts of a pair and of a value with its window.
+PAIR_TEXT = "%s,%.2f"
+WINDOW_TEXT = "%s,%.2f,TimeWindow{start=%d, end=%d}"
+
 
 def csv_pair(key: Column | str, number: Column | str) -> Column:
     """``key,1.50``"""
-    return F.format_string("%s,%.2f", _c(key), _c(number))
+    return F.format_string(PAIR_TEXT, _c(key), _c(number))
 
 
 def csv_window(key: Column | str, number: Column | str, start: Column | str, end: Column | str) -> Column:
     """``key,1.50,TimeWindow{start=..., end=...}`` with the bounds in epoch milliseconds."""
-    return F.format_string(
-        "%s,%.2f,TimeWindow{start=%d, end=%d}", _c(key), _c(number), F.unix_millis(_c(start)), F.unix_millis(_c(end))
-    )
+    return F.format_string(WINDOW_TEXT, _c(key), _c(number), F.unix_millis(_c(start)), F.unix_millis(_c(end)))
 
 
 def date_part(ts: Column | str) -> Column:
@@ -103,7 +105,8 @@ def key_of_columns(columns: Sequence[Column | str], delimiter: str = ";") -> Col
     return F.concat_ws(delimiter, *[_c(c).cast("string") for c in columns])
 
 
-_TWO32 = 4294967296
+# Factor and start of the byte hash, and the range of its result.
+HASH_FACTOR, HASH_START, _TWO32 = 31, 1, 4294967296
 
 
 def byte_hash(key: Column | str) -> Column:
@@ -111,8 +114,8 @@ def byte_hash(key: Column | str) -> Column:
     # Read as Latin-1, every byte is one character whose code point is the byte.
     characters = F.split(F.decode(_c(key).cast("binary"), "ISO-8859-1"), "")
     signed = lambda b: F.when(b > 127, b - 256).otherwise(b)
-    step = lambda h, c: F.pmod(h * 31 + signed(F.ascii(c)), F.lit(_TWO32))
-    seed = F.lit(1).cast("long")
+    step = lambda h, c: F.pmod(h * HASH_FACTOR + signed(F.ascii(c)), F.lit(_TWO32))
+    seed = F.lit(HASH_START).cast("long")
     folded = F.when(F.octet_length(_c(key)) == 0, seed).otherwise(F.aggregate(characters, seed, step))
     return F.when(folded >= _TWO32 // 2, folded - _TWO32).otherwise(folded)
 

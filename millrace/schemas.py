@@ -9,49 +9,16 @@ def _struct(**columns: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
 
 
-_str, _int, _long = T.StringType(), T.IntegerType(), T.LongType()
-_float, _double = T.FloatType(), T.DoubleType()
-_ts, _ntz = T.TimestampType(), T.TimestampNTZType()
-
-STOCK_TS = _struct(event_time=_ts, ticker=_str, price=_double)
-STOCK_JSON = _struct(event_time=_str, ticker=_str, price=_float)
-STOCK_SECRET = _struct(symbol=_str, timestamp=_str, price=_double)
-STOCK_DECIMAL = _struct(symbol=_str, timestamp=_ts, price=T.DecimalType(10, 2))
-STOCK_VOLUME = _struct(symbol=_str, price=_float, volume=_int, timestamp=_long)
-PRICE_LAKE = _struct(timestamp=_str, symbol=_str, price=_float, volumes=_int)
-PRICE_SQL = _struct(ticker=_str, price=_double, event_time=_ntz)
-TRADE = _struct(
-    tradeId=_str, accountNr=_str, executionTime=_ts, buySell=_str, symbol=_str, price=T.DecimalType(8, 2), shares=_int
-)
-SENSOR_DECIMAL = _struct(sensor_id=_int, temperature=T.DecimalType(6, 2), measurement_time=_ntz)
-SENSOR_DOUBLE = _struct(sensor_id=_int, temperature=_double, measurement_time=_ntz)
-TEMPERATURE = _struct(sensorId=_int, room=_str, temperature=_float, sampleTime=_ts)
-TEMPERATURE_SERIES = _struct(roomId=_str, sensorId=_str, timestamp=_long, temperature=_double)
+_str, _int, _long, _double = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType()
+
 VEHICLE_EVENT = _struct(
     vin=_str, timestamp=_long, sensorData=T.MapType(_str, _long), warningLights=T.ArrayType(_str)
 )
 VEHICLE_AGG = _struct(
     vin=_str, timestamp=_long, averageSensorData=T.MapType(_str, _long), countDistinctWarnings=_int
 )
-SPEED_RECORD = _struct(id=_str, speed=_double)
-MESSAGE = _struct(message=_str)
-MESSAGE_ID = _struct(id=_str, message=_str)
-DEVICE = _struct(device_type=_str, session_id=_str)
-DEVICE_COUNT = _struct(device_type=_str, total_count=_int)
-USER_MESSAGE = _struct(user=_str, message=_str, ts=_ntz)
-KV_ITEM = _struct(partitionKey=_str, sortKey=_str, fieldOne=_str, fieldTwo=_str)
-CHANGE_EVENT = _struct(timestamp=_ts, eventType=_str, oldItem=KV_ITEM, newItem=KV_ITEM)
-CUSTOMERS_CDC = _struct(
-    CustomerID=_int, FirstName=_str, MiddleInitial=_str, LastName=_str, mail=_str,
-    _change_processed_at=_ts, _source_updated_at=_ts, _table_name=_str, _schema_name=_str, _db_name=_str,
-)
-CUSTOMERS_TARGET = _struct(
-    customer_id=_int, first_name=_str, middle_initial=_str, last_name=_str, email=_str,
-    _source_updated_at=_ts, _change_processed_at=_ts,
-)
-RANDOM_NUMBER = _struct(seed_time=_ntz, a_number=_int)
-MATRIX = _struct(seed_time=_ntz, element1=_float, element2=_float, element3=_float, element4=_float)
+USER_MESSAGE = _struct(user=_str, message=_str, ts=T.TimestampNTZType())
 
 # The supplied event table, declared for streaming reads of its files.
-EVENTS = _struct(event_id=_long, ts=_ntz, user_id=_long, event_type=_str, value=_double, props=_str)
+EVENTS = _struct(event_id=_long, ts=T.TimestampNTZType(), user_id=_long, event_type=_str, value=_double, props=_str)
 PROPS = _struct(k=_long)

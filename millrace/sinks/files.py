@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import scalar
@@ -37,6 +37,11 @@ def save(
     return (writer.partitionBy(*partition_by) if partition_by else writer).save(path)
 
 
+def streamed(spark: SparkSession, path: str) -> bool:
+    """Whether a stream into a folder has committed anything yet."""
+    return any(name[:1].isdigit() for name in Folder(spark, path).children("_spark_metadata"))
+
+
 def write_json_lines(df: DataFrame, path: str, timestamps: Sequence[str] = (), bucket_ts: str | None = None, **kwargs):
     """One JSON object per line; ``timestamps`` become epoch milliseconds; folders per hour of ``bucket_ts`` if given."""
     buckets = []

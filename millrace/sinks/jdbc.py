@@ -111,17 +111,18 @@ def upsert_jdbc_changelog(
     """Apply changes: upsert for inserts and updates, delete for removals."""
     last = latest_by_key(changes, keys, order, op, drop_removed=False).persist()
     gone = F.col(op).isin(REMOVALS)
-    _each_partition(
-        last.filter(~gone | F.col(op).isNull()), upsert_statement(table, columns, keys, dialect, mark), columns,
-        connect, batch, retries, wait, connections,
-    )
-    _each_partition(last.filter(gone), delete_statement(table, keys, mark), keys, connect, batch, retries, wait, connections)
-    last.unpersist()
+    kept = last.filter(~gone | F.col(op).isNull())
+    sent = (connect, batch, retries, wait, connections)
+    try:
+        _each_partition(kept, upsert_statement(table, columns, keys, dialect, mark), columns, *sent)
+        _each_partition(last.filter(gone), delete_statement(table, keys, mark), keys, *sent)
+    finally:
+        last.unpersist()
 
 
 def _each_partition(df, statement, columns, connect, batch, retries, wait, connections) -> None:
     rows = df.select(*columns)
-    rows = rows.coalesce(connections) if connections else rows
+    rows = rows.repartition(connections) if connections else rows  # coalesce would also cut what comes before
 
     def run(partition):
         _send(connect, statement, (tuple(row) for row in partition), batch, retries, wait)

@@ -2,8 +2,8 @@
 
 On a catalog whose tables support ``MERGE`` use ``merge_table``. The folder form is copy-on-write: only partitions that a
 batch touches are read and rewritten. A batch first writes the full new content of those partitions beside the table and
-then moves it in; if the job dies in between, a rerun with the same commit id finds the finished copy and goes on with the
-moves. A commit id that was applied before is skipped, so replayed micro-batches change nothing, appended ones neither.
+then moves the old content aside and it in; if the job dies in between, a rerun with the same commit id finds the finished copy
+and goes on with the moves, and ``lake_table`` reads the new content from where it is. A commit id that was applied before is skipped, so replayed micro-batches change nothing, appended ones neither.
 
 Where the key fixes the partition (partition columns are among the keys, like a hash of the key), an upsert reads no other
 partitions than those of its rows. Otherwise it has to look for its keys in the whole table, in the key columns only.
@@ -25,7 +25,7 @@ from millrace.sinks.storage import SUCCESS_FILE, Folder, partition_folder
 
 APPEND, OVERWRITE, UPSERT = "append", "overwrite", "upsert"
 _COMMITS = "_commits"
-_PLAN = "folder string, filled boolean"
+_PLAN = "folder string, filled boolean, label string"
 
 
 def parse_fields(text: str) -> list[str]:
@@ -139,9 +139,7 @@ def _stored(spark: SparkSession, path: str, folder: Folder, parts: Sequence[str]
     """The table with its own columns; partition columns have the types of the incoming rows. Empty if there is none yet."""
     if not any(name.startswith(f"{parts[0]}=") for name in folder.children()):
         return spark.createDataFrame([], like)
-    own = spark.read.option("mergeSchema", "true").option("basePath", path).parquet(path).schema
-    fields = [f for f in own.fields if f.name not in parts] + [like[p] for p in parts]
-    return spark.read.schema(T.StructType(fields)).option("basePath", path).parquet(path)
+    return _read(spark, path, [path], parts, like)
 
 
 def _merge(
@@ -163,9 +161,11 @@ def _merge(
         _stage(spark, path, folder, commit, incoming, op, keys, parts, version)
     # Every touched partition with whether it has new content; a partition whose content was moved in before is passed over.
     for row in spark.read.schema(_PLAN).parquet(f"{path}/{commit}/plan").toLocalIterator():
-        staged = f"{commit}/rows/{row.folder}"
+        staged, aside = f"{commit}/rows/{row.folder}", f"{commit}/old/{row.folder}"
         if folder.exists(staged):
-            folder.remove(row.folder)
+            if folder.exists(row.folder):
+                folder.remove(aside)
+                folder.rename(row.folder, aside)
             folder.rename(staged, row.folder)
         elif not row.filled:
             folder.remove(row.folder)
@@ -198,10 +198,43 @@ def _stage(spark, path, folder, commit, incoming, op, keys, parts, version) -> N
         incoming = incoming.filter(~F.col(op).isin(REMOVALS) | F.col(op).isNull()).drop(op)
     _write(kept.unionByName(incoming, allowMissingColumns=True), f"{path}/{commit}/rows", parts, "overwrite")
     filled = {name.rsplit("/", 1)[0] for name in folder.files_below(f"{commit}/rows") if "/" in name}
-    plan = [(name, name in filled) for _, name in named]
+    plan = [(name, name in filled, label) for label, name in named]
     spark.createDataFrame(plan, _PLAN).coalesce(1).write.mode("overwrite").parquet(f"{path}/{commit}/plan")
 
 
+def lake_table(spark: SparkSession, path: str, partition_by: Sequence[str]) -> DataFrame:
+    """The table as of its last write whose new content is complete, moved in or not.
+
+    A plain read of the folder can meet a write between two moves, when a partition is away for a moment, or after a crash.
+    This one takes what is not yet in its place from where it was written. A write that moves on meanwhile makes the read
+    fail for a file that is gone; reading again then sees the new place.
+    """
+    folder, parts = Folder(spark, path), list(partition_by)
+    found = _read(spark, path, [path], parts) if any(name.startswith(f"{parts[0]}=") for name in folder.children()) else None
+    for name in sorted(folder.children(_COMMITS)):
+        commit = f"{_COMMITS}/{name}"
+        if name.endswith(".done") or folder.exists(f"{commit}.done") or not folder.exists(f"{commit}/plan/{SUCCESS_FILE}"):
+            continue
+        plan = [(row, folder.exists(f"{commit}/rows/{row.folder}")) for row in spark.read.schema(_PLAN).parquet(f"{path}/{commit}/plan").toLocalIterator()]
+        if found is not None:
+            found = found.filter(~_label(parts).isin([row.label for row, staged in plan if staged or not row.filled]))
+        staged = [f"{path}/{commit}/rows/{row.folder}" for row, staged in plan if staged]
+        if staged:
+            new = _read(spark, f"{path}/{commit}/rows", staged, parts, found and found.schema)
+            found = new if found is None else found.unionByName(new, allowMissingColumns=True)
+    if found is None:
+        raise ValueError(f"there is no table in {path}")
+    return found
+
+
+def _read(spark: SparkSession, base: str, paths: list[str], parts: list[str], like: T.StructType | None = None) -> DataFrame:
+    """Rows of some folders; partition columns have the types they have in ``like``."""
+    reader = spark.read.option("basePath", base)
+    own = reader.option("mergeSchema", "true").parquet(*paths).schema
+    fields = [f for f in own.fields if f.name not in parts] + [(like or own)[p] for p in parts]
+    return reader.schema(T.StructType(fields)).parquet(*paths)
+
+
 def merge_table(df: DataFrame, table: str, keys: Sequence[str], op: str | None = None) -> None:
     """The same through ``MERGE INTO`` on a catalog table whose format supports it."""
     match = reduce(lambda a, b: a & b, [F.col(f"{table}.{k}").eqNullSafe(F.col(f"_source.{k}")) for k in keys])

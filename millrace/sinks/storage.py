@@ -25,6 +25,22 @@ class Folder:
     def touch(self, name: str) -> None:
         self._fs.create(self._at(name), True).close()
 
+    def write_text(self, name: str, text: str) -> None:
+        """A small file, there in full or not at all."""
+        draft = f"{name}.draft"
+        out = self._fs.create(self._at(draft), True)
+        out.write(text.encode())
+        out.close()
+        self.remove(name)
+        self.rename(draft, name)
+
+    def read_text(self, name: str) -> str:
+        stream = self._fs.open(self._at(name))
+        try:
+            return bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+
     def remove(self, name: str) -> None:
         self._fs.delete(self._at(name), True)
 

@@ -1,12 +1,13 @@
-"""Partitioned message logs as a Spark data source (batch and stream, read and write).
+"""Partitioned message logs, batch and stream, read and written.
 
-Spark ships no connector for shard-based logs, so one is defined on the Python data source API. The log itself is
-behind a small client named by the ``client`` option as ``module:Class``; the default, ``FileLog``, keeps a log in a
-shared folder. A client offers ``shards()``, ``bounds(shard)``, ``at_timestamp(shard, micros)``, ``pieces(shard, start,
-end)`` and ``read(piece)``; to be written to as well, ``stage(batches)`` and ``publish(staged, batch_id)``.
+Where the records of a log are landed as Parquet files, Spark's own file source reads them and its checkpoint says which files
+are done; a stream into the log is a file sink with its own record of what was committed.
 
-Offsets are the next sequence number per shard. A shard's range is read in pieces, so one shard that holds a third of
-all records is still read by many tasks.
+Spark ships no connector for shard-based log services, so one is defined on the Python data source API for when a ``client``
+is named as ``module:Class``. A client offers ``shards()``, ``bounds(shard)``, ``at_timestamp(shard, micros)``,
+``pieces(shard, start, end)`` and ``read(piece)``; to be written to as well, ``stage(batches)`` and ``publish(staged,
+batch_id)``. Offsets are the next sequence number per shard. A shard's range is read in pieces, so one shard that holds a
+third of all records is still read by many tasks.
 """
 
 from __future__ import annotations
@@ -14,13 +15,8 @@ from __future__ import annotations
 import hashlib
 import importlib
 import uuid
-import zlib
-from collections.abc import Iterator
-import numpy as np
+
 import pyarrow as pa
-import pyarrow.compute as pc
-import pyarrow.fs as pafs
-import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,6 +31,9 @@ from pyspark.sql.datasource import (
 )
 
 from millrace.functions import scalar
+from millrace.sinks.files import save
+from millrace.sources.files import read_dir
+from millrace.streaming.tables import append_stream
 
 FORMAT = "millrace_log"
 SCHEMA = "shard string, sequence bigint, arrival timestamp, key string, data binary"
@@ -50,156 +49,8 @@ ARROW = pa.schema(
 LATEST, TRIM_HORIZON, AT_TIMESTAMP = "LATEST", "TRIM_HORIZON", "AT_TIMESTAMP"
 
 
-# Staged rows are written in row groups of about this size.
-GROUP_BYTES = 8 << 20
-
-
-def _group_rows(file: pq.ParquetFile) -> list[int]:
-    return [file.metadata.row_group(i).num_rows for i in range(file.num_row_groups)]
-
-
-class FileLog:
-    """A log kept as Parquet segments in a shared folder, one subfolder per shard.
-
-    A segment's name is its first and next sequence number. Writers stage segments and the commit on the driver numbers
-    them by renaming. Records of a task keep their order; arrival is stamped by the caller or at write time.
-    """
-
-    def __init__(self, options: dict[str, str]):
-        where = options["stream"]
-        if where.startswith("file:/"):
-            where = "/" + where.removeprefix("file:").lstrip("/")
-        self.fs, self.root = pafs.FileSystem.from_uri(where)
-        self.count = self._shard_count(options.get("shards"))
-        self.rows_per_piece = int(options.get("rowsPerPiece", "1000000"))
-
-    def _shard_count(self, asked: str | None) -> int:
-        """A log keeps its number of shards; the first writer sets it (4 unless told), others must agree or not ask."""
-        path = f"{self.root}/_shards"
-        if self.fs.get_file_info(path).type != pafs.FileType.NotFound:
-            with self.fs.open_input_stream(path) as handle:
-                kept = int(handle.read())
-            if asked is not None and int(asked) != kept:
-                raise ValueError(f"the log has {kept} shards, not {asked}")
-            return kept
-        return int(asked or "4")
-
-    def create(self) -> None:
-        """Note the number of shards of a new log."""
-        path = f"{self.root}/_shards"
-        if self.fs.get_file_info(path).type == pafs.FileType.NotFound:
-            self.fs.create_dir(self.root, recursive=True)
-            with self.fs.open_output_stream(path) as handle:
-                handle.write(str(self.count).encode())
-
-    def shards(self) -> list[str]:
-        return [f"shard-{i:06d}" for i in range(self.count)]
-
-    def _segments(self, shard: str) -> list[tuple[int, int, str]]:
-        selector = pafs.FileSelector(f"{self.root}/{shard}", allow_not_found=True)
-        found = []
-        for info in self.fs.get_file_info(selector):
-            first, _, rest = info.base_name.partition("-")
-            if rest.endswith(".parquet"):
-                found.append((int(first), int(rest.removesuffix(".parquet")), info.path))
-        return sorted(found)
-
-    def bounds(self, shard: str) -> tuple[int, int]:
-        segments = self._segments(shard)
-        return (segments[0][0], segments[-1][1]) if segments else (0, 0)
-
-    def at_timestamp(self, shard: str, micros: int) -> int:
-        """Sequence number of the first record that arrived at or after the time.
-
-        Row groups whose newest record is older are passed over by their statistics, unread.
-        """
-        limit = pa.scalar(micros, pa.timestamp("us", tz="UTC"))
-        for first, _, path in self._segments(shard):
-            with self.fs.open_input_file(path) as handle:
-                file = pq.ParquetFile(handle)
-                for group, rows in enumerate(_group_rows(file)):
-                    newest = file.metadata.row_group(group).column(0).statistics
-                    if newest is None or not newest.has_min_max or newest.max >= limit.as_py():
-                        arrival = file.read_row_group(group, columns=["arrival"])["arrival"]
-                        at = pc.index(pc.greater_equal(arrival, limit), True).as_py()
-                        if at >= 0:
-                            return first + at
-                    first += rows
-        return self.bounds(shard)[1]
-
-    def pieces(self, shard: str, start: int, end: int) -> list[tuple[str, str, int, int, int]]:
-        """(shard, path, first, from, to) for what overlaps [start, end), at most ``rows_per_piece`` rows in each."""
-        found = []
-        for first, after, path in self._segments(shard):
-            low, high = max(first, start), min(after, end)
-            for at in range(low, high, self.rows_per_piece):
-                found.append((shard, path, first, at, min(at + self.rows_per_piece, high)))
-        return found
-
-    def read(self, piece: tuple[str, str, int, int, int]) -> Iterator[pa.RecordBatch]:
-        shard, path, at, start, end = piece
-        with self.fs.open_input_file(path) as handle:
-            file = pq.ParquetFile(handle)
-            for group, held in enumerate(_group_rows(file)):
-                if at < end and at + held > start:
-                    skip, take = max(0, start - at), min(held, end - at)
-                    for batch in file.read_row_group(group).slice(skip, take - skip).to_batches(65536):
-                        numbers = pa.array(np.arange(at + skip, at + skip + batch.num_rows))
-                        shards = pa.repeat(pa.scalar(shard), batch.num_rows)
-                        columns = [shards, numbers, batch["arrival"], batch["key"], batch["data"]]
-                        yield pa.record_batch(columns, schema=ARROW)
-                        skip += batch.num_rows
-                at += held
-
-    def stage(self, batches: Iterator[pa.RecordBatch]) -> list[tuple[str, str, int]]:
-        """Write the batches to one staged file per shard; (shard, path, rows) of each."""
-        shards, token = self.shards(), uuid.uuid4().hex
-        writers, held, rows = {}, {}, {}
-        self.fs.create_dir(f"{self.root}/_staged", recursive=True)
-        schema = pa.schema([ARROW.field("arrival"), ARROW.field("key"), ARROW.field("data")])
-
-        def flush(home: int) -> None:
-            if home not in writers:
-                path = f"{self.root}/_staged/{token}-{home}.parquet"
-                writers[home] = (pq.ParquetWriter(path, schema, filesystem=self.fs), path)
-            writers[home][0].write_table(pa.concat_tables(held.pop(home)))
-
-        for batch in batches:
-            table = pa.table({name: batch[name].cast(schema.field(name).type) for name in schema.names}, schema=schema)
-            keys = table["key"].combine_chunks().fill_null("").dictionary_encode()
-            places = pa.array([zlib.crc32(k.encode()) % self.count for k in keys.dictionary.to_pylist()], pa.int32())
-            homes = places.take(keys.indices)
-            for home in pc.unique(homes).to_pylist():
-                part = table.filter(pc.equal(homes, home))
-                held.setdefault(home, []).append(part)
-                rows[home] = rows.get(home, 0) + part.num_rows
-                if sum(t.nbytes for t in held[home]) >= GROUP_BYTES:
-                    flush(home)
-        for home in list(held):
-            flush(home)
-        for writer, _ in writers.values():
-            writer.close()
-        return [(shards[home], path, rows[home]) for home, (_, path) in writers.items()]
-
-    def publish(self, staged: list[tuple[str, str, int]], batch_id: str) -> None:
-        """Number the staged files. A batch that was published before is left out, so replays add nothing."""
-        self.create()
-        marker = f"{self.root}/_published/{batch_id}"
-        if self.fs.get_file_info(marker).type != pafs.FileType.NotFound:
-            return
-        after = {shard: self.bounds(shard)[1] for shard in {s for s, _, _ in staged}}
-        for shard, path, rows in staged:
-            self.fs.create_dir(f"{self.root}/{shard}", recursive=True)
-            first, after[shard] = after[shard], after[shard] + rows
-            self.fs.move(path, f"{self.root}/{shard}/{first:020d}-{after[shard]:020d}.parquet")
-        self.fs.create_dir(f"{self.root}/_published", recursive=True)
-        self.fs.open_output_stream(marker).close()
-
-
-def load_client(options) -> FileLog:
-    """The client named by the ``client`` option, whose module must be installed on the workers, or a ``FileLog``."""
-    if "client" not in options:
-        return FileLog(dict(options))
+def load_client(options):
+    """The client named by the ``client`` option, whose module must be installed on the workers."""
     module, _, attribute = options["client"].partition(":")
     return getattr(importlib.import_module(module), attribute)(dict(options))
 
@@ -315,28 +166,48 @@ class LogSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
-    spark.dataSource.register(LogSource)
+    """Make the format known to the session of the rows and to the active one; Spark looks it up in both.
 
-
-def _located(spark: SparkSession, stream: str, options) -> str:
-    """A folder without a scheme is on Spark's default file system; said in full it is the same for every process."""
-    if "client" in options or ":" in stream.split("/", 1)[0]:
-        return stream
-    return spark._jsc.hadoopConfiguration().get("fs.defaultFS").rstrip("/") + stream
+    Whether a name is taken is looked up in the active session too, so each is the active one while it registers.
+    """
+    sessions = SparkSession._get_j_spark_session_class(spark._jvm)
+    for session in (spark, SparkSession.getActiveSession() or spark):
+        sessions.setActiveSession(session._jsparkSession)
+        session.dataSource.register(LogSource)
 
 
 def read_stream_log(
     spark: SparkSession, stream: str, position: str = LATEST, timestamp: int | None = None, streaming: bool = True, **options
 ) -> DataFrame:
-    """Records of a log from LATEST, TRIM_HORIZON or AT_TIMESTAMP (epoch milliseconds, then mandatory)."""
+    """Records of a log from LATEST, TRIM_HORIZON or AT_TIMESTAMP (epoch milliseconds, then mandatory).
+
+    Without a ``client`` the log is a folder of landed records. A stream from its LATEST needs the time of its first start as
+    ``timestamp``, the same at every restart.
+    """
+    if "client" not in options:
+        return _landed(spark, stream, position, timestamp, streaming)
     register(spark)
     reader = (spark.readStream if streaming else spark.read).format(FORMAT)
-    given = {"stream": _located(spark, stream, options), "position": position, **options}
+    given = {"stream": stream, "position": position, **options}
     if timestamp is not None:
         given["timestamp"] = str(timestamp)
     return reader.options(**given).load()
 
 
+def _landed(spark: SparkSession, folder: str, position: str, timestamp: int | None, streaming: bool) -> DataFrame:
+    position = position.upper()
+    if position not in (LATEST, TRIM_HORIZON, AT_TIMESTAMP):
+        raise ValueError(f"unknown position {position}")
+    rows = read_dir(spark, folder, T.StructType.fromDDL(SCHEMA), streaming=streaming)
+    if position == TRIM_HORIZON:
+        return rows
+    if position == LATEST and not streaming:
+        return rows.filter(F.lit(False))
+    if timestamp is None:
+        raise ValueError(f"position {position} needs the timestamp option (epoch milliseconds)")
+    return rows.filter(F.col("arrival") >= F.timestamp_millis(F.lit(timestamp)))
+
+
 def log_records(df: DataFrame, key, data=None, arrival=None) -> DataFrame:
     """Rows in the shape the log takes; the payload is the whole row as JSON unless given."""
     payload = scalar.json_encode(*df.columns) if data is None else data
@@ -352,14 +223,15 @@ def log_records(df: DataFrame, key, data=None, arrival=None) -> DataFrame:
 def write_stream_log(records: DataFrame, stream: str, checkpoint: str | None = None, **options):
     """Append records to a log; a streaming frame gives the writer to start, with its checkpoint set.
 
-    Batches of a stream are told apart by the checkpoint, so one that is replayed adds nothing, while another query into the
-    same log, or the same one begun anew, adds all its batches.
+    A replayed batch of a stream adds nothing, while another query into the same log, or the same one begun anew with another
+    checkpoint, adds all its batches.
     """
+    if records.isStreaming and not checkpoint:
+        raise ValueError("a stream into a log needs a checkpoint")
+    if "client" not in options:
+        return append_stream(records, stream, [], checkpoint) if records.isStreaming else save(records, stream)
     register(records.sparkSession)
-    stream = _located(records.sparkSession, stream, options)
     if records.isStreaming:
-        if not checkpoint:
-            raise ValueError("a stream into a log needs a checkpoint")
         named = {"query": checkpoint, **options}
         return records.writeStream.format(FORMAT).options(stream=stream, checkpointLocation=checkpoint, **named)
     return records.write.format(FORMAT).mode("append").options(stream=stream, **options).save()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -22,13 +23,44 @@ def start(writer: DataStreamWriter, trigger: str = "60 seconds") -> StreamingQue
     return triggered(writer, trigger).start()
 
 
+NO_DATA = "spark.sql.streaming.noDataMicroBatches.enabled"
+
+
 def run_to_end(writer: DataStreamWriter) -> StreamingQuery:
-    """Work off what is available and wait for the end; an error in the query is raised here."""
-    query = start(writer, AVAILABLE_NOW)
+    """Work off what is available and wait for the end; an error in the query is raised here.
+
+    State that goes by the clock (a time to live, timers in processing time) asks for another micro-batch for ever, so such a
+    query ends with the last batch of rows. What its timers would give later comes out in a later run.
+    """
+    df = writer._df
+    by_clock = "ProcessingTime" in df._jdf.queryExecution().logical().toString()
+    spark, before = df.sparkSession, df.sparkSession.conf.get(NO_DATA)
+    if by_clock:
+        spark.conf.set(NO_DATA, "false")
+    try:
+        query = start(writer, AVAILABLE_NOW)  # takes its own copy of the settings
+    finally:
+        if by_clock:
+            spark.conf.set(NO_DATA, before)
     query.awaitTermination()
     return query
 
 
+def run_until(writer: DataStreamWriter, done: Callable[[], bool], trigger: str = "1 second", patience: float = 600.0) -> StreamingQuery:
+    """Run by the clock until ``done`` says so, which is asked after every trigger; an error in the query is raised here."""
+    query, limit = start(writer, trigger), time.monotonic() + patience
+    try:
+        while query.isActive and not done():
+            if time.monotonic() > limit:
+                raise TimeoutError(f"the query was not done after {patience:g} s")
+            query.awaitTermination(1)
+    finally:
+        query.stop()
+    if query.exception():
+        raise query.exception()
+    return query
+
+
 def each_batch(
     df: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append"
 ) -> DataStreamWriter:

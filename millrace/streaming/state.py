@@ -15,6 +15,11 @@ from millrace.session import shuffle_partitions
 from millrace.sinks.storage import Folder
 
 
+def nulls_first(values: Sequence) -> tuple:
+    """A key that sorts values as Spark does."""
+    return tuple((v is not None, v) if v is not None else (False,) for v in values)
+
+
 class CountingProcessor(StatefulProcessor):
     """Turns (key, rows seen in a piece) into (key, rows before the piece, rows in it).
 
@@ -40,7 +45,7 @@ class CountingProcessor(StatefulProcessor):
 
 
 class DecayingAverage(StatefulProcessor):
-    """Turns (key, rows in a piece, their weighted sum) into (key, average after the piece), starting at 0."""
+    """Turns (key, where a piece begins, its rows, their weighted sum) into (key, average after the piece), starting at 0."""
 
     def __init__(self, names: Sequence[str], decay: float = 0.1):
         self.names, self.keep = list(names), 1 - decay
@@ -51,7 +56,7 @@ class DecayingAverage(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         out = Row(*self.names)
         a = self.average.get()[0] if self.average.exists() else 0.0
-        for row in rows:
+        for row in sorted(rows, key=lambda r: nulls_first([r["_begins"]])):
             a = a * self.keep ** row["_rows"] + row["_part"]
             yield out(*key, a)
         self.average.update((a,))
@@ -90,19 +95,31 @@ def _schema_of(df: DataFrame, key: str, more: str) -> str:
     return f"`{key}` {df.schema[key].dataType.simpleString()}, {more}"
 
 
-def keyed_average(df: DataFrame, key: str, value: str, out: str = "ema", decay: float = 0.1) -> DataFrame:
+def keyed_average(
+    df: DataFrame, key: str, value: str, out: str = "ema", decay: float = 0.1, order: str | None = None, run: str | None = None
+) -> DataFrame:
     """The gauge of ``avg = avg * (1 - decay) + x * decay`` per key, once per piece of rows that arrive together.
 
-    Like the count, a task folds its rows into one weighted sum per key and batch before anything is shuffled.
+    Like the count, a task folds its rows into one weighted sum per key and batch before anything is shuffled. Without an
+    ``order`` rows count as they arrive. With one, pieces are put in the order of their first rows; ``run`` names a column that
+    is the same for rows between which no others come (say, the file they were landed in), and a piece never holds two runs.
     """
+    kind = df.schema[order].dataType.simpleString() if order else "int"
+    wanted = dict.fromkeys([key, value, *([order] if order else []), *([run] if run else [])])
 
     def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            later = frame.groupby(key, dropna=False, sort=False).cumcount(ascending=False)
-            weighted = frame.assign(_part=decay * frame[value] * (1 - decay) ** later, _rows=1)
-            yield weighted.groupby(key, dropna=False, sort=False, as_index=False)[["_rows", "_part"]].sum()
-
-    pieces = df.select(key, value).mapInPandas(fold, _schema_of(df, key, "_rows bigint, _part double"))
+            if order:
+                frame = frame.sort_values(order, kind="stable", na_position="first")
+            by = [key, run] if run else [key]
+            later = frame.groupby(by, dropna=False, sort=False).cumcount(ascending=False)
+            weighted = frame.assign(
+                _part=decay * frame[value] * (1 - decay) ** later, _rows=1, _begins=frame[order] if order else 0
+            )
+            sums = {"_begins": "first", "_rows": "sum", "_part": "sum"}
+            yield weighted.groupby(by, dropna=False, sort=False, as_index=False).agg(sums)[[key, *sums]]
+
+    pieces = df.select(*wanted).mapInPandas(fold, _schema_of(df, key, f"_begins {kind}, _rows bigint, _part double"))
     return _stateful(pieces, key, DecayingAverage([key, out], decay), f"{out} double")
 
 

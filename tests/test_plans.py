@@ -36,7 +36,6 @@ def test_filters_reach_the_scan(spark, name, pushed):
     "name,columns",
     [
         ("slide_event_min", "ReadSchema: struct<ts:timestamp_ntz,event_type:string,value:double>"),
-        ("running_count", "ReadSchema: struct<event_id:bigint,event_type:string>"),
         ("temperature_f", "ReadSchema: struct<event_id:bigint,value:double>"),
     ],
 )

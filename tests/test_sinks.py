@@ -251,9 +251,9 @@ def test_fan_out_needs_a_sink(spark):
 
 
 class Scripted:
-    """Answers by row: a list of codes, the last one repeated; a slow row runs into its deadline."""
+    """Answers by row: a list of codes, the last one repeated; a slow row ends in the client's own time-out, a late one in its deadline."""
 
-    script = {"ok": [200], "retry": [500, 200], "fail": [500], "missing": [404], "crash": [None]}
+    script = {"ok": [200], "late": [200], "retry": [500, 200], "fail": [500], "missing": [404], "crash": [None]}
 
     def __init__(self):
         self.calls = {}
@@ -262,6 +262,8 @@ class Scripted:
         kind = row["kind"]
         if kind == "slow":
             raise TimeoutError
+        if kind == "late":
+            time.sleep(1.0)
         n = self.calls[kind] = self.calls.get(kind, 0) + 1
         codes = self.script[kind]
         code = codes[min(n, len(codes)) - 1]
@@ -282,9 +284,12 @@ def test_enrich_outcomes(spark):
         ("retry", "OK", 200, 2), ("slow", "FAILED", -1, 3),
     ]
     assert rows(enrich.enrich(df, Scripted, pause=0.0, on_error="drop"), "kind") == [("ok",), ("retry",)]
-    assert rows(enrich.enrich(kinds(spark, "ok", "slow"), Scripted, pause=0.0), "kind") == [("ok",)]
-    with pytest.raises(JOB_ERRORS):
-        enrich.enrich(kinds(spark, "ok", "fail"), Scripted, pause=0.0).collect()
+    assert rows(enrich.enrich(kinds(spark, "ok", "late"), Scripted, timeout=0.3, pause=0.0), "kind") == [("ok",)]
+    told = enrich.enrich(kinds(spark, "ok", "late"), Scripted, timeout=0.3, pause=0.0, on_timeout="dead_letter")
+    assert rows(told, "kind", "status") == [("late", "TIMEOUT"), ("ok", "OK")]
+    for bad in ("fail", "slow"):  # the client's own time-out is an error like others
+        with pytest.raises(JOB_ERRORS):
+            enrich.enrich(kinds(spark, "ok", bad), Scripted, pause=0.0).collect()
     with pytest.raises(ValueError):
         enrich.enrich(df, Scripted, on_error="ignore")
 

@@ -13,6 +13,7 @@ from millrace.sinks import files as sink_files
 from millrace.sources import files, log, synth
 from millrace.streaming import run, state
 from millrace.streaming.time import ascending_time, event_time, processing_time
+from tests import filelog
 from tests.conftest import rows
 
 SCHEMA = "key string, n bigint, ts timestamp_ntz, v double"
@@ -125,12 +126,55 @@ def test_console(spark, tmp_path):
 # --- message log ------------------------------------------------------------------------------------------------------
 
 
+CLIENT = {"client": "tests.filelog:FileLog"}
+
+
 def put(spark, target, low, high, second=0, **options):
     df = spark.range(low, high, 1, 3)
     arrival = F.timestamp_seconds(F.lit(1_700_000_000 + second))
     log.write_stream_log(log.log_records(df, F.col("id"), arrival=arrival), target, **options)
 
 
+@pytest.mark.parametrize("options", [{}, CLIENT])
+def test_log_from_a_position(spark, tmp_path, options):
+    target = f"{tmp_path}/log"
+    put(spark, target, 0, 100, **options)
+    put(spark, target, 100, 150, second=60, **options)
+    read = lambda **k: log.read_stream_log(spark, target, streaming=False, **k, **options)
+    assert ids(read(position=log.TRIM_HORIZON)) == list(range(150))
+    assert ids(read(position=log.LATEST)) == []
+    assert ids(read(position=log.AT_TIMESTAMP, timestamp=1_700_000_030_000)) == list(range(100, 150))
+    for bad in ({"position": log.AT_TIMESTAMP}, {"position": "YESTERDAY"}):
+        with pytest.raises(Exception):
+            read(**bad).collect()
+
+
+def test_landed_log_streams_on_from_its_checkpoint(spark, tmp_path):
+    target = f"{tmp_path}/log"
+    for low in (0, 40):
+        put(spark, target, low, low + 40)
+        records = log.read_stream_log(spark, target, log.LATEST, timestamp=1_700_000_000_000)
+        run.run_to_end(log.write_stream_log(records, f"{tmp_path}/copy", f"{tmp_path}/cp"))
+    assert ids(log.read_stream_log(spark, f"{tmp_path}/copy", log.TRIM_HORIZON, streaming=False)) == list(range(80))
+    with pytest.raises(ValueError, match="timestamp"):
+        log.read_stream_log(spark, target, log.LATEST)
+
+
+def test_landed_log_takes_two_queries(spark, tmp_path):
+    feed(spark, tmp_path / "in", [("a", n, n, 1.0) for n in range(100)])
+    for name in ("one", "two"):
+        records = log.log_records(stream(spark, tmp_path / "in").select(F.col("n").alias("id")), F.col("id"))
+        for _ in range(2):  # nothing new for the second run
+            run.run_to_end(log.write_stream_log(records, f"{tmp_path}/log", f"{tmp_path}/{name}"))
+    assert ids(log.read_stream_log(spark, f"{tmp_path}/log", log.TRIM_HORIZON, streaming=False)) == sorted([*range(100)] * 2)
+
+
+def test_log_client_from_a_session_with_other_settings(spark, tmp_path):
+    """The format is registered where Spark looks it up, which is the session that is active."""
+    put(spark.newSession(), f"{tmp_path}/log", 0, 10, **CLIENT)
+    assert ids(log.read_stream_log(spark.newSession(), f"{tmp_path}/log", log.TRIM_HORIZON, streaming=False, **CLIENT)) == list(range(10))
+
+
 ID = T.StructType().add("id", "long")
 
 
@@ -138,29 +182,23 @@ def ids(df):
     return sorted(r.id for r in log.decoded(df, ID).collect())
 
 
-def test_log_positions(spark, tmp_path):
+def test_log_numbers_its_records(spark, tmp_path):
     target = f"{tmp_path}/log"
-    put(spark, target, 0, 100)
-    put(spark, target, 100, 150, second=60)
-    read = lambda **k: log.read_stream_log(spark, target, streaming=False, **k)
-    assert ids(read(position=log.TRIM_HORIZON)) == list(range(150))
-    assert ids(read(position=log.LATEST)) == []
-    assert ids(read(position=log.AT_TIMESTAMP, timestamp=1_700_000_030_000)) == list(range(100, 150))
-    numbered = read(position=log.TRIM_HORIZON).groupBy("shard").agg(F.count("*").alias("n"), F.max("sequence").alias("last"), F.count_distinct("sequence").alias("d"))
+    put(spark, target, 0, 100, **CLIENT)
+    put(spark, target, 100, 150, second=60, **CLIENT)
+    records = log.read_stream_log(spark, target, log.TRIM_HORIZON, streaming=False, **CLIENT)
+    numbered = records.groupBy("shard").agg(F.count("*").alias("n"), F.max("sequence").alias("last"), F.count_distinct("sequence").alias("d"))
     assert all(r.n == r.last + 1 == r.d for r in numbered.collect())
-    for bad in ({"position": log.AT_TIMESTAMP}, {"position": "YESTERDAY"}):
-        with pytest.raises(Exception):
-            read(**bad).collect()
 
 
 def test_log_stream_goes_on_and_replays_add_nothing(spark, tmp_path):
     target = f"{tmp_path}/log"
     for low in (0, 40):
-        put(spark, target, low, low + 40, shards="2")
-        records = log.read_stream_log(spark, target, log.TRIM_HORIZON)
+        put(spark, target, low, low + 40, shards="2", **CLIENT)
+        records = log.read_stream_log(spark, target, log.TRIM_HORIZON, **CLIENT)
         run.run_to_end(sink_files.save(log.decoded(records, ID), f"{tmp_path}/out", checkpoint=f"{tmp_path}/cp"))
     assert sorted(r.id for r in spark.read.parquet(f"{tmp_path}/out").collect()) == list(range(80))
-    client = log.FileLog({"stream": target, "shards": "2"})
+    client = filelog.FileLog({"stream": target, "shards": "2"})
     before = {s: client.bounds(s) for s in client.shards()}
     done = os.listdir(f"{target}/_published")[0]
     client.publish([("shard-000000", "/nowhere", 5)], done)
@@ -170,16 +208,16 @@ def test_log_stream_goes_on_and_replays_add_nothing(spark, tmp_path):
 def test_log_pieces_split_a_shard(spark, tmp_path):
     target = f"{tmp_path}/log"
     for low in range(0, 30, 10):
-        put(spark, target, low, low + 10, shards="1")
-    client = log.FileLog({"stream": target, "shards": "1", "rowsPerPiece": "2"})
+        put(spark, target, low, low + 10, shards="1", **CLIENT)
+    client = filelog.FileLog({"stream": target, "shards": "1", "rowsPerPiece": "2"})
     pieces = client.pieces("shard-000000", 5, 25)
     read = [b["sequence"].to_pylist() for p in pieces for b in client.read(p)]
     assert max(map(len, read)) == 2 and [n for batch in read for n in batch] == list(range(5, 25))
 
 
 def test_log_row_groups(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(log, "GROUP_BYTES", 1)  # a row group per batch
-    client = log.FileLog({"stream": f"{tmp_path}/log", "shards": "1"})
+    monkeypatch.setattr(filelog, "GROUP_BYTES", 1)  # a row group per batch
+    client = filelog.FileLog({"stream": f"{tmp_path}/log", "shards": "1"})
     fields = [log.ARROW.field(n) for n in ("arrival", "key", "data")]
     batches = [
         pa.record_batch([pa.array([i * 10_000_000 + j for j in range(4)], fields[0].type), ["k"] * 4, [b"x"] * 4], schema=pa.schema(fields))
@@ -194,10 +232,10 @@ def test_log_row_groups(spark, tmp_path, monkeypatch):
 
 def test_log_keeps_its_number_of_shards(spark, tmp_path):
     target = f"{tmp_path}/log"
-    put(spark, target, 0, 1000, shards="8")
-    assert ids(log.read_stream_log(spark, target, log.TRIM_HORIZON, streaming=False)) == list(range(1000))
+    put(spark, target, 0, 1000, shards="8", **CLIENT)
+    assert ids(log.read_stream_log(spark, target, log.TRIM_HORIZON, streaming=False, **CLIENT)) == list(range(1000))
     with pytest.raises(Exception, match="8 shards"):
-        log.read_stream_log(spark, target, log.TRIM_HORIZON, streaming=False, shards="3").collect()
+        log.read_stream_log(spark, target, log.TRIM_HORIZON, streaming=False, shards="3", **CLIENT).collect()
 
 
 def test_two_queries_into_one_log_keep_all_rows(spark, tmp_path):
@@ -205,8 +243,8 @@ def test_two_queries_into_one_log_keep_all_rows(spark, tmp_path):
     for name in ("one", "two"):
         records = log.log_records(stream(spark, tmp_path / "in").select(F.col("n").alias("id")), F.col("id"))
         for _ in range(2):  # nothing new for the second run
-            run.run_to_end(log.write_stream_log(records, f"{tmp_path}/log", f"{tmp_path}/{name}"))
-    got = ids(log.read_stream_log(spark, f"{tmp_path}/log", log.TRIM_HORIZON, streaming=False))
+            run.run_to_end(log.write_stream_log(records, f"{tmp_path}/log", f"{tmp_path}/{name}", **CLIENT))
+    got = ids(log.read_stream_log(spark, f"{tmp_path}/log", log.TRIM_HORIZON, streaming=False, **CLIENT))
     assert got == sorted([*range(100)] * 2)
 
 
