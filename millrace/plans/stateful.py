@@ -184,12 +184,11 @@ def stream_gauge(spark: SparkSession, sf_dir: str) -> DataFrame:
     def gauge(stream: DataFrame) -> None:
         rows = stream.select("event_id", "event_type", "value", F.col("_metadata.file_name").alias("file"))
         averages = state.keyed_average(rows, "event_type", "value", order="event_id", run="file")
-        numbered = averages.withColumn("at", F.monotonically_increasing_id())
 
         def write(some: DataFrame, n: int) -> None:
-            some.write.mode("overwrite").parquet(f"{base}/rows/batch={n}")
+            some.withColumn("at", F.monotonically_increasing_id()).write.mode("overwrite").parquet(f"{base}/rows/batch={n}")
 
-        run.run_to_end(run.each_batch(numbered, write, f"{base}/checkpoint"))
+        run.run_to_end(run.each_batch(averages, write, f"{base}/checkpoint"))
 
     landed(base, parts, gauge)
     last = F.max_by("ema", F.struct("batch", "at")).alias("ema")

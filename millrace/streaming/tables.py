@@ -14,7 +14,8 @@ from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.readwriter import DataStreamWriter
@@ -50,24 +51,32 @@ class NewerChanges(StatefulProcessor):
     State is the version alone, of removed keys as well, and for ever: a change that comes a year late is still late.
     """
 
-    def __init__(self, order: Sequence[str], version: T.StructType):
-        self.order, self.version = list(order), version
+    def __init__(self, columns: Sequence[str], version: T.StructType):
+        self.columns, self.version = list(columns), version
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last", self.version)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        newest = max(rows, key=lambda row: nulls_first([row[c] for c in self.order]))
-        version = tuple(newest[c] for c in self.order)
-        known = self.last.get() if self.last.exists() else None
+        names = self.version.fieldNames()
+        newest = max(rows, key=lambda row: nulls_first([row[c] for c in names]))
+        version = tuple(newest[c] for c in names)
+        known = tuple(self.last.get()) if self.last.exists() else None
         if known is None or nulls_first(version) > nulls_first(known):
             self.last.update(version)
-            yield newest
+            yield Row(*self.columns)(*(newest[c] for c in self.columns))
 
     def close(self) -> None:
         pass
 
 
+def _number(kind: T.DataType, column: str) -> Column:
+    """Times as numbers, which mean the same in rows and in state."""
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(F.col(column).cast("timestamp"))
+    return F.unix_date(column) if isinstance(kind, T.DateType) else F.col(column)
+
+
 def _last_of_batch(keys: Sequence[str], order: Sequence[str]):
     """The last row of each key of an Arrow batch, so that a key's many changes leave a task as one row a batch."""
 
@@ -96,9 +105,11 @@ def newer_changes(changes: DataFrame, keys: Sequence[str], order: Sequence[str])
     Keys and versions can be of any type that has an order; a null version is older than all others.
     """
     schema = changes.schema
-    version = T.StructType([schema[c] for c in order])
     few = changes.mapInArrow(_last_of_batch(keys, order), schema)
-    return few.groupBy(*keys).transformWithState(NewerChanges(order, version), schema, "append", "none")
+    numbered = few.withColumns({f"_version_{i}": _number(schema[c].dataType, c) for i, c in enumerate(order)})
+    version = T.StructType(numbered.schema.fields[len(schema) :])
+    processor = NewerChanges(schema.fieldNames(), version)
+    return numbered.groupBy(*keys).transformWithState(processor, schema, "append", "none")
 
 
 def current_table(

@@ -111,7 +111,7 @@ def _fields(df: DataFrame, names: Sequence[str]) -> list[T.StructField]:
 def _arrow(schema: T.StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    return to_arrow_schema(schema, timezone="UTC")
+    return to_arrow_schema(schema)
 
 
 _BOUNDS = [T.StructField("_start", T.LongType()), T.StructField("_end", T.LongType())]
@@ -140,6 +140,9 @@ def proc_time_windows(df: DataFrame, keys: Sequence[str], size: str, parts: Sequ
     return _with_bounds(closed, keys, [p.out for p in parts])
 
 
+_TOTAL = Part("_n", "sum", "_n")
+
+
 class WholeWindow(StatefulProcessor):
     """The group is a key and a window; state is a total for each item, a timer at the window's end asks the function."""
 
@@ -152,12 +155,12 @@ class WholeWindow(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         end = key[-1]
         if end > timerValues.getCurrentWatermarkInMs():  # otherwise the window has come out
-            totals: dict[str, int] = {}
+            totals: dict[str, int | None] = {}
             for row in rows:
-                totals[row["_item"]] = totals.get(row["_item"], 0) + row["_n"]
+                totals[row["_item"]] = _TOTAL.merge(totals.get(row["_item"]), row["_n"])
             for item, n in totals.items():
-                known = self.items.getValue((item,))[0] if self.items.containsKey((item,)) else 0
-                self.items.updateValue((item,), (known + n,))
+                known = self.items.getValue((item,))[0] if self.items.containsKey((item,)) else None
+                self.items.updateValue((item,), (_TOTAL.merge(known, n),))
             self.handle.registerTimer(end)
         return iter(())
 
@@ -173,11 +176,12 @@ class WholeWindow(StatefulProcessor):
 
 def window_process(
     df: DataFrame, ts: str, delay: str, keys: Sequence[str], size: str, items: Column,
-    finish: Callable[[Mapping[str, int]], tuple], output: T.StructType,
+    finish: Callable[[Mapping[str, int | None]], tuple], output: T.StructType,
 ) -> DataFrame:
     """A function of each whole event-time window of a stream: keys, ``window_start``, ``window_end`` and what it returns.
 
-    A row gives ``items``, an array of (item, n); the function gets the total of each item of the window and never its rows.
+    A row gives ``items``, an array of (item, n); the function gets the total of each item of the window (None if there are but
+    nulls) and never its rows.
     Totals merge in the tasks, in state and over micro-batches, so a window costs as much as it has different items. A row
     whose window the watermark (``delay`` behind the newest row) has passed comes too late and counts nowhere.
     """
@@ -187,7 +191,7 @@ def window_process(
     rows = df.filter(F.col(ts).isNotNull()).select(*keys, *bounds, F.col(ts).alias("_latest"), F.inline(items).alias("_item", "_n"))
     group = [*keys, "_start", "_end"]
     schema = T.StructType([*_fields(rows, group), T.StructField("_item", T.StringType()), T.StructField("_n", T.LongType()), T.StructField("_latest", T.TimestampType())])
-    parts = [Part("_n", "sum", "_n"), Part("_latest", "max", "_latest")]
+    parts = [_TOTAL, Part("_latest", "max", "_latest")]
     few = rows.mapInArrow(_reduced([*group, "_item"], parts, _arrow(schema)), schema).withWatermark("_latest", delay)
     out = T.StructType([*_fields(rows, group), *output.fields])
     processor = WholeWindow(keys, finish, output.fieldNames())
