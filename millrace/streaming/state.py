@@ -34,7 +34,7 @@ class CountingProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         out = Row(*self.names)
-        n = self.count.get()[0] if self.count.exists() else 0
+        n = (self.count.get() or (0,))[0]
         for row in rows:
             yield out(*key, n, row["_rows"])
             n += row["_rows"]
@@ -55,7 +55,7 @@ class DecayingAverage(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         out = Row(*self.names)
-        a = self.average.get()[0] if self.average.exists() else 0.0
+        a = (self.average.get() or (0.0,))[0]
         for row in sorted(rows, key=lambda r: nulls_first([r["_begins"]])):
             a = a * self.keep ** row["_rows"] + row["_part"]
             yield out(*key, a)

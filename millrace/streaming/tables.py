@@ -61,8 +61,8 @@ class NewerChanges(StatefulProcessor):
         names = self.version.fieldNames()
         newest = max(rows, key=lambda row: nulls_first([row[c] for c in names]))
         version = tuple(newest[c] for c in names)
-        known = tuple(self.last.get()) if self.last.exists() else None
-        if known is None or nulls_first(version) > nulls_first(known):
+        known = self.last.get()
+        if known is None or nulls_first(version) > nulls_first(tuple(known)):
             self.last.update(version)
             yield Row(*self.columns)(*(newest[c] for c in self.columns))
 

@@ -76,7 +76,8 @@ class ProcessingTimeWindows(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         now = timerValues.getCurrentProcessingTimeInMs()
         at = (now - now % self.pane,)
-        held = tuple(self.panes.getValue(at)) if self.panes.containsKey(at) else None
+        known = self.panes.getValue(at)
+        held = None if known is None else tuple(known)
         if held is None:
             last = now - now % self.slide
             for start in range(last, at[0] - self.size, -self.slide):
@@ -159,8 +160,8 @@ class WholeWindow(StatefulProcessor):
             for row in rows:
                 totals[row["_item"]] = _TOTAL.merge(totals.get(row["_item"]), row["_n"])
             for item, n in totals.items():
-                known = self.items.getValue((item,))[0] if self.items.containsKey((item,)) else None
-                self.items.updateValue((item,), (_TOTAL.merge(known, n),))
+                known = self.items.getValue((item,))
+                self.items.updateValue((item,), (n if known is None else _TOTAL.merge(known[0], n),))
             self.handle.registerTimer(end)
         return iter(())
 
@@ -236,7 +237,7 @@ class SamplesInOrder(StatefulProcessor):
         self.given = handle.getValueState("given", "n bigint")
 
     def _out(self, key, samples: list, late: bool) -> Iterator[Row]:
-        n = self.given.get()[0] if self.given.exists() else 0
+        n = (self.given.get() or (0,))[0]
         for at in range(0, len(samples), self.size):
             yield Row(*self.labels, "chunk", "late", "_samples")(*key, n, late, samples[at : at + self.size])
             n += 1
@@ -249,7 +250,7 @@ class SamplesInOrder(StatefulProcessor):
             stretch = row["_stretch"]
             (late if stretch + self.stretch <= mark else fresh.setdefault(stretch, [])).append(sample)
         for stretch, samples in fresh.items():
-            n = self.chunks.getValue((stretch,))[0] if self.chunks.containsKey((stretch,)) else 0
+            n = (self.chunks.getValue((stretch,)) or (0,))[0]
             for at in range(0, len(samples), self.size):
                 self.waiting.updateValue((stretch, n), (samples[at : at + self.size],))
                 n += 1
@@ -260,10 +261,8 @@ class SamplesInOrder(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         stretch = expiredTimerInfo.getExpiryTimeInMs() - self.stretch
-        if not self.chunks.containsKey((stretch,)):
-            return
         samples = []
-        for chunk in range(self.chunks.getValue((stretch,))[0]):
+        for chunk in range((self.chunks.getValue((stretch,)) or (0,))[0]):
             samples += [tuple(s) for s in self.waiting.getValue((stretch, chunk))[0]]
             self.waiting.removeKey((stretch, chunk))
         self.chunks.removeKey((stretch,))
@@ -310,7 +309,7 @@ class WatermarkOfSource(StatefulProcessor):
         self.newest = handle.getValueState("newest", "at bigint")
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        seen = self.newest.get()[0] if self.newest.exists() else None
+        seen = (self.newest.get() or (None,))[0]
         for row in sorted(rows, key=lambda r: nulls_first([r[c] for c in self.arrival])):
             at = row["_at"]
             late = at is not None and seen is not None and at - at % self.slide + self.size <= seen - self.delay
