@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import heapq
 import queue
 import threading
 import time
@@ -21,12 +20,25 @@ class Answer:
     attempts: int
 
 
+AHEAD = 1000  # rows that are taken from the source before their answers are given out
+LOOK = 0.05  # seconds between two looks at the deadlines while answers come in
+
+
 class _Row:
-    def __init__(self, row: object, deadline: float):
-        self.row, self.deadline, self.attempts, self.value, self.error, self.over = row, deadline, 0, None, None, False
+    __slots__ = ("row", "deadline", "attempts", "value", "error", "open")
+
+    def __init__(self, row: object):
+        self.row, self.deadline, self.attempts, self.value, self.error = row, None, 0, None, None
+        self.open = [True]
+
+    def settle(self) -> bool:
+        """True for the first who asks: the thread with its answer, or the one that looks after deadlines."""
+        try:
+            return self.open.pop()
+        except IndexError:
+            return False
 
     def answer(self, status: str) -> Answer:
-        self.over = True
         return Answer(self.row, status, self.value, self.error, self.attempts)
 
 
@@ -41,80 +53,95 @@ def ask_all(
 ) -> Iterator[Answer]:
     """An answer per row, in the order in which they end.
 
-    ``client(row, remaining seconds)`` runs on up to ``capacity`` threads. A value that is not accepted and any exception, a
-    client's own time-out too, is tried again until the attempts are used up (FAILED). The timeout covers all attempts and the
-    pauses between them; when it runs out the row ends (TIMEOUT), and a value that comes later is ignored. A client that
-    never returns keeps its thread; another one takes the thread's place.
+    ``client(row, remaining seconds)`` runs on up to ``capacity`` threads, each with one row at a time from its first attempt to
+    its end. A value that is not accepted and any exception, a client's own time-out too, is tried again until the attempts are
+    used up (FAILED). The timeout covers all attempts and the pauses between them; when it runs out the row ends (TIMEOUT), and
+    a value that comes later is ignored. A client that never returns keeps its thread; another one takes the thread's place.
+
+    Rows lie ready for the threads and answers are collected as many as there are, so a row costs no change of threads.
     """
     todo, done = queue.SimpleQueue(), queue.SimpleQueue()
+    busy: dict[int, _Row] = {}
 
-    def work() -> None:
-        while (row := todo.get()) is not None:
+    def ask(row: _Row) -> str:
+        while True:
+            row.attempts += 1
+            left = row.deadline - time.monotonic() if timeout is not None else float("inf")
             try:
-                outcome = client(row.row, row.deadline - time.monotonic()), None
+                row.value, row.error = client(row.row, left), None
             except Exception as e:
-                outcome = None, e
-            done.put((row, time.monotonic(), *outcome))
-            if row.over:  # it was given up and this thread replaced
+                row.error = e
+            now = time.monotonic()
+            if timeout is not None and now > row.deadline:
+                return TIMEOUT
+            if row.error is None and accept(row.value):
+                return OK
+            if row.attempts >= attempts:
+                return FAILED
+            if timeout is not None and now + pause >= row.deadline:
+                return TIMEOUT
+            if pause:
+                time.sleep(pause)
+
+    def work() -> None:
+        own = threading.get_ident()
+        while (row := todo.get()) is not None:
+            if timeout is not None:
+                row.deadline = time.monotonic() + timeout
+                busy[own] = row
+            status = ask(row)
+            busy.pop(own, None)
+            if not row.settle():  # it was given up and this thread replaced
                 return
+            done.put(row.answer(status))
 
     def hire() -> None:
         threading.Thread(target=work, daemon=True).start()
 
-    source, active, later, busy, threads = iter(rows), 0, [], {}, 0
+    def overdue(now: float) -> list[Answer]:
+        late = []
+        for own, row in list(busy.items()):
+            if row.deadline <= now and row.settle():
+                busy.pop(own, None)
+                hire()
+                late.append(row.answer(TIMEOUT))
+        return late
+
+    source, fed, given, threads, exhausted, looked = iter(rows), 0, 0, 0, False, time.monotonic()
     try:
-        exhausted = False
         while True:
-            while not exhausted and active < capacity:
+            while not exhausted and fed - given < max(AHEAD, capacity):
                 item = next(source, _END)
                 if item is _END:
                     exhausted = True
                     break
-                active += 1
-                if threads < active:
+                todo.put(_Row(item))
+                fed += 1
+                if threads < min(capacity, fed - given):
                     threads += 1
                     hire()
-                row = _Row(item, time.monotonic() + timeout if timeout is not None else float("inf"))
-                row.attempts, busy[id(row)] = 1, row
-                todo.put(row)
-            if not active:
+            if fed == given:
                 return
+            answers = []
+            while len(answers) < AHEAD:
+                try:
+                    answers.append(done.get_nowait())
+                except queue.Empty:
+                    break
             now = time.monotonic()
-            while later and later[0][0] <= now:
-                _, _, row = heapq.heappop(later)
-                row.attempts, busy[id(row)] = row.attempts + 1, row
-                todo.put(row)
-            soonest = [row.deadline for row in busy.values()] if timeout is not None else []
-            waits = [t for t in (min(soonest, default=None), later[0][0] if later else None) if t is not None]
-            try:
-                row, at, value, error = done.get(timeout=max(0.0, min(waits) - now) if waits else None)
-            except queue.Empty:
-                for row in [r for r in busy.values() if r.deadline <= time.monotonic()]:
-                    del busy[id(row)]
-                    active -= 1
-                    hire()
-                    yield row.answer(TIMEOUT)
-                continue
-            if row.over:
-                continue
-            del busy[id(row)]
-            row.value, row.error = (value if error is None else row.value), error
-            if at > row.deadline:
-                active -= 1
-                yield row.answer(TIMEOUT)
-            elif error is None and accept(value):
-                active -= 1
-                yield row.answer(OK)
-            elif row.attempts >= attempts:
-                active -= 1
-                yield row.answer(FAILED)
-            elif at + pause >= row.deadline:
-                active -= 1
-                yield row.answer(TIMEOUT)
-            else:
-                heapq.heappush(later, (at + pause, id(row), row))
+            if timeout is not None and (not answers or now - looked > LOOK):
+                answers += overdue(now)
+                looked = now
+            if not answers:
+                soonest = min((row.deadline for row in list(busy.values())), default=now + LOOK)
+                try:
+                    answers.append(done.get(timeout=max(0.001, min(soonest - now, 10 * LOOK)) if timeout is not None else None))
+                except queue.Empty:
+                    continue
+            given += len(answers)
+            yield from answers
     finally:
-        for _ in range(threads):
+        for _ in range(threads + len(busy)):
             todo.put(None)
 
 

@@ -51,20 +51,22 @@ def enrich(
         return answer.status == OK or on_timeout == DEAD_LETTER
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = None
-
         def rows():
-            nonlocal kinds
             for batch in batches:
-                kinds = batch.schema
-                yield from batch.to_pylist()
+                for i, row in enumerate(batch.to_pylist()):
+                    yield batch, i, row
 
-        answers = ask_all(rows(), make_client(), capacity, timeout, attempts, pause, lambda code: code == 200)
+        client = make_client()
+        answers = ask_all(rows(), lambda row, left: client(row[2], left), capacity, timeout, attempts, pause, lambda code: code == 200)
         kept = (answer for answer in answers if keep(answer))
         while some := list(islice(kept, ANSWERS_PER_BATCH)):
-            given = pa.RecordBatch.from_pylist([a.row for a in some], kinds)
-            columns = [pa.array([a.status for a in some]), pa.array([_code(a) for a in some], pa.int32()), pa.array([a.attempts for a in some], pa.int32())]
-            yield pa.RecordBatch.from_arrays([*given.columns, *columns], schema.names)
+            of: dict[int, list[Answer]] = {}
+            for answer in some:
+                of.setdefault(id(answer.row[0]), []).append(answer)
+            for few in of.values():
+                given = few[0].row[0].take(pa.array([a.row[1] for a in few], pa.int64()))
+                columns = [pa.array([a.status for a in few]), pa.array([_code(a) for a in few], pa.int32()), pa.array([a.attempts for a in few], pa.int32())]
+                yield pa.RecordBatch.from_arrays([*given.columns, *columns], schema.names)
 
     spread = df.repartition(tasks) if tasks else df
     return spread.mapInArrow(run, schema)

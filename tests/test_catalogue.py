@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 from millrace.plans.catalogue import QUERIES
+from millrace.session import RUNTIME_CONF
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = (
@@ -40,3 +41,15 @@ def test_query_matches_sql(spark, oracle, name):
     right = sorted((tuple(_plain(r[i]) for i in at) for r in wanted.fetchall()), key=repr)
     assert left == right
     assert left
+
+
+@pytest.mark.parametrize("name", ["stream_log_rows", "stream_log_sink", "change_log_rows", "stream_keyed_count", "slide_event_min", "stream_proc_windows"])
+def test_queries_from_a_session_with_other_settings(spark, oracle, name):
+    """The driver's session is a plain one; what a query needs it sets beside it."""
+    plain = spark.newSession()
+    for key in RUNTIME_CONF:
+        plain.conf.unset(key)
+    plain.conf.set("spark.sql.session.timeZone", "America/New_York")
+    before = {key: plain.conf.get(key, None) for key in RUNTIME_CONF}
+    assert QUERIES[name].run(plain, SF_DIR).count() == oracle.sql(f"SELECT count(*) FROM ({QUERIES[name].sql})").fetchone()[0]
+    assert {key: plain.conf.get(key, None) for key in RUNTIME_CONF} == before

@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+import xxhash
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +20,16 @@ def _hash(key: bytes) -> int:
     return h - 2**32 if h >= 2**31 else h
 
 
+def test_keys_of_the_output(spark):
+    """The hashed key is XXH64 with seed 42 of the number's eight bytes; random keys are all different."""
+    ids = spark.range(2000).select((F.col("id") - 3).alias("id"))
+    got = ids.select("id", scalar.key_of_hash("id").alias("hashed"), scalar.key_random().alias("random")).collect()
+    for r in got:
+        value = xxhash.xxh64_intdigest(r.id.to_bytes(8, "little", signed=True), 42)
+        assert int(r.hashed) == value - (value >> 63 << 64)
+    assert len({r.random for r in got}) == 2000
+
+
 def test_hash_partition(spark):
     keys = ["", "room1", "Zürich", "日本", "a" * 100]
     df = spark.createDataFrame([(k,) for k in keys] + [(None,)], "key string")
