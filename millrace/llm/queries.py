@@ -86,11 +86,11 @@ def op7_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rollup = rollups.TokenRollup(spark, shared_dir(spark, "rollup"))
     poor = labels.filter("quality = 0").select("doc_id")
     toxic = labels.filter("quality = 1 AND toxic = 1").select("doc_id").distinct()
-    moved = docs.join(toxic, "doc_id", "left_semi").withColumn("source", F.lit("toxic"))
+    moved = docs.withColumn("source", F.lit("toxic"))
     for _ in range(2):
         rollup.commit("load", insert=docs)
         rollup.commit("poor", delete=poor)
-        rollup.commit("toxic", revise=moved)
+        rollup.commit("toxic", revise=moved, revised=toxic)
     return rollup.totals()
 
 

@@ -65,8 +65,11 @@ class TokenRollup:
         each = [F.struct(F.lit(name).alias("tokenizer"), F.coalesce(count(text), F.lit(0)).cast("long").alias("n_tokens")) for name, count in self.counters.items()]
         return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "lang", F.explode(F.array(*each)).alias("c")).select("doc_id", "source", "lang", "c.*")
 
-    def commit(self, batch: str, insert: DataFrame | None = None, delete: DataFrame | None = None, revise: DataFrame | None = None) -> bool:
-        """Apply a batch once; False if it was committed before.
+    def commit(
+        self, batch: str, insert: DataFrame | None = None, delete: DataFrame | None = None, revise: DataFrame | None = None,
+        revised: DataFrame | None = None,
+    ) -> bool:
+        """Apply a batch once; False if it was committed before. With ``revised`` (doc_id) only those of ``revise`` are revised.
 
         ``insert`` and ``revise`` have the columns of documents, ``delete`` only needs doc_id. Deleting or revising a document
         that the ledger does not know takes nothing away. Inserting the same document twice counts it twice; null ids can
@@ -76,7 +79,12 @@ class TokenRollup:
             raise ValueError("a batch id has letters, digits, - and _ only")
         if self.files.exists(f"commits/{batch}"):
             return False
-        signed = [self.counted(df).withColumn("n_docs", F.lit(1).cast("long")) for df in (insert, revise) if df is not None]
+        signed = [self.counted(df) for df in (insert, revise) if df is not None]
+        if revise is not None and revised is not None:
+            # Documents are picked after they are counted, so that no text is shuffled.
+            few = revised.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
+            signed[-1], revise = signed[-1].join(few, "doc_id", "left_semi"), few
+        signed = [rows.withColumn("n_docs", F.lit(1).cast("long")) for rows in signed]
         gone = [df.select(F.col("doc_id").cast("long").alias("doc_id")) for df in (delete, revise) if df is not None]
         ledger = self._read("ledger")
         if gone and ledger is not None:

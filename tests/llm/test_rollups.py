@@ -48,6 +48,17 @@ def test_totals_follow_inserts_deletes_and_revisions(spark, rollup):
     assert rollup.totals().count() == 0
 
 
+def test_only_the_named_documents_of_a_revision_are_revised(spark, rollup):
+    docs = {1: ("s", "en", "a b c"), 2: ("s", "en", "d"), 3: (None, None, None)}
+    rollup.commit("one", insert=corpus(spark, docs))
+    moved = {i: ("moved", lang, t) for i, (_, lang, t) in docs.items()}
+    named = spark.createDataFrame([(2,), (2,), (3,), (7,), (None,)], "doc_id long")
+    assert rollup.commit("two", revise=corpus(spark, moved), revised=named)
+    assert rows(rollup.totals()) == totals_of([docs[1], moved[2], moved[3]])
+    assert rollup.commit("three", revise=corpus(spark, docs), revised=named.limit(0))
+    assert rows(rollup.totals()) == totals_of([docs[1], moved[2], moved[3]])
+
+
 def test_batches_count_once_and_unfinished_ones_not_at_all(spark, rollup):
     docs = corpus(spark, {1: ("s", "en", "a b c"), 2: ("s", "en", "d")})
     assert rollup.commit("one", insert=docs) and not rollup.commit("one", insert=docs)
