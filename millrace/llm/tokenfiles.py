@@ -3,11 +3,12 @@
 Documents are sorted by id over range partitions; every task writes one file: the raw ids of its documents one after the
 other, then the tables of its index. A minimal perfect hash (hash and displace) sends each key to a slot of its own; the slot
 holds a 32-bit fingerprint of the key, which tells foreign keys apart, and the document's rank, whose start is in a table of
-offsets. Finding a document takes two small reads, whatever the size of the file.
+offsets. Finding a document takes four reads of a few bytes, whatever the size of the file; for many documents of a file whole
+tables are read instead, once.
 
 File: ids (uint16, or uint32 for vocabularies over 65,536), then little-endian arrays ``seeds`` int64, ``fingerprints``
 uint32, ``ranks`` uint32, ``starts`` uint64 (one more than documents), ``keys`` int64 and ``known`` uint8 (0: null id), then
-a trailer of five int64: documents, buckets, bytes per id, start of the arrays, magic number.
+a trailer of six int64: documents, buckets, bytes per id, start of the arrays, salt of the hashes, magic number.
 
 A task writes under a name of its own attempt and renames at its end, so a repeated task replaces the file by an equal one.
 Text is cut before the tokenizer only where its pre-tokenizer cuts too, and around its added tokens; every different piece is
@@ -21,7 +22,7 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,8 @@ from pyspark.sql import functions as F
 from millrace.llm.arrow_text import ID, TEXT, Texts, byte_class, id_and_text, mix, pieces, ranges
 from millrace.llm.components import Steps
 
-MAGIC = 0x31534B4F54524D
+MAGIC = 0x32534B4F54524D
+TRAILER = 6 * 8
 KEYS_PER_BUCKET = 4
 MAX_CACHED = 1_000_000
 JOINED_BYTES = 1 << 14
@@ -166,17 +168,30 @@ class Encoder:
         return ids[ranges(begins, counts)], np.diff(upto)
 
 
-def key_hashes(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
+def key_hashes(keys: np.ndarray, known: np.ndarray, salt: int = 0) -> np.ndarray:
     """Hashes of sorted keys; equal keys differ by how many of them come before."""
     same = np.concatenate([[False], (keys[1:] == keys[:-1]) & (known[1:] == known[:-1])]) if len(keys) else np.zeros(0, bool)
     place = np.arange(len(keys))
     first = np.maximum.accumulate(np.where(same, 0, place)) if len(keys) else place
-    return hash_of(keys, known, place - first)
+    return hash_of(keys, known, place - first, salt)
 
 
-def hash_of(keys: np.ndarray, known: np.ndarray, occurrence: np.ndarray) -> np.ndarray:
-    salt = mix(occurrence.astype(np.uint64) * np.uint64(2) + (~known.astype(bool)).astype(np.uint64))
-    return mix(mix(keys.astype(np.int64).view(np.uint64)) + salt)
+def hash_of(keys: np.ndarray, known: np.ndarray, occurrence: np.ndarray, salt: int = 0) -> np.ndarray:
+    """Key and occurrence are scrambled one after the other, so that they do not stand for each other."""
+    turn = occurrence.astype(np.uint64) * np.uint64(2) + (~known.astype(bool)).astype(np.uint64)
+    own = mix(keys.astype(np.int64).view(np.uint64) ^ np.uint64(0xD1B54A32D192ED03))
+    shift = np.uint64((1 + salt * 0xD6E8FEB86659FD93) & ((1 << 64) - 1))
+    return mix(own * np.uint64(0x9E3779B97F4A7C15) + mix(turn + shift))
+
+
+def salted(keys: np.ndarray, known: np.ndarray) -> tuple[int, np.ndarray]:
+    """The first salt with which no two keys have the same hash, and the hashes."""
+    salt = 0
+    while True:
+        hashed = key_hashes(keys, known, salt)
+        if len(np.unique(hashed)) == len(hashed):
+            return salt, hashed
+        salt += 1
 
 
 def _slot(hashed: np.ndarray, seed: np.ndarray, n: int) -> np.ndarray:
@@ -282,59 +297,78 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
 
 def _write_index(file, keys: np.ndarray, known: np.ndarray, counts: np.ndarray, width: int) -> None:
     at = file.tell()
-    hashed = key_hashes(keys, known)
+    salt, hashed = salted(keys, known)
     seeds, slots = build_index(hashed)
     prints, ranks = np.zeros(len(keys), "<u4"), np.zeros(len(keys), "<u4")
     prints[slots], ranks[slots] = fingerprint(hashed), np.arange(len(keys))
     starts = np.concatenate([[0], np.cumsum(counts)])
     for table in (seeds.astype("<i8"), prints, ranks, starts.astype("<u8"), keys.astype("<i8"), known.astype("u1")):
         file.write(table.tobytes())
-    file.write(np.array([len(keys), len(seeds), width, at, MAGIC], "<i8").tobytes())
+    file.write(np.array([len(keys), len(seeds), width, at, salt, MAGIC], "<i8").tobytes())
 
 
 @dataclass
 class Shard:
-    """An open shard file. Tables are read when asked for, ids only for the documents asked for."""
+    """An open shard file. For a few keys only their entries are read, for many of them each table once."""
 
     file: pyarrow.NativeFile
     n: int
     n_buckets: int
     width: int
     at: int
+    salt: int
+    tables: dict[str, np.ndarray] = field(default_factory=dict)
+    bytes_read: int = 0
 
     @classmethod
     def open(cls, folder: str, name: str) -> Shard:
         store, base = _open(folder)
         file = store.open_input_file(f"{base}/{name}")
-        n, n_buckets, width, at, magic = np.frombuffer(file.read_at(40, file.size() - 40), "<i8").tolist()
+        n, n_buckets, width, at, salt, magic = np.frombuffer(file.read_at(TRAILER, file.size() - TRAILER), "<i8").tolist()
         if magic != MAGIC:
             raise ValueError(f"{name} is not a whole shard file")
-        return cls(file, n, n_buckets, width, at)
+        return cls(file, n, n_buckets, width, at, salt)
+
+    def _read(self, at: int, size: int, kind: str) -> np.ndarray:
+        self.bytes_read += size
+        return np.frombuffer(self.file.read_at(size, at), kind)
 
-    def _table(self, name: str) -> np.ndarray:
+    def _entries(self, name: str, where: np.ndarray | None = None, width: int = 1) -> np.ndarray:
+        """A whole table, or ``width`` entries from each place in ``where``, a row each."""
         at = self.at
         for table, kind, length in (("seeds", "<i8", self.n_buckets), ("prints", "<u4", self.n), ("ranks", "<u4", self.n), ("starts", "<u8", self.n + 1), ("keys", "<i8", self.n), ("known", "u1", self.n)):
-            size = length * np.dtype(kind).itemsize
+            size = np.dtype(kind).itemsize
             if table == name:
-                return np.frombuffer(self.file.read_at(size, at), kind)
-            at += size
-        raise KeyError(name)
+                break
+            at += length * size
+        if where is not None and name not in self.tables and len(where) * FEW < length:
+            each = [self._read(at + w * size, width * size, kind) for w in where.tolist()]
+            return np.stack(each) if each else np.zeros((0, width), kind)
+        if name not in self.tables:
+            self.tables[name] = self._read(at, length * size, kind)
+        whole = self.tables[name]
+        return whole if where is None else whole[where[:, None] + np.arange(width)]
 
     def keys(self) -> tuple[np.ndarray, np.ndarray]:
-        return self._table("keys"), self._table("known").astype(bool)
+        return self._entries("keys"), self._entries("known").astype(bool)
 
     def find(self, hashed: np.ndarray) -> np.ndarray:
         """Ranks of the documents with these key hashes, -1 where the fingerprint is another one."""
-        seed = self._table("seeds")[_bucket(hashed, self.n_buckets)]
+        seed = self._entries("seeds", _bucket(hashed, self.n_buckets))[:, 0]
         slot = np.where(seed < 0, -1 - seed, _slot(hashed, np.maximum(seed, 0), self.n))
-        return np.where(self._table("prints")[slot] == fingerprint(hashed), self._table("ranks")[slot].astype(np.int64), -1)
+        ranks = np.full(len(hashed), -1, np.int64)
+        right = np.flatnonzero(self._entries("prints", slot)[:, 0] == fingerprint(hashed))
+        ranks[right] = self._entries("ranks", slot[right])[:, 0]
+        return ranks
 
     def spans(self, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        starts = self._table("starts").astype(np.int64)
-        return starts[ranks], starts[ranks + 1]
+        return tuple(self._entries("starts", ranks, 2).astype(np.int64).reshape(-1, 2).T)
 
     def ids(self, start: int, stop: int) -> np.ndarray:
-        return np.frombuffer(self.file.read_at((stop - start) * self.width, start * self.width), f"<u{self.width}").astype("<u4")
+        return self._read(start * self.width, (stop - start) * self.width, f"<u{self.width}").astype("<u4")
+
+
+FEW = 16  # a table is read whole if more than one of so many of its entries are wanted
 
 
 def read_all(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame:
@@ -351,7 +385,7 @@ def read_all(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame
             for i in batch.column(0).to_pylist():
                 shard = Shard.open(folder, names[i])
                 keys, known = shard.keys()
-                ranks = shard.find(key_hashes(keys, known))
+                ranks = shard.find(key_hashes(keys, known, shard.salt))
                 if (ranks < 0).any():
                     raise ValueError(f"{names[i]}: a key is not in its index")
                 start, stop = shard.spans(ranks)
@@ -393,7 +427,7 @@ def look_up(keys: DataFrame, folder: str, manifest: DataFrame, id_column: str =
                 if i != at:
                     at, shard = i, Shard.open(folder, names[i])
                 mine = asked[where == i]
-                ranks = shard.find(hash_of(mine, np.ones(len(mine), bool), np.zeros(len(mine), np.int64)))
+                ranks = shard.find(hash_of(mine, np.ones(len(mine), bool), np.zeros(len(mine), np.int64), shard.salt))
                 mine, ranks = mine[ranks >= 0], ranks[ranks >= 0]
                 spans = zip(*(x.tolist() for x in shard.spans(ranks)), strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(mine, pa.int64()), pa.array([shard.ids(a, b) for a, b in spans], pa.list_(pa.int64()))], [ID, "ids"])

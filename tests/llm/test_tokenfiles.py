@@ -80,6 +80,50 @@ def test_index_is_minimal_and_perfect(n):
     assert sorted(slots.tolist()) == list(range(n)) and len(seeds) == max(1, n // t.KEYS_PER_BUCKET)
 
 
+@pytest.mark.parametrize("ids", [[0, 0, 2], [None, 1], [2, 2, 2, 4, 4], [0, None, None, 0, 1, -1, 1], list(range(40)) * 3])
+def test_repeated_and_null_ids_through_write_read_and_look_up(spark, tmp_path, ids):
+    pairs = [(i, f"text {n}") for n, i in enumerate(ids)]
+    manifest = written(spark, documents(spark, pairs), tmp_path)
+    assert rows(t.read_all(spark, str(tmp_path), manifest)) == expected(pairs)
+    known = sorted({i for i in ids if i is not None})
+    asked = spark.createDataFrame([(i,) for i in [*known, 99, None]], "doc_id long")
+    first = {i: min(x for j, x in pairs if j == i) for i in known}
+    got = {r.doc_id: r.ids for r in t.look_up(asked, str(tmp_path), manifest).collect()}
+    assert got == {i: [*plain([x])[0], 2] for i, x in first.items()}
+
+
+def test_hashes_tell_keys_and_occurrences_apart():
+    keys, turns = (x.ravel() for x in np.meshgrid(np.arange(-300, 300), np.arange(300)))
+    for known in (np.ones(len(keys), bool), np.arange(len(keys)) % 2 == 0):
+        assert len(np.unique(t.hash_of(keys, known, turns))) == len(keys)
+
+
+def test_another_salt_where_two_hashes_are_the_same(monkeypatch, spark, tmp_path):
+    true = t.hash_of
+    monkeypatch.setattr(t, "hash_of", lambda k, known, o, salt=0: true(k, known, o, salt) if salt > 1 else np.zeros(len(k), np.uint64))
+    salt, hashed = t.salted(np.arange(9), np.ones(9, bool))
+    assert salt == 2 and len(set(hashed.tolist())) == 9
+
+
+def test_one_key_is_found_in_a_few_bytes_whatever_the_size(tmp_path):
+    read = []
+    for n in (100, 100_000):
+        keys, counts = np.arange(n) * 3, np.full(n, 2)
+        name = f"{n}.ids"
+        with pa.OSFile(str(tmp_path / name), "wb") as file:
+            file.write(np.repeat(keys % 50_000, 2).astype("<u2").tobytes())
+            t._write_index(file, keys, np.ones(n, bool), counts, 2)
+        shard = t.Shard.open(str(tmp_path), name)
+        for key in (0, 3 * (n // 2), 3 * (n - 1)):
+            before = shard.bytes_read
+            (rank,) = shard.find(t.hash_of(np.array([key]), np.ones(1, bool), np.zeros(1, np.int64), shard.salt)).tolist()
+            (start,), (stop,) = shard.spans(np.array([rank]))
+            assert rank * 3 == key and shard.ids(start, stop).tolist() == [key % 50_000] * 2
+            read.append(shard.bytes_read - before)
+        assert shard.find(t.hash_of(np.array([1, 2]), np.ones(2, bool), np.zeros(2, np.int64), shard.salt)).tolist() == [-1, -1]
+    assert set(read) == {8 + 4 + 4 + 16 + 4}
+
+
 END = "<|endoftext|>"
 SPECIAL = [
     f"a {END} b", END, f"{END}{END}", f"a{END}b, c.{END}, d", f"a  {END}  b\n{END}\nc", f"é{END}é {END}", "<|endof", "text|>", f"x {END[:-1]} y",
