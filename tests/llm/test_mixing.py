@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -24,6 +25,44 @@ def test_rates_reach_the_targets_and_are_never_negative(spark):
         assert shares(fitted, 3) == pytest.approx(targets, abs=0.01)
 
 
+def test_an_unsure_classifier_gets_the_best_rates_there_are(spark):
+    """Against a projected gradient in numpy that runs on until nothing moves; the poor share cannot be brought to its target."""
+    rng = np.random.default_rng(2)
+    p = 0.5 * rng.dirichlet([8, 0.5, 0.5], 400) + 0.5 * np.array([0.8, 0.08, 0.12])
+    tokens, targets = rng.integers(1, 200, 400).astype(float), np.array([0.95, 0.04, 0.01])
+    rows_ = [(t, q.tolist()) for t, q in zip(tokens, p, strict=True)]
+    fitted = mixing.fit_rates(members(spark, rows_), targets.tolist(), Steps(spark, "test"))
+    got = np.array([r.rate for r in fitted.orderBy("doc_id").collect()])
+    mass, whole = tokens @ p, tokens.sum()
+    best = np.ones(400)
+    for _ in range(200_000):
+        miss = ((best * tokens) @ p - whole * targets) / mass
+        new = np.maximum(0, best - (p @ miss + mixing.PULL * (best - 1)) / (1 + mixing.PULL))
+        if np.abs(new - best).max() < 1e-12:
+            break
+        best = new
+    assert got == pytest.approx(best, abs=1e-3) and (got >= 0).all() and (got == 0).any()
+    assert mixing.reached(fitted, 3)[2] > 0.05
+    assert shares(fitted, 3) == pytest.approx(mixing.reached(fitted, 3))
+
+
+def test_the_mix_of_the_documents_reaches_its_targets(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    steps, names = Steps(spark, "test"), list(mixing.TARGETS)
+    fitted = mixing.fit_rates(mixing.posteriors(docs, mixing.domain_of(labels), names, steps), [mixing.TARGETS[x] for x in names], steps)
+    assert mixing.reached(fitted, 3) == pytest.approx(list(mixing.TARGETS.values()), abs=0.005)
+
+
+@pytest.mark.parametrize("limit", [10, 2000])
+def test_the_bound_on_labels_does_not_make_the_domains_equally_frequent(spark, monkeypatch, limit):
+    """Texts that tell nothing get the labels' shares, whether or not the sample holds all of a frequent domain."""
+    docs = documents(spark, ["same old words"] * 110)
+    domains = spark.createDataFrame([(i, "poor" if i < 10 else "clean") for i in range(100)], "doc_id long, domain string")
+    monkeypatch.setattr(mixing.labelled_sample, "__defaults__", (mixing.DOMAINS, limit))
+    for r in mixing.posteriors(docs, domains).collect():
+        assert r.p == pytest.approx([0.9, 0.0, 0.1], abs=0.02)
+
+
 def test_rates_without_tokens_without_a_domain_and_without_rows(spark):
     none = mixing.fit_rates(members(spark, [(0, [0.5, 0.5])] * 3), [0.5, 0.5], Steps(spark, "test"))
     assert {r.rate for r in none.collect()} == {1.0}
