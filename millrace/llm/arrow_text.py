@@ -52,6 +52,11 @@ class Texts:
     def bytes_of(self, i: int) -> bytes:
         return self.data[self.offsets[i] : self.offsets[i + 1]].tobytes()
 
+    def one(self, i: int) -> Texts:
+        """The document alone."""
+        offsets = self.offsets[i : i + 2]
+        return Texts(self.data[offsets[0] : offsets[1]], offsets - offsets[0], self.valid[i : i + 1])
+
     def lowered(self) -> Texts:
         """A-Z to a-z, nothing else."""
         return Texts(_LOWER[self.data], self.offsets, self.valid)

@@ -5,12 +5,14 @@ A text's features are its byte trigrams (A-Z lower-cased, runs of anything but l
 with the largest margin a machine for every pair of languages gives one vote, and the language with most votes wins, ties by
 the sum of margins.
 
-Learning takes at most ``MAX_LABELLED`` documents of each language, chosen by a hash of their ids, and the first ``MAX_TEXT``
-bytes of each; the feature vectors come to the driver, which fits the machines. Prediction reads whole texts.
+Learning takes at most ``MAX_LABELLED`` documents of each language, chosen by a hash of their ids in one pass over ids and
+languages. Tasks make the feature vectors of their whole texts, which come to the driver, where the machines are fitted: its work
+and memory grow with the number of languages, not with the corpus. Prediction reads whole texts too.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -18,14 +20,14 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.llm.arrow_text import ID, TEXT, Texts, byte_class, id_and_text, per_document
+from millrace.llm.arrow_text import ID, TEXT, Texts, byte_class, id_and_text, per_document, pieces
 from millrace.llm.quality import held_out
 
 FEATURES = 1 << 13
 MAX_LABELLED = 400
-MAX_TEXT = 20_000
 
 # Families of languages by their codes; a language that is not listed is a family of its own.
 FAMILIES = {
@@ -92,20 +94,28 @@ def _scaled(counts: np.ndarray) -> np.ndarray:
 
 def learning_sample(docs: DataFrame, limit: int = MAX_LABELLED, folds: int = 4, fold: int = 2, lang: str = "lang") -> tuple[np.ndarray, list[str]]:
     """Feature vectors and languages of a bounded sample. The ids are ranked per language without their texts."""
-    known = docs.filter(F.col(lang).isNotNull() & F.col(ID).isNotNull() & ~held_out(F.col(ID), folds, fold) & (F.length(TEXT) > 0))
-    order = F.xxhash64(ID, F.lit(29))
-    # The smallest hashes of each language, found by partial limits: a window over a language would meet in one task.
-    langs = [r[0] for r in known.select(lang).distinct().orderBy(lang).limit(500).collect()]
-    chosen = [known.filter(F.col(lang) == x).select(ID, F.col(lang).alias("y"), order.alias("at")).orderBy("at", ID).limit(limit) for x in langs]
-    if not chosen:
-        return np.zeros((0, FEATURES), np.float32), []
-    few = chosen[0]
-    for one in chosen[1:]:
-        few = few.unionAll(one)
-    text = F.substring(F.col(TEXT).cast("binary"), 1, MAX_TEXT).alias(TEXT)
-    found = id_and_text(docs).select(ID, text).join(F.broadcast(few.distinct()), ID).orderBy("y", "at", ID).limit(2 * limit * len(langs))
-    table = found.select(TEXT, "y").toArrow()
-    return _vectors(Texts.of(table[TEXT].combine_chunks())), table["y"].to_pylist()
+    known = docs.filter(F.col(lang).isNotNull() & F.col(ID).isNotNull() & ~held_out(F.col(ID), folds, fold))
+    known = known.select(ID, F.col(lang).alias("y"), F.xxhash64(ID, F.lit(29)).alias("at"))
+    # Spark keeps the first rows of a language in each task already, so no language meets in one task.
+    rank = F.row_number().over(W.partitionBy("y").orderBy("at", ID))
+    few = known.withColumn("rank", rank).filter(F.col("rank") <= limit).select(ID, "y", "at").distinct()
+    # At most ``limit`` narrow rows of each language.
+    found = id_and_text(docs).filter(F.length(TEXT) > 0).join(F.broadcast(few), ID).select("y", "at", ID, TEXT)
+
+    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, texts in pieces(batch):
+                each = [_vectors(texts.one(i))[0] for i in range(len(texts))]
+                cells = [np.flatnonzero(x) for x in each]
+                made = [pa.array([c.astype("<u2").tobytes() for c in cells], pa.binary()), pa.array([x[c].tobytes() for x, c in zip(each, cells, strict=True)], pa.binary())]
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("y", "at", ID)), *made], ["y", "at", ID, "cells", "values"])
+
+    kinds = ", ".join(f"{c} {found.schema[c].dataType.simpleString()}" for c in ("y", "at", ID))
+    table = found.mapInArrow(vectors, f"{kinds}, cells binary, values binary").orderBy("y", "at", ID).toArrow()
+    x = np.zeros((len(table), FEATURES), np.float32)
+    for i, (cells, values) in enumerate(zip(table["cells"].to_pylist(), table["values"].to_pylist(), strict=True)):
+        x[i, np.frombuffer(cells, "<u2")] = np.frombuffer(values, np.float32)
+    return x, table["y"].to_pylist()
 
 
 def _machine(x: np.ndarray, y: np.ndarray, rounds: int = 30, cost: float = 10.0) -> tuple[np.ndarray, float]:

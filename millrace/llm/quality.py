@@ -5,8 +5,8 @@ on its own, so that the dictionaries count to its end. The difference of the two
 ratio without a dictionary are calibrated to a probability by a logistic curve, fitted on labelled texts that were not in the
 dictionaries.
 
-Fitting takes at most ``MAX_LABELLED`` texts of each label, chosen by a hash of their ids, and at most ``MAX_TEXT`` bytes of
-a text; scoring reads every text to its end.
+Fitting takes at most ``MAX_LABELLED`` whole texts of each label, chosen by a hash of their ids. The curve's constant is shifted
+by how much more often a label is in all labels than in the sample, so the bound does not make labels equally likely.
 """
 
 from __future__ import annotations
@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 from millrace.llm.arrow_text import ID, TEXT, Texts, filter_documents, id_and_text, per_document
 
 MAX_LABELLED = 1500
-MAX_TEXT = 16_384
 CHUNK_BYTES = 2048
 DICTIONARY_BYTES = 64 * 1024
 LEVEL = 3
@@ -103,13 +102,22 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str = "quality",
     known = known.select(ID, F.col(label).cast("int").alias("y"), F.xxhash64(ID, F.lit(17)).alias("at")).distinct()
     chosen = [known.filter(F.col("y") == y).orderBy("at", ID).limit(limit) for y in (0, 1)]
     few = F.broadcast(chosen[0].unionAll(chosen[1]))  # at most twice the limit of narrow rows
-    text = F.substring(F.col(TEXT).cast("binary"), 1, MAX_TEXT)
-    found = id_and_text(docs).filter(F.length(TEXT) > 0).select(ID, text.alias(TEXT)).join(few, ID).orderBy("at", ID)
-    return [(bytes(r[TEXT]), r["y"], r["at"] % 3 == 0) for r in found.limit(4 * limit).collect()]
+    found = id_and_text(docs).filter(F.length(TEXT) > 0).select(ID, F.col(TEXT).cast("binary").alias(TEXT)).join(few, ID).orderBy("at", ID)
+    return [(bytes(r[TEXT]), r["y"], r["at"] % 3 == 0) for r in found.collect()]
 
 
-def fit(sample: list) -> Model:
-    """Dictionaries from two thirds of the sample, the curve from the others. Labels of one kind only give its share as score."""
+def label_counts(labels: DataFrame, label: str = "quality", folds: int = 5, fold: int = 0) -> tuple[int, int]:
+    """How many documents that learning may see are labelled 0 and 1."""
+    known = labels.filter(F.col(label).isin(0, 1) & F.col(ID).isNotNull() & ~held_out(F.col(ID), folds, fold))
+    found = {r["y"]: r["count"] for r in known.select(ID, F.col(label).cast("int").alias("y")).distinct().groupBy("y").count().collect()}
+    return found.get(0, 0), found.get(1, 0)
+
+
+def fit(sample: list, counts: tuple[int, int] | None = None) -> Model:
+    """Dictionaries from two thirds of the sample, the curve from the others. Labels of one kind only give its share as score.
+
+    ``counts`` are the documents of each label that the sample stands for; without them it stands for itself.
+    """
     learn = {y: [t for t, label, late in sample if label == y and not late] for y in (0, 1)}
     judge = [(t, y) for t, y, late in sample if late]
     good, bad = (_dictionary(learn[y]) for y in (1, 0))
@@ -119,7 +127,11 @@ def fit(sample: list) -> Model:
         return Model(good, bad, np.array([np.log(share / (1 - share)), 0, 0, 0, 0]), np.zeros(4), np.ones(4))
     x = _features(packed_sizes([t for t, _ in judge], good, bad))
     centre, scale = x.mean(0), np.maximum(x.std(0), 1e-9)
-    return Model(good, bad, _logistic((x - centre) / scale, y), centre, scale)
+    weights = _logistic((x - centre) / scale, y)
+    if counts and min(counts):
+        held = [sum(label == v for _, label, _ in sample) for v in (0, 1)]
+        weights[0] += np.log(counts[1] / held[1]) - np.log(counts[0] / held[0])
+    return Model(good, bad, weights, centre, scale)
 
 
 def _dictionary(texts: list[bytes]) -> bytes:

@@ -20,8 +20,8 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return quality.score(docs, quality.fit(quality.labelled_sample(docs, table(spark, sf_dir, "labels"))))
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality.score(docs, quality.fit(quality.labelled_sample(docs, labels), quality.label_counts(labels)))
 
 
 # The same with SQL's own grouping by whole text.
