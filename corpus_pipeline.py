@@ -17,7 +17,8 @@ from millrace.tables import table
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the compression classifier accepts. It learns from the labelled ones among ``docs``."""
-    return quality.accepted(docs, quality.fit(quality.labelled_sample(docs, table(spark, sf_dir, "labels"))))
+    labels = table(spark, sf_dir, "labels")
+    return quality.accepted(docs, quality.fit(quality.labelled_sample(docs, labels), quality.label_counts(labels)))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -51,5 +51,5 @@ def test_queries_from_a_session_with_other_settings(spark, oracle, name):
         plain.conf.unset(key)
     plain.conf.set("spark.sql.session.timeZone", "America/New_York")
     before = {key: plain.conf.get(key, None) for key in RUNTIME_CONF}
-    assert QUERIES[name].run(plain, SF_DIR).count() == oracle.sql(f"SELECT count(*) FROM ({QUERIES[name].sql})").fetchone()[0]
+    assert QUERIES[name].run(plain, SF_DIR).count() == oracle.sql(f"SELECT count(*) FROM ({QUERIES[name].sql})").fetchall()[0][0]
     assert {key: plain.conf.get(key, None) for key in RUNTIME_CONF} == before
