@@ -1,10 +1,11 @@
 """License scanning with ordered signature rules, in DataFrame functions only.
 
-A rule is a regular expression on the text with A-Z lower-cased, with keywords that must all occur before it is tried, a
-label, a priority (1 is best) and a confidence. The rules come from a hand-written list of licenses, each with the names it
+A rule is a regular expression on the text with A-Z lower-cased, with groups of keywords of each of which one must occur before
+it is tried, a label, a priority (1 is best) and a confidence. The rules come from a hand-written list of licenses, each with the names it
 goes by, set into the phrases that licenses are granted with, and from hand-written single rules.
 
-1. A text is looked at only if it holds one of a few stems; the rules whose keywords it holds are tried one by one.
+1. A text is looked at only if it holds one of a few stems. Which of all keywords it holds is found once, as bits; the rules that
+   these bits allow are tried one by one.
 2. Every match is a span. Spans of one document are put in order of start, end and priority; a span that lies inside one of the
    same or a better priority is dropped. That takes running maxima over the spans of a document, no comparison of all pairs.
 3. What remains gives the labels; the best confidence is the score.
@@ -24,55 +25,57 @@ from millrace.llm.arrow_text import ID, id_and_text
 
 # What stands between words, before and after A-Z were lower-cased.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+BETWEEN_ANY_CASE = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 # Base phrases and their labels.
 BASE = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
-# label: (keyword, expression for its name)
+CC_BY = ("cc-by", "cc by", "cc+by", "creative commons attribution")
+
+# label: (keywords, one of which the name holds, with single blanks; expression for the name)
 NAMES = {
-    "mit": ("mit", r"(?:the )?(?:mit|expat|x11)"),
-    "mit-0": ("mit", r"(?:the )?mit(?:-| )(?:0|no attribution)"),
-    "apache-2": ("apache", r"(?:the )?apache(?: software)?(?:-| )(?:licen[cs]e,? ?)?(?:version |v)?2(?:\.0)?"),
-    "apache-1.1": ("apache", r"(?:the )?apache(?: software)?(?:-| )(?:licen[cs]e,? ?)?(?:version |v)?1\.1"),
-    "gpl-2": ("g", r"(?:the )?(?:gnu )?(?:gpl|general public licen[cs]e)(?:,)?(?:-| )?(?:version |v)?2(?:\.0)?(?:-only|-or-later)?"),
-    "gpl-3": ("g", r"(?:the )?(?:gnu )?(?:gpl|general public licen[cs]e)(?:,)?(?:-| )?(?:version |v)?3(?:\.0)?(?:-only|-or-later)?"),
-    "lgpl-2.1": ("l", r"(?:the )?(?:gnu )?(?:lgpl|lesser general public licen[cs]e)(?:,)?(?:-| )?(?:version |v)?2\.1(?:-only|-or-later)?"),
-    "lgpl-3": ("l", r"(?:the )?(?:gnu )?(?:lgpl|lesser general public licen[cs]e)(?:,)?(?:-| )?(?:version |v)?3(?:\.0)?(?:-only|-or-later)?"),
-    "agpl-3": ("a", r"(?:the )?(?:gnu )?(?:agpl|affero general public licen[cs]e)(?:,)?(?:-| )?(?:version |v)?3(?:\.0)?(?:-only|-or-later)?"),
-    "bsd-2-clause": ("bsd", r"(?:the )?(?:bsd[- ]2[- ]clause|2[- ]clause bsd|simplified bsd|freebsd)"),
-    "bsd-3-clause": ("bsd", r"(?:the )?(?:bsd[- ]3[- ]clause|3[- ]clause bsd|new bsd|modified bsd)"),
-    "bsd-4-clause": ("bsd", r"(?:the )?(?:bsd[- ]4[- ]clause|4[- ]clause bsd|original bsd)"),
-    "0bsd": ("bsd", r"(?:the )?(?:0bsd|zero[- ]clause bsd)"),
-    "isc": ("isc", r"(?:the )?isc"),
-    "mpl-1.1": ("m", r"(?:the )?(?:mozilla public licen[cs]e|mpl)(?:,)?(?:-| )?(?:version |v)?1\.1"),
-    "mpl-2": ("m", r"(?:the )?(?:mozilla public licen[cs]e|mpl)(?:,)?(?:-| )?(?:version |v)?2(?:\.0)?"),
-    "epl-1": ("e", r"(?:the )?(?:eclipse public licen[cs]e|epl)(?:,)?(?:-| )?(?:version |v)?1(?:\.0)?"),
-    "epl-2": ("e", r"(?:the )?(?:eclipse public licen[cs]e|epl)(?:,)?(?:-| )?(?:version |v)?2(?:\.0)?"),
-    "eupl-1.2": ("e", r"(?:the )?(?:european union public licen[cs]e|eupl)(?:,)?(?:-| )?(?:version |v)?1\.2"),
-    "cddl-1": ("c", r"(?:the )?(?:common development and distribution licen[cs]e|cddl)(?:,)?(?:-| )?(?:version |v)?1\.[01]"),
-    "cpl-1": ("c", r"(?:the )?common public licen[cs]e(?:,)?(?:-| )?(?:version |v)?1(?:\.0)?"),
-    "artistic-2": ("artistic", r"(?:the )?artistic licen[cs]e(?:,)?(?:-| )?(?:version |v)?2(?:\.0)?"),
-    "bsl-1": ("boost", r"(?:the )?boost software licen[cs]e(?:,)?(?:-| )?(?:version |v)?1(?:\.0)?"),
-    "zlib": ("zlib", r"(?:the )?zlib(?:/libpng)?"),
-    "unlicense": ("unlicense", r"(?:the )?unlicense"),
-    "wtfpl": ("wtfpl", r"(?:the )?wtfpl(?:v2)?"),
-    "ofl-1.1": ("o", r"(?:the )?(?:sil )?(?:open font licen[cs]e|ofl)(?:,)?(?:-| )?(?:version |v)?1\.1"),
-    "psf-2": ("p", r"(?:the )?(?:python software foundation licen[cs]e|psf)(?:,)?(?:-| )?(?:version |v)?2(?:\.0)?"),
-    "postgresql": ("postgresql", r"(?:the )?postgresql"),
-    "cc0": ("c", r"(?:the )?(?:cc0|creative commons zero)(?:[- ]1\.0)?"),
-    "cc-by": ("c", r"(?:the )?(?:cc[- ]by|creative commons attribution)(?:[- ][1-4]\.[05])?"),
-    "cc-by-sa": ("c", r"(?:the )?(?:cc[- ]by[- ]sa|creative commons attribution[- ]share[- ]?alike)(?:[- ][1-4]\.[05])?"),
-    "cc-by-nc": ("c", r"(?:the )?(?:cc[- ]by[- ]nc|creative commons attribution[- ]non[- ]?commercial)(?:[- ][1-4]\.[05])?"),
-    "cc-by-nd": ("c", r"(?:the )?(?:cc[- ]by[- ]nd|creative commons attribution[- ]no[- ]?deriv(?:ative)?s)(?:[- ][1-4]\.[05])?"),
-    "cc-by-nc-sa": ("c", r"(?:the )?cc[- ]by[- ]nc[- ]sa(?:[- ][1-4]\.[05])?"),
-    "cc-by-nc-nd": ("c", r"(?:the )?cc[- ]by[- ]nc[- ]nd(?:[- ][1-4]\.[05])?"),
-    "odbl": ("o", r"(?:the )?(?:open database licen[cs]e|odbl)(?:[- ](?:v)?1\.0)?"),
-    "ms-pl": ("m", r"(?:the )?(?:microsoft public licen[cs]e|ms-pl)"),
-    "ncsa": ("ncsa", r"(?:the )?(?:university of illinois/)?ncsa(?: open source)?"),
-    "upl-1": ("u", r"(?:the )?(?:universal permissive licen[cs]e|upl)(?:,)?(?:-| )?(?:version |v)?1(?:\.0)?"),
-    "sspl-1": ("s", r"(?:the )?(?:server side public licen[cs]e|sspl)(?:,)?(?:-| )?(?:version |v)?1"),
-    "busl-1.1": ("b", r"(?:the )?(?:business source licen[cs]e|busl)(?:,)?(?:-| )?(?:version |v)?1\.1"),
+    "mit": (("mit",), r"(?:the )?(?:mit|expat|x11)"),
+    "mit-0": (("mit",), r"(?:the )?mit(?:-| )(?:0|no attribution)"),
+    "apache-2": (("apache",), r"(?:the )?apache(?: software)?(?:-| )(?:licen[cs]e,? ?)?(?:version |v)?2(?:\.0)?"),
+    "apache-1.1": (("apache",), r"(?:the )?apache(?: software)?(?:-| )(?:licen[cs]e,? ?)?(?:version |v)?1\.1"),
+    "gpl-2": (("gpl", "general public"), r"(?:the )?(?:gnu )?(?:gpl|general public licen[cs]e)(?:,)?(?:-| )?(?:version |v)?2(?:\.0)?(?:-only|-or-later)?"),
+    "gpl-3": (("gpl", "general public"), r"(?:the )?(?:gnu )?(?:gpl|general public licen[cs]e)(?:,)?(?:-| )?(?:version |v)?3(?:\.0)?(?:-only|-or-later)?"),
+    "lgpl-2.1": (("lgpl", "lesser general public"), r"(?:the )?(?:gnu )?(?:lgpl|lesser general public licen[cs]e)(?:,)?(?:-| )?(?:version |v)?2\.1(?:-only|-or-later)?"),
+    "lgpl-3": (("lgpl", "lesser general public"), r"(?:the )?(?:gnu )?(?:lgpl|lesser general public licen[cs]e)(?:,)?(?:-| )?(?:version |v)?3(?:\.0)?(?:-only|-or-later)?"),
+    "agpl-3": (("agpl", "affero general public"), r"(?:the )?(?:gnu )?(?:agpl|affero general public licen[cs]e)(?:,)?(?:-| )?(?:version |v)?3(?:\.0)?(?:-only|-or-later)?"),
+    "bsd-2-clause": (("bsd",), r"(?:the )?(?:bsd[- ]2[- ]clause|2[- ]clause bsd|simplified bsd|freebsd)"),
+    "bsd-3-clause": (("bsd",), r"(?:the )?(?:bsd[- ]3[- ]clause|3[- ]clause bsd|new bsd|modified bsd)"),
+    "bsd-4-clause": (("bsd",), r"(?:the )?(?:bsd[- ]4[- ]clause|4[- ]clause bsd|original bsd)"),
+    "0bsd": (("bsd",), r"(?:the )?(?:0bsd|zero[- ]clause bsd)"),
+    "isc": (("isc",), r"(?:the )?isc"),
+    "mpl-1.1": (("mpl", "mozilla public"), r"(?:the )?(?:mozilla public licen[cs]e|mpl)(?:,)?(?:-| )?(?:version |v)?1\.1"),
+    "mpl-2": (("mpl", "mozilla public"), r"(?:the )?(?:mozilla public licen[cs]e|mpl)(?:,)?(?:-| )?(?:version |v)?2(?:\.0)?"),
+    "epl-1": (("epl", "eclipse public"), r"(?:the )?(?:eclipse public licen[cs]e|epl)(?:,)?(?:-| )?(?:version |v)?1(?:\.0)?"),
+    "epl-2": (("epl", "eclipse public"), r"(?:the )?(?:eclipse public licen[cs]e|epl)(?:,)?(?:-| )?(?:version |v)?2(?:\.0)?"),
+    "eupl-1.2": (("eupl", "european union public"), r"(?:the )?(?:european union public licen[cs]e|eupl)(?:,)?(?:-| )?(?:version |v)?1\.2"),
+    "cddl-1": (("cddl", "common development"), r"(?:the )?(?:common development and distribution licen[cs]e|cddl)(?:,)?(?:-| )?(?:version |v)?1\.[01]"),
+    "cpl-1": (("common public",), r"(?:the )?common public licen[cs]e(?:,)?(?:-| )?(?:version |v)?1(?:\.0)?"),
+    "artistic-2": (("artistic",), r"(?:the )?artistic licen[cs]e(?:,)?(?:-| )?(?:version |v)?2(?:\.0)?"),
+    "bsl-1": (("boost",), r"(?:the )?boost software licen[cs]e(?:,)?(?:-| )?(?:version |v)?1(?:\.0)?"),
+    "zlib": (("zlib",), r"(?:the )?zlib(?:/libpng)?"),
+    "unlicense": (("unlicense",), r"(?:the )?unlicense"),
+    "wtfpl": (("wtfpl",), r"(?:the )?wtfpl(?:v2)?"),
+    "ofl-1.1": (("ofl", "open font"), r"(?:the )?(?:sil )?(?:open font licen[cs]e|ofl)(?:,)?(?:-| )?(?:version |v)?1\.1"),
+    "psf-2": (("psf", "python software"), r"(?:the )?(?:python software foundation licen[cs]e|psf)(?:,)?(?:-| )?(?:version |v)?2(?:\.0)?"),
+    "postgresql": (("postgresql",), r"(?:the )?postgresql"),
+    "cc0": (("cc0", "creative commons zero"), r"(?:the )?(?:cc0|creative commons zero)(?:[- ]1\.0)?"),
+    "cc-by": (CC_BY, r"(?:the )?(?:cc[- ]by|creative commons attribution)(?:[- ][1-4]\.[05])?"),
+    "cc-by-sa": (CC_BY, r"(?:the )?(?:cc[- ]by[- ]sa|creative commons attribution[- ]share[- ]?alike)(?:[- ][1-4]\.[05])?"),
+    "cc-by-nc": (CC_BY, r"(?:the )?(?:cc[- ]by[- ]nc|creative commons attribution[- ]non[- ]?commercial)(?:[- ][1-4]\.[05])?"),
+    "cc-by-nd": (CC_BY, r"(?:the )?(?:cc[- ]by[- ]nd|creative commons attribution[- ]no[- ]?deriv(?:ative)?s)(?:[- ][1-4]\.[05])?"),
+    "cc-by-nc-sa": (CC_BY, r"(?:the )?cc[- ]by[- ]nc[- ]sa(?:[- ][1-4]\.[05])?"),
+    "cc-by-nc-nd": (CC_BY, r"(?:the )?cc[- ]by[- ]nc[- ]nd(?:[- ][1-4]\.[05])?"),
+    "odbl": (("odbl", "open database"), r"(?:the )?(?:open database licen[cs]e|odbl)(?:[- ](?:v)?1\.0)?"),
+    "ms-pl": (("ms-pl", "microsoft public"), r"(?:the )?(?:microsoft public licen[cs]e|ms-pl)"),
+    "ncsa": (("ncsa",), r"(?:the )?(?:university of illinois/)?ncsa(?: open source)?"),
+    "upl-1": (("upl", "universal permissive"), r"(?:the )?(?:universal permissive licen[cs]e|upl)(?:,)?(?:-| )?(?:version |v)?1(?:\.0)?"),
+    "sspl-1": (("sspl", "server side public"), r"(?:the )?(?:server side public licen[cs]e|sspl)(?:,)?(?:-| )?(?:version |v)?1"),
+    "busl-1.1": (("busl", "business source"), r"(?:the )?(?:business source licen[cs]e|busl)(?:,)?(?:-| )?(?:version |v)?1\.1"),
 }
 
 # (priority, confidence, keyword, phrase around a name); blanks stand for any separators.
@@ -116,7 +119,7 @@ class Rule:
     label: str
     priority: int
     confidence: float
-    keywords: tuple[str, ...]
+    keywords: tuple[tuple[str, ...], ...]
     pattern: str
 
 
@@ -125,13 +128,37 @@ _EDGE = r"(?<![a-z0-9\x80-\x{10FFFF}])(?:%s)(?![a-z0-9\x80-\x{10FFFF}])"
 
 def rules() -> list[Rule]:
     """All rules in order. A blank in an expression stands for white space of any length."""
-    made = [Rule(label, p, c, tuple(k), x) for label, p, c, k, x in SINGLE]
+    made = [Rule(label, p, c, tuple((one,) for one in k), x) for label, p, c, k, x in SINGLE]
     for label, (keyword, name) in NAMES.items():
-        made += [Rule(label, p, c, (k, keyword), x.replace("{name}", f"(?:{name})")) for p, c, k, x in GRANTS]
+        made += [Rule(label, p, c, ((k,), keyword), x.replace("{name}", f"(?:{name})")) for p, c, k, x in GRANTS]
     wide = [Rule(r.label, r.priority, r.confidence, r.keywords, _EDGE % r.pattern.replace(" ", r"\s+").replace(r"\s+?", r"\s*")) for r in made]
     return sorted(wide, key=lambda r: r.priority)
 
 
+WORD_BITS = 62
+
+
+def _gates(every: list[Rule]) -> tuple[list[list[str]], list[Column]]:
+    """The different keywords, in words of at most WORD_BITS, and of each rule its groups as (word, bits)."""
+    words: list[list[str]] = [[]]
+    place: dict[tuple[str, ...], tuple[int, int]] = {}
+    for group in dict.fromkeys(g for r in every for g in r.keywords):
+        if len({*words[-1], *group}) > WORD_BITS:
+            words.append([])
+        words[-1] += [k for k in group if k not in words[-1]]
+        place[group] = len(words) - 1, sum(1 << words[-1].index(k) for k in group)
+    gates = [F.array(*[F.struct(F.lit(w).alias("word"), F.lit(bits).cast("long").alias("bits")) for w, bits in map(place.get, r.keywords)]) for r in every]
+    return words, gates
+
+
+def _held(flat: Column, words: list[list[str]]) -> Column:
+    """For each word of keywords the bits of those that a text holds."""
+    return F.array(*[
+        sum((F.when(F.contains(flat, F.lit(k)), F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long")) for i, k in enumerate(word)), F.lit(0).cast("long"))
+        for word in words
+    ])
+
+
 def _lowered(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -157,7 +184,10 @@ def _phrases(spaced: Column, n_words: Column) -> dict[str, Column]:
 def _counted(docs: DataFrame, **names: str) -> DataFrame:
     """doc_id, a hash of the text, n_words, n_base, first_word, last_word, base_list."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = id_and_text(docs, **names).withColumn("n_words", F.regexp_count(text, F.lit(WORD_ANY_CASE)).cast("long"))
+    # Words are one more than the blanks between them; a list of the words would cost twice as much.
+    words = F.trim(F.regexp_replace(text, BETWEEN_ANY_CASE, " "))
+    n_words = F.when(F.length(words) > 0, F.length(words) - F.length(F.replace(words, F.lit(" "), F.lit(""))) + 1).otherwise(0)
+    rows = id_and_text(docs, **names).withColumn("n_words", n_words.cast("long"))
     looked = rows.withColumn("looked", F.when(text.rlike(r"(?i)licen|cc[^a-z0-9]+by"), F.regexp_replace(_lowered(text), BETWEEN, " ")))
     one = F.trim("looked")
     spaced = F.when(F.length(one) > 0, F.concat(F.lit(" "), F.replace(one, F.lit(" "), F.lit("  ")), F.lit(" ")))
@@ -171,15 +201,19 @@ def detections(docs: DataFrame, **names: str) -> DataFrame:
 
     Rows that repeat a document give its spans once. Null and empty texts have none.
     """
+    made = rules()
+    words, gates = _gates(made)
     every = F.array(*[
         F.struct(
             F.lit(i).alias("rule"), F.lit(r.label).alias("label"), F.lit(r.priority).alias("priority"),
-            F.lit(r.confidence).alias("confidence"), F.array(*map(F.lit, r.keywords)).alias("keywords"), F.lit(r.pattern).alias("pattern"),
+            F.lit(r.confidence).alias("confidence"), gate.alias("gate"), F.lit(r.pattern).alias("pattern"),
         )
-        for i, r in enumerate(rules())
+        for i, (r, gate) in enumerate(zip(made, gates, strict=True))
     ])
     looked = id_and_text(docs, **names).filter(F.col("text").rlike(STEMS)).select(ID, F.xxhash64("text").alias("at"), _lowered(F.col("text")).alias("low"))
-    tried = F.filter(every, lambda r: F.forall(r["keywords"], lambda k: F.contains(F.col("low"), k)))
+    looked = looked.withColumn("held", _held(F.regexp_replace("low", r"\s+", " "), words))
+    allowed = lambda gate: (F.get("held", gate["word"]).bitwiseAND(gate["bits"])) != 0
+    tried = F.filter(every, lambda r: F.forall(r["gate"], allowed))
     pairs = looked.select(ID, "at", "low", F.explode(tried).alias("r"))
     matched = pairs.withColumn("found", F.regexp_extract_all("low", F.col("r.pattern"), F.lit(0))).filter(F.size("found") > 0)
     gaps = F.split("low", F.col("r.pattern"), -1)
