@@ -43,6 +43,14 @@ def test_scans_read_only_what_is_used(spark, name, columns):
     assert columns in plan(QUERIES[name].run(spark, SF_DIR))
 
 
+def test_ordered_operators_write_only_what_is_used(spark, monkeypatch):
+    """The plan that is written out for the slices; what is returned starts at the written rows."""
+    seen, keep = [], ordered.keep
+    monkeypatch.setattr(ordered, "keep", lambda df, purpose: (seen.append(plan(df)), keep(df, purpose))[1])
+    QUERIES["running_count"].run(spark, SF_DIR)
+    assert "ReadSchema: struct<event_id:bigint,event_type:string>" in seen[0]
+
+
 @pytest.mark.parametrize("name", ["slide_event_min", "tumble_avg_decimal", "vehicle_window_agg", "latest_by_key"])
 def test_aggregates_are_partial_before_the_shuffle(spark, name):
     assert "partial_" in plan(QUERIES[name].run(spark, SF_DIR))
