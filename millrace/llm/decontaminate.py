@@ -45,7 +45,11 @@ class Block:
 
 
 def blocks(benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS, item: str = "item_id", text: str = "text") -> Iterator[Block]:
-    """The benchmark in blocks of bounded size, read one row after the other; items without words are left out."""
+    """The benchmark in blocks of bounded size, read one row after the other.
+
+    Items without words and items with a null id, which nothing could name, are left out; repeated rows are read once. All of the
+    benchmark passes through the driver, so it has to be small beside the corpus.
+    """
     ids, texts, size = [], [], 0
     for row in benchmark.select(F.col(item).cast("string").alias("i"), F.col(text).cast("string").alias("t")).distinct().toLocalIterator():
         lowered = Texts.of(pa.array([row["t"]], pa.string())).lowered()
@@ -257,7 +261,7 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
 
     Columns: item_id (string), word (its place in the item, from 0), n_words of the match, doc_id and doc_word of the place
     with the smallest id. Suffixes without a match of a whole window have no row. Each task sends one row per suffix and
-    shard; they are reduced before and after the shuffle.
+    shard; they are reduced before and after the shuffle. Null and empty texts match nothing; rows that repeat an id are one place.
     """
     kept, sent = id_and_text(docs), _sent(docs, benchmark, window, block_words)
     id_type = kept.schema[ID].dataType.simpleString()
@@ -286,7 +290,7 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, one_in: int = 20, text: str = "text") -> DataFrame:
-    """The documents that are not contaminated, with all their columns."""
+    """The documents that are not contaminated, with all their columns; null and empty texts stay, repeated rows each as judged."""
     sent, at = _sent(docs, benchmark, window, BLOCK_WORDS), docs.columns.index(text)
 
     def batches(incoming):

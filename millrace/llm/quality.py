@@ -163,7 +163,7 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3, folds: int = 5,
 
 
 def accepted(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
-    """The documents that score at least the threshold, with all their columns."""
+    """The documents that score at least the threshold, with all their columns; null and empty texts are judged as in ``score``."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def keep(texts: Texts) -> np.ndarray:
