@@ -117,7 +117,7 @@ def stream_proc_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(VEHICLES)
 def stream_vehicle_process(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The vehicle aggregate as a function of whole windows, called by timers of the watermark."""
+    """The vehicle aggregate as a function of whole windows, called as the watermark closes them."""
 
     def processed(stream: DataFrame) -> DataFrame:
         rows = stream.withColumn("ts", F.col("ts").cast("timestamp"))

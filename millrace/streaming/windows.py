@@ -1,7 +1,8 @@
 """Windows, series and late rows from keyed state with timers, for what a streaming aggregate cannot express.
 
 * ``proc_time_windows``: windows by the clock. They close when their time is over, whether or not more rows come.
-* ``window_process``: a function of a whole event-time window, over items that merge and not over a list of its rows.
+* ``window_process``: a function of a whole event-time window, over items that merge and not over a list of its rows. Its state
+  is that of streaming aggregates; only the function is Python.
 * ``series_in_order``: samples of a series in event-time order over micro-batches, as the watermark passes them.
 * ``late_rows``: rows that come after their window has closed, by a watermark of each source partition.
 
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from millrace.functions.durations import micros
+from millrace.functions.durations import interval, micros
 from millrace.streaming.state import nulls_first
 
 
@@ -141,40 +142,6 @@ def proc_time_windows(df: DataFrame, keys: Sequence[str], size: str, parts: Sequ
     return _with_bounds(closed, keys, [p.out for p in parts])
 
 
-_TOTAL = Part("_n", "sum", "_n")
-
-
-class WholeWindow(StatefulProcessor):
-    """The group is a key and a window; state is a total for each item, a timer at the window's end asks the function."""
-
-    def __init__(self, keys: Sequence[str], finish: Callable[[Mapping[str, int]], tuple], columns: Sequence[str]):
-        self.names, self.finish = [*keys, "_start", "_end", *columns], finish
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle, self.items = handle, handle.getMapState("items", "item string", "n bigint")
-
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        end = key[-1]
-        if end > timerValues.getCurrentWatermarkInMs():  # otherwise the window has come out
-            totals: dict[str, int | None] = {}
-            for row in rows:
-                totals[row["_item"]] = _TOTAL.merge(totals.get(row["_item"]), row["_n"])
-            for item, n in totals.items():
-                known = self.items.getValue((item,))
-                self.items.updateValue((item,), (n if known is None else _TOTAL.merge(known[0], n),))
-            self.handle.registerTimer(end)
-        return iter(())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        items = {item: n for (item,), (n,) in self.items.iterator()}
-        self.items.clear()
-        if items:
-            yield Row(*self.names)(*key, *self.finish(items))
-
-    def close(self) -> None:
-        pass
-
-
 def window_process(
     df: DataFrame, ts: str, delay: str, keys: Sequence[str], size: str, items: Column,
     finish: Callable[[Mapping[str, int | None]], tuple], output: T.StructType,
@@ -183,22 +150,19 @@ def window_process(
 
     A row gives ``items``, an array of (item, n); the function gets the total of each item of the window (None if there are but
     nulls) and never its rows.
-    Totals merge in the tasks, in state and over micro-batches, so a window costs as much as it has different items. A row
-    whose window the watermark (``delay`` behind the newest row) has passed comes too late and counts nowhere.
+    Totals merge in the tasks, in state and over micro-batches, so a window costs as much as it has different items. Spark's own
+    aggregates keep them, and Python is called with the closed windows of a micro-batch only, many at a time. A row whose window
+    the watermark (``delay`` behind the newest row of the micro-batches before) has closed comes too late and counts nowhere.
     """
-    width = F.lit(micros(size))
-    start = F.unix_micros(ts) - F.pmod(F.unix_micros(ts), width)
-    bounds = [F.floor(start / 1000).alias("_start"), F.floor((start + width) / 1000).alias("_end")]
-    rows = df.filter(F.col(ts).isNotNull()).select(*keys, *bounds, F.col(ts).alias("_latest"), F.inline(items).alias("_item", "_n"))
-    group = [*keys, "_start", "_end"]
-    schema = T.StructType([*_fields(rows, group), T.StructField("_item", T.StringType()), T.StructField("_n", T.LongType()), T.StructField("_latest", T.TimestampType())])
-    parts = [_TOTAL, Part("_latest", "max", "_latest")]
-    few = rows.mapInArrow(_reduced([*group, "_item"], parts, _arrow(schema)), schema).withWatermark("_latest", delay)
-    out = T.StructType([*_fields(rows, group), *output.fields])
-    processor = WholeWindow(keys, finish, output.fieldNames())
-    # Without its event-time column a row is judged by its window, not by its own time.
-    done = few.select(*group, "_item", "_n").groupBy(*group).transformWithState(processor, out, "append", "eventTime")
-    return _with_bounds(done, keys, output.fieldNames())
+    width = interval(micros(size))
+    rows = df.filter(F.col(ts).isNotNull()).select(*keys, F.col(ts).alias("_ts"), F.inline(items).alias("_item", "_n"))
+    totals = rows.withWatermark("_ts", delay).groupBy(F.window("_ts", width).alias("_w"), *keys, "_item").agg(F.sum("_n").alias("_n"))
+    # Append mode needs the window itself in both groupings.
+    again = F.window(F.window_time("_w"), width).alias("_of")
+    whole = totals.groupBy(again, *keys).agg(F.collect_list(F.struct("_item", "_n")).alias("_items"))
+    finished = F.udf(lambda found: finish({row["_item"]: row["_n"] for row in found}), output)("_items")
+    out = whole.select(*keys, F.col("_of.start").alias("window_start"), F.col("_of.end").alias("window_end"), finished.alias("_out"))
+    return out.select(*keys, "window_start", "window_end", "_out.*")
 
 
 def vehicle_window_process(

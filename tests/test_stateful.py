@@ -188,6 +188,27 @@ def test_whole_windows_merge_over_batches_and_drop_what_is_late(spark, tmp_path)
     assert processed(spark, tmp_path, batches) == [(0, "a=9 b=2 c=None"), (10, "a=4"), (100, "a=16 z=1")]
 
 
+def test_open_windows_are_kept_by_aggregates(spark, tmp_path):
+    """Python is called when a window closes and not for each key and micro-batch."""
+    output = T.StructType().add("n", "long").add("items", "integer")
+    batches = [[(f"k{i % 40}", i, at(i % 20), None) for i in range(400)], [("k0", None, at(3), None), ("z", 1, at(100), None)]]
+    for batch in batches:
+        stream = land(spark, tmp_path, batch, EVENT)
+        item = lambda name, n: F.struct(name.alias("item"), n.cast("long").alias("n"))
+        items = F.array(item(F.lit("all"), F.col("n")), item(F.col("ts").cast("string"), F.lit(1)))
+        out = windows.window_process(stream, "ts", "30 seconds", ["key"], "10 seconds", items, lambda t: (t["all"], len(t)), output)
+        query = run.run_to_end(sink_files.save(out, f"{tmp_path}/out", checkpoint=f"{tmp_path}/cp"))
+        assert {op["operatorName"] for p in query.recentProgress for op in p["stateOperators"]} == {"stateStoreSave"}
+    want = {}
+    for key, n, ts, _ in batches[0]:
+        start = at(0 if ts < at(10) else 10)
+        total, times = want.get((key, start), (0, set()))
+        want[key, start] = total + n, times | {ts}
+    want["k0", START] = want["k0", START][0], want["k0", START][1] | {at(3)}
+    got = spark.read.parquet(f"{tmp_path}/out")
+    assert rows(got, "key", "window_start", "n", "items") == sorted(((*k, n, len(t) + 1) for k, (n, t) in want.items()), key=repr)
+
+
 def samples(spark, folder):
     got = spark.read.parquet(f"{folder}/out").orderBy("chunk").collect()
     return [(r.late, [int((s.ts - START).total_seconds()) for s in r.samples], [s.value for s in r.samples]) for r in got]
