@@ -4,25 +4,20 @@ A micro-batch is written under the id of its query and its own number, which a r
 finishes what was begun or finds that it was done. The id of a query lives in its checkpoint: a query that is begun anew with
 another checkpoint writes all its batches.
 
-Changes may come late, twice and in any order. ``newer_changes`` holds the last version of each key in keyed state, that of a
+Changes may come late, twice and in any order. ``newer_changes`` holds the last change of each key in state, that of a
 removal too, and lets only those changes pass that are newer than all before; so nothing that was removed comes back.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from millrace.sinks import lake
 from millrace.streaming.run import each_batch
-from millrace.streaming.state import nulls_first
 
 
 def commit_of(batch: DataFrame, batch_id: int) -> str:
@@ -45,71 +40,20 @@ def upsert_stream(
     return each_batch(df, lambda rows, n: lake.lake_upsert(rows, path, keys, partition_by, order, commit_of(rows, n)), checkpoint)
 
 
-class NewerChanges(StatefulProcessor):
-    """Lets the last of a key's rows pass if its version is newer than the one in state, which it then replaces.
-
-    State is the version alone, of removed keys as well, and for ever: a change that comes a year late is still late.
-    """
-
-    def __init__(self, columns: Sequence[str], version: T.StructType):
-        self.columns, self.version = list(columns), version
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", self.version)
-
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        names = self.version.fieldNames()
-        newest = max(rows, key=lambda row: nulls_first([row[c] for c in names]))
-        version = tuple(newest[c] for c in names)
-        known = self.last.get()
-        if known is None or nulls_first(version) > nulls_first(tuple(known)):
-            self.last.update(version)
-            yield Row(*self.columns)(*(newest[c] for c in self.columns))
-
-    def close(self) -> None:
-        pass
-
-
-def _number(kind: T.DataType, column: str) -> Column:
-    """Times as numbers, which mean the same in rows and in state."""
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(column).cast("timestamp"))
-    return F.unix_date(column) if isinstance(kind, T.DateType) else F.col(column)
-
-
-def _last_of_batch(keys: Sequence[str], order: Sequence[str]):
-    """The last row of each key of an Arrow batch, so that a key's many changes leave a task as one row a batch."""
-
-    def batches(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in incoming:
-            if not batch.num_rows:
-                continue
-            narrow = pa.Table.from_batches([batch]).select([*dict.fromkeys([*keys, *order])])
-            narrow = narrow.append_column("_at", pa.array(range(batch.num_rows), pa.int64()))
-            narrow = narrow.sort_by([(c, "ascending") for c in order] + [("_at", "ascending")])
-            # Arrow sorts nulls last; a row without a version is older than any other.
-            for c in reversed(order):
-                if narrow[c].null_count:
-                    missing = pc.is_null(narrow[c])
-                    narrow = pa.concat_tables([narrow.filter(missing), narrow.filter(pc.invert(missing))])
-            last = narrow.group_by(list(keys), use_threads=False).aggregate([("_at", "last")])
-            yield batch.take(last["_at_last"].combine_chunks())
-
-    return batches
-
-
 def newer_changes(changes: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Of a stream of changes those that are newer, by ``order``, than all changes of their key before; in a micro-batch the last one.
 
     ``order`` is the version of a change and tells any two of a key apart; a change with a version that was seen is a replay.
-    Keys and versions can be of any type that has an order; a null version is older than all others.
+    Keys and versions can be of any type that has an order; a null version is older than all others. State is the newest change
+    of each key, of removed keys as well, and for ever: a change that comes a year late is still late. It is that of a streaming
+    aggregate, so the result is to be written in update mode.
     """
-    schema = changes.schema
-    few = changes.mapInArrow(_last_of_batch(keys, order), schema)
-    numbered = few.withColumns({f"_version_{i}": _number(schema[c].dataType, c) for i, c in enumerate(order)})
-    version = T.StructType(numbered.schema.fields[len(schema) :])
-    processor = NewerChanges(schema.fieldNames(), version)
-    return numbered.groupBy(*keys).transformWithState(processor, schema, "append", "none")
+    # The time of a micro-batch is one value, which a replay repeats. Of equal versions the first to come stays, so a key whose
+    # newest change came in an earlier micro-batch is known by its time.
+    timed = changes.withColumn("_at", F.current_timestamp())
+    version = F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(order)], (-F.unix_micros("_at")).alias("_first"))
+    newest = timed.groupBy(*keys).agg(F.max_by(F.struct(*timed.columns), version).alias("_newest"))
+    return newest.filter(F.col("_newest._at") == F.current_timestamp()).select(*[F.col("_newest")[c].alias(c) for c in changes.columns])
 
 
 def current_table(
@@ -124,4 +68,4 @@ def current_table(
     def write(rows: DataFrame, batch_id: int) -> None:
         lake.apply_changes(rows, path, keys, partition_by, order, op, commit_id=commit_of(rows, batch_id))
 
-    return each_batch(newer_changes(changes, keys, order), write, checkpoint)
+    return each_batch(newer_changes(changes, keys, order), write, checkpoint, "update")

@@ -68,6 +68,19 @@ def test_the_current_table_does_not_depend_on_order_or_batches(spark, tmp_path):
     assert keep(spark, tmp_path, batches)[-1] == sorted(((c[0], c[5]) for c in newest.values() if c[2] != "DELETE"), key=repr)
 
 
+def test_changes_are_compared_by_an_aggregate_and_replays_do_not_pass(spark, tmp_path):
+    """Python's keyed state, a call for each key, does not carry many keys."""
+    first = [(k, "a", "INSERT", at(k), 0, f"{k}") for k in range(50)]
+    second = [(k, "a", "UPDATE", at(k + k % 2), 1 - k % 2, f"{k}!") for k in range(10)] + [(10, "a", "UPDATE", at(9), 7, "older")]
+    passed = []
+    for batch in [first, second, [*second, *first], [(3, "a", "DELETE", at(90), 0, None), (4, "a", "UPDATE", at(4), 0, "late")]]:
+        newer = tables.newer_changes(land(spark, tmp_path, batch, CHANGE), ["id", "part"], ["op_ts", "seq"])
+        query = run.run_to_end(run.each_batch(newer, lambda some, n: passed.append(rows(some)), f"{tmp_path}/cp", "update"))
+        assert {op["operatorName"] for p in query.recentProgress for op in p["stateOperators"]} == {"stateStoreSave"}
+    assert [len(p) for p in passed] == [50, 10, 0, 1]
+    assert passed[0] == sorted(first, key=repr) and passed[1] == sorted(second[:10], key=repr)
+
+
 class Crash(Exception):
     pass
 
