@@ -6,7 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -20,6 +20,18 @@ def nulls_first(values: Sequence) -> tuple:
     return tuple((v is not None, v) if v is not None else (False,) for v in values)
 
 
+SHARES = 1024
+
+
+def share(columns: Sequence[str]) -> Column:
+    """The share of the keys that a key falls into.
+
+    A call of Python's keyed state costs milliseconds whatever it holds, so many small keys are better kept together, in a number
+    of groups that does not grow with them. The number is fixed because stored state goes by it.
+    """
+    return F.pmod(F.xxhash64(F.lit(0), *columns), F.lit(SHARES)).cast("int")
+
+
 class CountingProcessor(StatefulProcessor):
     """Turns (key, rows seen in a piece) into (key, rows before the piece, rows in it).
 

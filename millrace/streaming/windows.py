@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from millrace.functions.durations import interval, micros
-from millrace.streaming.state import nulls_first
+from millrace.streaming.state import nulls_first, share
 
 
 @dataclass(frozen=True)
@@ -188,49 +188,59 @@ def vehicle_window_process(
 
 
 class SamplesInOrder(StatefulProcessor):
-    """Waiting samples of a series by stretch of time and chunk; a timer at the end of a stretch gives it out in order."""
+    """Waiting samples of a share of the series by stretch of time, in pieces; a timer at the end of a stretch gives it out in order.
 
-    def __init__(self, labels: Sequence[str], sample: T.StructType, stretch: int, size: int):
-        self.labels, self.sample, self.stretch, self.size = list(labels), sample, stretch, size
+    An item is the labels of a series and then a sample of it; state also has the number of chunks each series has given.
+    """
+
+    PIECE = 1000
+
+    def __init__(self, labels: Sequence[str], item: T.StructType, stretch: int, size: int):
+        self.labels, self.item, self.stretch, self.size = list(labels), item, stretch, size
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        held = T.StructType().add("samples", T.ArrayType(self.sample))
+        held = T.StructType().add("items", T.ArrayType(self.item))
         self.handle = handle
-        self.waiting = handle.getMapState("waiting", "stretch bigint, chunk int", held)
-        self.chunks = handle.getMapState("chunks", "stretch bigint", "n int")
-        self.given = handle.getValueState("given", "n bigint")
-
-    def _out(self, key, samples: list, late: bool) -> Iterator[Row]:
-        n = (self.given.get() or (0,))[0]
-        for at in range(0, len(samples), self.size):
-            yield Row(*self.labels, "chunk", "late", "_samples")(*key, n, late, samples[at : at + self.size])
-            n += 1
-        self.given.update((n,))
+        self.waiting = handle.getMapState("waiting", "stretch bigint, piece int", held)
+        self.pieces = handle.getMapState("pieces", "stretch bigint", "n int")
+        self.given = handle.getValueState("given", "n map<string,bigint>")
+
+    def _out(self, items: list, late: bool) -> Iterator[Row]:
+        out, given, series = Row(*self.labels, "chunk", "late", "_samples"), dict((self.given.get() or ({},))[0]), {}
+        for item in items:
+            series.setdefault(item[: len(self.labels)], []).append(item[len(self.labels) :])
+        for labels, samples in series.items():
+            name, samples = repr(labels), sorted(samples, key=nulls_first)
+            n = given.get(name, 0)
+            for at in range(0, len(samples), self.size):
+                yield out(*labels, n, late, samples[at : at + self.size])
+                n += 1
+            given[name] = n
+        self.given.update((given,))
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         mark, fresh, late = timerValues.getCurrentWatermarkInMs(), {}, []
         for row in rows:
-            sample = tuple(row[c] for c in self.sample.fieldNames())
-            stretch = row["_stretch"]
-            (late if stretch + self.stretch <= mark else fresh.setdefault(stretch, [])).append(sample)
-        for stretch, samples in fresh.items():
-            n = (self.chunks.getValue((stretch,)) or (0,))[0]
-            for at in range(0, len(samples), self.size):
-                self.waiting.updateValue((stretch, n), (samples[at : at + self.size],))
+            *item, stretch, _ = row
+            (late if stretch + self.stretch <= mark else fresh.setdefault(stretch, [])).append(tuple(item))
+        for stretch, items in fresh.items():
+            n = (self.pieces.getValue((stretch,)) or (0,))[0]
+            for at in range(0, len(items), self.PIECE):
+                self.waiting.updateValue((stretch, n), (items[at : at + self.PIECE],))
                 n += 1
-            self.chunks.updateValue((stretch,), (n,))
+            self.pieces.updateValue((stretch,), (n,))
             self.handle.registerTimer(stretch + self.stretch)
         if late:
-            yield from self._out(key, sorted(late, key=nulls_first), True)
+            yield from self._out(late, True)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         stretch = expiredTimerInfo.getExpiryTimeInMs() - self.stretch
-        samples = []
-        for chunk in range((self.chunks.getValue((stretch,)) or (0,))[0]):
-            samples += [tuple(s) for s in self.waiting.getValue((stretch, chunk))[0]]
-            self.waiting.removeKey((stretch, chunk))
-        self.chunks.removeKey((stretch,))
-        yield from self._out(key, sorted(samples, key=nulls_first), False)
+        items = []
+        for piece in range((self.pieces.getValue((stretch,)) or (0,))[0]):
+            items += [tuple(i) for i in self.waiting.getValue((stretch, piece))[0]]
+            self.waiting.removeKey((stretch, piece))
+        self.pieces.removeKey((stretch,))
+        yield from self._out(items, False)
 
     def close(self) -> None:
         pass
@@ -245,20 +255,26 @@ def series_in_order(
     Time is cut into stretches. A stretch comes out when the watermark (``delay`` behind the newest sample) has passed its end, in
     the order of ``ts`` and ``order``, so over micro-batches the chunks of a series ascend in number and in time. A sample that
     comes after its stretch was given out cannot be put in order any more: it comes at once, in a chunk that is marked late.
-    Samples without a time are left out. State holds the open stretches in chunks and a task one stretch of one series at a time.
+    Samples without a time are left out. State holds the open stretches in pieces and a task one stretch of a share of the series
+    (see ``state.share``) at a time.
     """
     timed = df.filter(F.col(ts).isNotNull()).withWatermark(ts, delay)
     place = F.unix_micros(ts) - F.pmod(F.unix_micros(ts), F.lit(micros(stretch)))
     names = [*dict.fromkeys([ts, *order])]
-    picked = timed.select(*labels, F.floor(place / 1000).alias("_stretch"), F.unix_micros(ts).alias("_at"), *names[1:], F.col(value).alias("_value"))
-    sample = T.StructType(_fields(picked, ["_at", *names[1:], "_value"]))
+    texts = [f"_label_{i}" for i in range(len(labels))]
+    named = timed.withColumns({text: F.col(name).cast("string") for text, name in zip(texts, labels, strict=True)})
+    picked = named.select(
+        *texts, F.unix_micros(ts).alias("_at"), *names[1:], F.col(value).alias("_value"), F.floor(place / 1000).alias("_stretch"),
+        share(texts).alias("_share"),
+    )
+    item = T.StructType(picked.schema.fields[:-2])
     schema = T.StructType([
-        *_fields(picked, labels), T.StructField("chunk", T.LongType()), T.StructField("late", T.BooleanType()),
-        T.StructField("_samples", T.ArrayType(sample)),
+        *_fields(picked, texts), T.StructField("chunk", T.LongType()), T.StructField("late", T.BooleanType()),
+        T.StructField("_samples", T.ArrayType(T.StructType(item.fields[len(texts) :]))),
     ])
-    processor = SamplesInOrder(labels, sample, micros(stretch) // 1000, size)
-    out = picked.groupBy(*labels).transformWithState(processor, schema, "append", "eventTime")
-    pairs = [part for name in labels for part in (F.lit(name), F.col(name).cast("string"))]
+    processor = SamplesInOrder(texts, item, micros(stretch) // 1000, size)
+    out = picked.groupBy("_share").transformWithState(processor, schema, "append", "eventTime")
+    pairs = [part for text, name in zip(texts, labels, strict=True) for part in (F.lit(name), F.col(text))]
     samples = F.transform("_samples", lambda s: F.struct(s["_value"].alias("value"), F.timestamp_micros(s["_at"]).alias("ts")))
     return out.select(F.lit(metric).alias("metric"), F.create_map(*pairs).alias("labels"), "chunk", "late", samples.alias("samples"))
 

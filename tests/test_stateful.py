@@ -12,7 +12,7 @@ from millrace.sinks import files as sink_files
 from millrace.sinks import lake
 from millrace.sinks.storage import Folder
 from millrace.sources import files
-from millrace.streaming import registry, run, tables, totals, windows
+from millrace.streaming import registry, run, state, tables, totals, windows
 from tests.conftest import JOB_ERRORS, rows
 
 START = dt.datetime(2024, 1, 1)
@@ -222,6 +222,20 @@ def test_open_windows_are_kept_by_aggregates(spark, tmp_path):
     assert rows(got, "key", "window_start", "n", "items") == sorted(((*k, n, len(t) + 1) for k, (n, t) in want.items()), key=repr)
 
 
+def test_many_series_share_calls_of_the_state(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(state, "SHARES", 2, raising=False)
+    batches = [[(f"k{i % 30}" if i % 30 else None, i, at(i // 30), float(-i)) for i in range(j, 300, 2)] for j in range(2)]
+    for batch in [*batches, [("k1", 999, at(500), 0.0)], [("k2", 1000, at(1), 1.5), ("k3", 1001, at(2), 2.5)]]:
+        stream = land(spark, tmp_path, batch, EVENT)
+        out = windows.series_in_order(stream, "m", ["key"], "ts", "v", "10 seconds", ["n"], stretch="1 minute", size=4)
+        query = run.run_to_end(sink_files.save(out, f"{tmp_path}/out", checkpoint=f"{tmp_path}/cp"))
+        assert max(op["numRowsTotal"] for p in query.recentProgress for op in p["stateOperators"]) <= 20
+    got = spark.read.parquet(f"{tmp_path}/out").select(F.col("labels")["key"].alias("key"), "chunk", "late", F.col("samples.value").alias("v"))
+    values = {k: [float(-i) for i in range(300) if (f"k{i % 30}" if i % 30 else None) == k] for k in [None, *(f"k{i}" for i in range(1, 30))]}
+    want = [(k, n, False, v[4 * n : 4 * n + 4]) for k, v in values.items() for n in range(3)]
+    assert rows(got) == sorted([*want, ("k2", 3, True, [1.5]), ("k3", 3, True, [2.5])], key=repr)
+
+
 def samples(spark, folder):
     got = spark.read.parquet(f"{folder}/out").orderBy("chunk").collect()
     return [(r.late, [int((s.ts - START).total_seconds()) for s in r.samples], [s.value for s in r.samples]) for r in got]
