@@ -280,37 +280,46 @@ def series_in_order(
 
 
 class WatermarkOfSource(StatefulProcessor):
-    """Each row with whether all its windows were closed when it came; state is the newest time of the source partition."""
+    """Each row with whether all its windows were closed when it came; state is the newest time of each source partition of a share."""
 
-    def __init__(self, arrival: Sequence[str], size: int, slide: int, delay: int):
-        self.arrival, self.size, self.slide, self.delay = list(arrival), size, slide, delay
+    def __init__(self, source: Sequence[str], arrival: Sequence[str], columns: Sequence[str], size: int, slide: int, delay: int):
+        self.source, self.arrival, self.columns = list(source), list(arrival), list(columns)
+        self.size, self.slide, self.delay = size, slide, delay
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.newest = handle.getValueState("newest", "at bigint")
+        self.newest = handle.getValueState("newest", "at map<string,bigint>")
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        seen = (self.newest.get() or (None,))[0]
-        for row in sorted(rows, key=lambda r: nulls_first([r[c] for c in self.arrival])):
-            at = row["_at"]
+        newest, out = dict((self.newest.get() or ({},))[0]), Row(*self.columns, "is_late")
+        source, arrival, time = ([self.columns.index(c) for c in some] for some in (self.source, self.arrival, ["_at"]))
+        for row in sorted(rows, key=lambda r: nulls_first([r[c] for c in arrival])):
+            name, at = _name([row[c] for c in source]), row[time[0]]
+            seen = newest.get(name)
             late = at is not None and seen is not None and at - at % self.slide + self.size <= seen - self.delay
-            seen = at if seen is None else seen if at is None else max(seen, at)
-            yield Row(*row.__fields__, "is_late")(*row, late)
-        if seen is not None:
-            self.newest.update((seen,))
+            if at is not None and (seen is None or at > seen):
+                newest[name] = at
+            yield out(*row, late)
+        self.newest.update((newest,))
 
     def close(self) -> None:
         pass
 
 
+def _name(values: Sequence) -> str:
+    """A text that is the same for values that Spark groups together."""
+    return repr([v + 0.0 if isinstance(v, float) else v for v in values])
+
+
 def late_rows(
     df: DataFrame, ts: str, arrival: Sequence[str], size: str, delay: str, source: Sequence[str], slide: str | None = None
 ) -> DataFrame:
     """The rows of a stream with ``is_late``, by the rule of ``operators.ordered.late_split``, over all micro-batches.
 
     The watermark of each source partition is kept in state, so a row is judged by all that came before it from there. One
-    task goes through the rows of a source partition in a micro-batch in their order of arrival, as its reader would.
+    task goes through the rows of a source partition in a micro-batch in their order of arrival, as its reader would; it holds
+    those of a share of the source partitions (see ``state.share``) at a time.
     """
-    rows = df.withColumn("_at", F.unix_micros(ts))
+    rows = df.withColumns({"_at": F.unix_micros(ts), "_share": share(source)})
     schema = T.StructType([*rows.schema.fields, T.StructField("is_late", T.BooleanType())])
-    processor = WatermarkOfSource(arrival, micros(size), micros(slide or size), micros(delay))
-    return rows.groupBy(*source).transformWithState(processor, schema, "append", "none").drop("_at")
+    processor = WatermarkOfSource(source, arrival, rows.columns, micros(size), micros(slide or size), micros(delay))
+    return rows.groupBy("_share").transformWithState(processor, schema, "append", "none").drop("_at", "_share")

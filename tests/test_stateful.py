@@ -271,6 +271,23 @@ def test_late_rows_are_those_of_the_batch_operator(spark, tmp_path):
     assert {late for _, late in got} == {True, False}
 
 
+def test_many_sources_share_calls_of_the_state(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(state, "SHARES", 2, raising=False)
+    schema = "key double, n long, ts timestamp"
+    rng = random.Random(3)
+    keys = [None, float("nan"), 0.0, *(float(i) for i in range(1, 40))]
+    arrivals = [(rng.choice(keys), i, at(i * 7 + rng.randrange(-2000, 2000)) if rng.random() < 0.95 else None) for i in range(600)]
+    for i in range(0, 600, 300):
+        marked = windows.late_rows(land(spark, tmp_path, arrivals[i : i + 300], schema), "ts", ["n"], "60 seconds", "20 seconds", ["key"])
+        query = run.run_to_end(sink_files.save(marked, f"{tmp_path}/out", checkpoint=f"{tmp_path}/cp"))
+        assert max(op["numRowsTotal"] for p in query.recentProgress for op in p["stateOperators"]) <= 2
+    whole = ordered.late_split(spark.createDataFrame(arrivals, schema), "ts", ["n"], "60 seconds", "20 seconds", ["key"])
+    got = spark.read.parquet(f"{tmp_path}/out")
+    assert got.columns == ["key", "n", "ts", "is_late"]
+    assert rows(got, "n", "is_late") == rows(whole, "n", "is_late")
+    assert {r.is_late for r in got.collect()} == {True, False}
+
+
 # --- schemas and totals ---------------------------------------------------------------------------------------------------
 
 
